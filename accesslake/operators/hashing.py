@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accesslake.sources.objects import open_filesystem
+
 # Fixed value: block size of content reads.
 READ_BLOCK = 65_536
 
@@ -33,19 +34,9 @@ RESULT_DDL = (
 )
 
 
-def _open_filesystem(uri: str):
-    from pyarrow import fs
-
-    scheme, colon, rest = uri.partition(":/")
-    if not colon or scheme == "file":
-        rest = rest if colon else uri
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
-
-
 def _digest_stream(uri: str) -> tuple[int, str, str]:
     """Both digests in one pass over an object, in blocks, so its size does not matter to memory."""
-    filesystem, path = _open_filesystem(uri)
+    filesystem, path, _ = open_filesystem(uri)
     sha2, sha3, size = hashlib.sha256(), hashlib.sha3_256(), 0
     with filesystem.open_input_stream(path) as stream:
         while block := stream.read(READ_BLOCK):

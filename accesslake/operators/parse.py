@@ -221,3 +221,11 @@ def unify_logs(*records: DataFrame) -> DataFrame:
     for other in others:
         first = first.unionByName(other, allowMissingColumns=True)
     return first
+
+
+def normalize_keys(records: DataFrame) -> DataFrame:
+    """Keys without leading slashes, so that a file reached over both kinds of log has one key.
+
+    Web keys start with a slash and bucket keys do not; without this step they are two files.
+    """
+    return records.withColumn("key", F.ltrim("key", F.lit("/")))

@@ -2,29 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslake.functions.ids import surrogate_id
 from accesslake.operators.joins import anti_join
 
 
-def catalog_additions(downloads: DataFrame, catalog: DataFrame) -> DataFrame:
+def _name(c: str, collation: str | None) -> Column:
+    return F.col(c) if collation is None else F.collate(F.col(c), collation)
+
+
+def _not_in(fresh: DataFrame, existing: DataFrame, key: str, collation: str | None) -> DataFrame:
+    if collation is None:
+        return anti_join(fresh, existing, [key], check_size=False)
+    known = existing.select(_name(key, collation).alias("_known")).distinct()
+    return fresh.join(known, _name(key, collation) == F.col("_known"), "left_anti")
+
+
+def catalog_additions(downloads: DataFrame, catalog: DataFrame, collation: str | None = None) -> DataFrame:
     """Catalog rows for keys not there yet; the size seen first wins.
 
     Rows fold to one per (key, size) by a hash aggregate before any shuffle; only those few are then
     ordered by time. Sizes first seen at one instant are decided by value, NULL before numbers.
+    Keys differ by their bytes; with a ``collation`` such as ``UNICODE_CI_AI`` those it holds equal are
+    one, under the spelling seen first, and facts are then built by ``resolve_facts``.
     """
     sizes = downloads.groupBy("key", "object_size").agg(F.min("dtime").alias("first_seen"))
-    first = sizes.groupBy(F.col("key").alias("s3key")).agg(
-        F.min(F.struct("first_seen", "object_size")).alias("first")
+    first = (
+        sizes.groupBy(_name("key", collation).alias("_name"))
+        .agg(F.min(F.struct("first_seen", "key", "object_size")).alias("first"))
+        .select(F.col("first.key").alias("s3key"), F.col("first.object_size").alias("bytes"))
     )
-    fresh = anti_join(first, catalog.select("s3key"), ["s3key"], check_size=False)
-    return fresh.select(
+    return _not_in(first, catalog, "s3key", collation).select(
         surrogate_id(F.col("s3key")).alias("id"),
         "s3key",
         F.current_timestamp().alias("modified"),
-        F.col("first.object_size").alias("bytes"),
+        "bytes",
         F.lit(None).cast("timestamp").alias("mtime"),
         F.lit(None).cast("string").alias("tags"),
         F.lit(None).cast("string").alias("etag"),
@@ -34,10 +48,13 @@ def catalog_additions(downloads: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def agent_additions(downloads: DataFrame, agents: DataFrame) -> DataFrame:
+def agent_additions(downloads: DataFrame, agents: DataFrame, collation: str | None = None) -> DataFrame:
     """User-agent rows not there yet. NULL agents get none: an equality lookup never finds NULL."""
     seen = downloads.select("user_agent").filter(F.col("user_agent").isNotNull()).distinct()
-    fresh = anti_join(seen, agents.select("user_agent"), ["user_agent"], check_size=False)
+    if collation is not None:
+        spelled = seen.groupBy(_name("user_agent", collation).alias("_name"))
+        seen = spelled.agg(F.min("user_agent").alias("user_agent")).select("user_agent")
+    fresh = _not_in(seen, agents, "user_agent", collation)
     return fresh.select(surrogate_id(F.col("user_agent")).alias("id"), "user_agent")
 
 
@@ -60,18 +77,20 @@ def fact_rows(downloads: DataFrame) -> DataFrame:
     )
 
 
-def resolve_facts(downloads: DataFrame, catalog: DataFrame, agents: DataFrame) -> DataFrame:
+def resolve_facts(
+    downloads: DataFrame, catalog: DataFrame, agents: DataFrame, collation: str | None = None
+) -> DataFrame:
     """One fact per download, ids looked up in dimension tables.
 
     For dimensions whose ids come from elsewhere, such as auto-increment columns of an imported
-    store. A dimension is small enough to broadcast or the join shuffles by key, and AQE then splits
-    the partitions that hot keys and hot agents fill.
+    store, and for keys that are equal under a collation. A dimension is small enough to broadcast or
+    the join shuffles by key, and AQE then splits the partitions that hot keys and hot agents fill.
     """
-    files = catalog.select(F.col("id").alias("did"), F.col("s3key").alias("key"))
-    named = agents.select(F.col("id").alias("user_agent_id"), "user_agent")
+    files = catalog.select(F.col("id").alias("did"), _name("s3key", collation).alias("_key"))
+    named = agents.select(F.col("id").alias("user_agent_id"), _name("user_agent", collation).alias("_agent"))
     return (
-        downloads.join(files, "key", "inner")
-        .join(named, "user_agent", "left")
+        downloads.join(files, _name("key", collation) == F.col("_key"), "inner")
+        .join(named, _name("user_agent", collation) == F.col("_agent"), "left")
         .select("did", "user_agent_id", *_fact_columns())
     )
 

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accesslake.operators.merge import merge_records, merge_report
+from accesslake.operators.merge import distinct_records, report_records, sort_records
+from accesslake.session import scratch_path
 from accesslake.sources.logs import scan_logs, write_merged
 
 
@@ -18,7 +19,14 @@ def merge_logs(
     year: int | None = None,
     mode: str = "failfast",
 ) -> DataFrame:
-    """Write the distinct lines of all inputs in time order; returns the one-row report."""
-    lines = scan_logs(spark, paths)
-    write_merged(merge_records(lines, log_format, year, mode), out)
-    return merge_report(lines, log_format, year, mode)
+    """Write the distinct lines of all inputs in time order; returns the one-row report.
+
+    Distinct lines are stored once. A global sort reads its input twice, first to choose the ranges,
+    and the report reads it again; none of them repeats the shuffle of raw lines or the parsing.
+    """
+    staging = scratch_path(spark, "merge")
+    distinct = distinct_records(scan_logs(spark, paths), log_format, year, mode)
+    distinct.select("line", "dtime", "position", "n", "kept").write.parquet(staging)
+    staged = spark.read.parquet(staging)
+    write_merged(sort_records(staged), out)
+    return report_records(staged)

@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accesslake.session import scratch_path
+from accesslake.sources.objects import open_filesystem
+
+_ENTRY = pa.schema(
+    [
+        ("uri", pa.string()),
+        ("folder", pa.bool_()),
+        ("mtime", pa.timestamp("us", tz="UTC")),
+        ("bytes", pa.int64()),
+    ]
+)
+_ENTRY_DDL = "uri string, folder boolean, mtime timestamp, bytes bigint"
+_ENTRIES_PER_BATCH = 10_000
+
 
 def split_object_url(url: str) -> tuple[str, str]:
     """Bucket and key prefix of an object URL; the prefix has no leading slash."""
@@ -14,23 +30,69 @@ def split_object_url(url: str) -> tuple[str, str]:
     return parts.netloc, parts.path.removeprefix("/")
 
 
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from pyarrow import fs
+
+    for batch in batches:
+        for uri in batch.column("uri").to_pylist():
+            system, path, before = open_filesystem(uri)
+            found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+            for start in range(0, len(found), _ENTRIES_PER_BATCH):
+                chunk = found[start : start + _ENTRIES_PER_BATCH]
+                columns = [
+                    pa.array([before + i.path for i in chunk], pa.string()),
+                    pa.array([i.type == fs.FileType.Directory for i in chunk], pa.bool_()),
+                    pa.array([None if i.mtime_ns is None else i.mtime_ns // 1000 for i in chunk], pa.int64()).cast(
+                        pa.timestamp("us", tz="UTC")
+                    ),
+                    pa.array([i.size for i in chunk], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=_ENTRY)
+
+
+def _walk(
+    spark: SparkSession, start: str, keep: Callable[[DataFrame], DataFrame], limit: int | None
+) -> DataFrame:
+    """All entries below a folder. Each round lists the folders the last one found, in parallel tasks,
+    and writes what it finds; there are as many rounds as folder levels."""
+    path = scratch_path(spark, "listing")
+    tasks = spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([(start,)], "uri string")
+    level, files = 0, 0
+    while True:
+        here = f"{path}/level={level}"
+        keep(folders.repartition(tasks).mapInArrow(_list_folders, _ENTRY_DDL)).write.parquet(here)
+        entries = spark.read.schema(_ENTRY_DDL).parquet(here)
+        folders = entries.filter("folder").select("uri")
+        if limit is not None:
+            files += entries.filter("not folder").count()
+        if folders.isEmpty() or (limit is not None and files >= limit):
+            return spark.read.schema(_ENTRY_DDL + ", level int").parquet(path)
+        level += 1
+
+
 def list_objects(spark: SparkSession, root: str, prefix: str = "", limit: int | None = None) -> DataFrame:
-    """Every file below ``root`` as (s3key, uri, etag, mtime, bytes), without its content.
+    """Every object below ``root`` as (s3key, uri, etag, mtime, bytes), without reading content.
+
+    Keys are relative to ``root``; empty objects and names that start with a dot or an underscore are
+    listed too, which Spark's file sources skip. Only folders that can hold ``prefix`` are walked.
+    A file system has no ETags, so one is made of length and modification time. ``limit`` keeps so
+    many entries, any of them, as a listing has no set order.
 
-    Keys are relative to ``root``. The file source lists in parallel when there are many folders.
-    It has no ETags, so one is made of length and modification time: it changes whenever the file
-    is written. ``limit`` keeps so many entries, any of them, as a listing has no set order.
+    The entries of one folder are listed by one task. For buckets with very many objects in one
+    folder use the store's inventory: any table with these columns is a listing.
     """
-    base = root.rstrip("/") + "/"
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .drop("content")
-        .select(F.col("path").alias("uri"), F.col("modificationTime").alias("mtime"), F.col("length").alias("bytes"))
-    )
-    bare = urlsplit(base).path
-    key = F.substring(F.col("uri"), F.locate(bare, F.col("uri")) + len(bare), F.length("uri"))
+    _, path, before = open_filesystem(root.rstrip("/") + "/")
+    base = before + path.rstrip("/") + "/"
+    skip = len(base)
+    key = F.substring(F.col("uri"), F.lit(skip + 1), F.length("uri"))
+    start = base + prefix.rpartition("/")[0]
+
+    def keep(entries: DataFrame) -> DataFrame:
+        below = key.startswith(prefix)
+        return entries.filter(below | (F.col("folder") & F.startswith(F.lit(prefix), F.concat(key, F.lit("/")))))
+
+    files = _walk(spark, start.rstrip("/"), keep, limit).filter("not folder")
     listed = files.select(
         key.alias("s3key"),
         "uri",
@@ -38,6 +100,4 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", limit: int |
         "mtime",
         "bytes",
     )
-    if prefix:
-        listed = listed.filter(F.col("s3key").startswith(prefix))
     return listed if limit is None else listed.limit(limit)

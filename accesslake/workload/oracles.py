@@ -99,7 +99,7 @@ SQL: dict[str, str] = {
     "filter_year": f"""with {OW} select ip as remote_ip, path as key, wall as dtime_local,
         wall + interval 7 hour as dtime from ow where year(wall) = 1998""",
     "drop_ignored_keys": f"""with {EV} select concat('R', cast(event_id as varchar)) as request_id, k as key from ev
-        where k not in (select k from ev join events e using (event_id) where e.value > 150)""",
+        where user_id not in (select c_custkey from customer where c_mktsegment = 'BUILDING')""",
     "classify_records": f"""with {REC} select concat('R', cast(event_id as varchar)) as request_id, op as operation,
         http_status, class from rec""",
     "downloads_only": f"with {DL} select concat('R', cast(event_id as varchar)) as request_id, k as key, bytes_sent from dl",
@@ -120,6 +120,14 @@ SQL: dict[str, str] = {
         union select distinct ua from dl""",
     "load_downloads": f"with {DL} select {FACT} from dl",
     "load_downloads_by_lookup": f"with {DL} select {FACT} from dl",
+    "upsert_catalog_collated": f"""with {DL}, first as (select case when event_type = 'click' then upper(k) else k end as k,
+          object_size, row_number() over (partition by k order by dtime,
+            case when event_type = 'click' then upper(k) else k end, object_size nulls first) as rn from dl)
+        select distinct k as s3key, cast(0 as bigint) as bytes from ev where k like '%.E01'
+        union all select k, object_size from first where rn = 1 and upper(k) not like '%.E01'""",
+    "load_downloads_collated": f"with {DL} select {FACT} from dl",
+    "unify_normalized_keys": f"""with {REC} select 'bucket' as source, k as key, count(*) as n from rec group by k
+        union all select 'web', replace(k, ' ', '_'), count(*) from rec group by k""",
     "copy_missing_downloads": """select c_name as key, o_orderpriority as remote_ip, o_orderdate as dtime,
         max(cast(c_nationkey as bigint)) as object_size, max(o_orderkey) as bytes_sent
         from orders s join customer on c_custkey = o_custkey

@@ -241,9 +241,8 @@ def filter_year(spark, sf_dir):
 
 @query
 def drop_ignored_keys(spark, sf_dir):
-    ev = I.events(spark, sf_dir)
-    big = I.table(spark, sf_dir, "events").filter("value > 150").select("event_id")
-    ignored = ev.join(big, "event_id").select(F.col("k").alias("key"))
+    builders = I.table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("user_id"))
+    ignored = I.events(spark, sf_dir).join(builders, "user_id").select(F.col("k").alias("key"))
     return K.drop_ignored_keys(_records(spark, sf_dir), ignored).select("request_id", "key")
 
 
@@ -325,6 +324,35 @@ def load_downloads_by_lookup(spark, sf_dir):
     return _fact_view(_named(facts, spark, sf_dir))
 
 
+def _respelled(spark, sf_dir):
+    """Downloads whose clicks ask for keys in upper case."""
+    click = F.col("operation") == "WEBSITE.GET.OBJECT"
+    return _downloads(spark, sf_dir).withColumn("key", F.when(click, F.upper("key")).otherwise(F.col("key")))
+
+
+@query
+def upsert_catalog_collated(spark, sf_dir):
+    existing = _files(spark, sf_dir).filter(F.col("s3key").endswith(".E01"))
+    existing = existing.select("s3key", F.lit(0).cast("bigint").alias("bytes"))
+    fresh = S.catalog_additions(_respelled(spark, sf_dir), existing, collation="UNICODE_CI_AI")
+    return existing.unionByName(fresh.select("s3key", "bytes"))
+
+
+@query
+def load_downloads_collated(spark, sf_dir):
+    files = _files(spark, sf_dir).withColumnRenamed("did", "id")
+    agents = _agents(spark, sf_dir).withColumnRenamed("user_agent_id", "id")
+    facts = S.resolve_facts(_respelled(spark, sf_dir), files, agents, collation="UNICODE_CI_AI")
+    return _fact_view(_named(facts, spark, sf_dir))
+
+
+@query
+def unify_normalized_keys(spark, sf_dir):
+    web = P.good_records(P.parse_web_log(I.with_web_line(I.events(spark, sf_dir)).select("line")))
+    both = P.normalize_keys(P.unify_logs(_records(spark, sf_dir), web))
+    return both.groupBy("source", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def copy_missing_downloads(spark, sf_dir):
     orders = I.table(spark, sf_dir, "orders").select(
