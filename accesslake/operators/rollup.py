@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from accesslake.operators.joins import broadcast_if_small
+from accesslake.session import scratch_path
+
 GROUP = ("did", "remote_ipaddr", "user_agent_id", "dt")
 
 
@@ -135,15 +138,19 @@ def number_lines(lines: DataFrame) -> DataFrame:
     """Scanned lines with ``line_index``, their 0-based number in the file.
 
     Row ids are consecutive within an input split, so an index is the row's distance from the
-    split's first id plus the lines of the file's earlier splits. Only per-split counts are shuffled
-    and windowed, some bytes for every 128 MB of log; the lines stay where they were read.
+    split's first id plus the lines of the file's earlier splits. Only one row per split, some
+    128 MB of log, is shuffled, windowed and written; it goes to the lines by broadcast while it is
+    within 256 MB, which is above 100 TB of log, and the lines stay where they were read.
     """
     split = ["file_path", "file_block_start"]
     counts = lines.groupBy(*split).agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("file_path").orderBy("file_block_start").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(*split, "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    path = scratch_path(lines.sparkSession, "offsets")
+    offsets.write.parquet(path)
+    stored = lines.sparkSession.read.schema(offsets.schema).parquet(path)
     return (
-        lines.join(offsets, split)
+        lines.join(broadcast_if_small(stored, max_rows=2_000_000, max_bytes=256 << 20), split)
         .withColumn("line_index", F.col("row_id") - F.col("first_id") + F.col("offset"))
         .drop("first_id", "offset")
     )

@@ -9,7 +9,7 @@ from accesslake.operators import catalog as C
 from accesslake.operators.hashing import hash_good, hash_objects
 from accesslake.operators.star import catalog_additions, fact_rows, missing_facts
 from accesslake.plans.store import Store
-from accesslake.session import scratch_path
+from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
 
 
@@ -35,7 +35,8 @@ def collect_garbage(spark: SparkSession, store: Store, listing: DataFrame, reviv
     """Drop vanished entries nobody downloaded, mark the others absent; returns the one-row report."""
     catalog, facts = store.catalog(spark), store.facts(spark)
     report = C.gc_report(listing, catalog, facts)
-    tables.write_snapshot(C.gc_apply(listing, catalog, facts, revive), store.catalog_path)
+    with sized_shuffles(facts):
+        tables.write_snapshot(C.gc_apply(listing, catalog, facts, revive), store.catalog_path)
     return report
 
 
@@ -44,7 +45,8 @@ def copy_downloads(spark: SparkSession, source: Store, target: Store) -> None:
     catalog = target.catalog(spark)
     missing = missing_facts(source.facts(spark), source.catalog(spark), target.facts(spark), catalog)
     staging = scratch_path(spark, "copy")
-    missing.write.parquet(staging)
+    with sized_shuffles(source.facts(spark)):
+        missing.write.parquet(staging)
     downloads = spark.read.parquet(staging).select(
         "*",
         F.lit(None).cast("string").alias("user_agent"),

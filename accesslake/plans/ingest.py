@@ -12,7 +12,7 @@ from accesslake.operators.classify import drop_ignored_keys, nonblank_lines, rec
 from accesslake.operators.parse import parse_logs
 from accesslake.operators.star import agent_additions, catalog_additions, fact_rows
 from accesslake.plans.store import Store
-from accesslake.session import scratch_path
+from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
 from accesslake.sources.logs import archive_lines
 
@@ -53,7 +53,8 @@ def land(classified: DataFrame, path: str, partition_by: Sequence[str] = ("class
     observed = classified.observe(counts, *[F.count_if(F.col("class") == c).alias(c) for c in CLASSES])
     wanted = observed.filter(F.col("class").isin(schemas.DOWNLOAD, MALFORMED))
     columns = [*LANDED, F.to_date("dtime_local").alias("dt")] if "dt" in partition_by else LANDED
-    wanted.select(*columns).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    writer = wanted.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(path)
     return counts.get
 
 
@@ -72,9 +73,10 @@ def ingest_files(
     downloads = staged.filter(F.col("class") == schemas.DOWNLOAD)
 
     catalog, agents = store.catalog(spark), store.agents(spark)
-    tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), store.catalog_path)
-    tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents)), store.agents_path)
-    tables.append_facts(fact_rows(downloads), store.facts_path)
+    with sized_shuffles(staged):
+        tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), store.catalog_path)
+        tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents)), store.agents_path)
+        tables.append_facts(fact_rows(downloads), store.facts_path)
     archive_lines(downloads, store.archive_path)
     if counts[MALFORMED]:
         rejects = staged.filter(F.col("class") == MALFORMED).select("line", "parse_error")

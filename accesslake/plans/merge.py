@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from accesslake.operators.merge import distinct_records, report_records, sort_records
-from accesslake.session import scratch_path
+from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources.logs import scan_logs, write_merged
 
 
@@ -25,8 +25,10 @@ def merge_logs(
     and the report reads it again; none of them repeats the shuffle of raw lines or the parsing.
     """
     staging = scratch_path(spark, "merge")
-    distinct = distinct_records(scan_logs(spark, paths), log_format, year, mode)
-    distinct.select("line", "dtime", "position", "n", "kept").write.parquet(staging)
-    staged = spark.read.parquet(staging)
-    write_merged(sort_records(staged), out)
+    lines = scan_logs(spark, paths)
+    with sized_shuffles(lines):
+        distinct = distinct_records(lines, log_format, year, mode)
+        distinct.select("line", "dtime", "position", "n", "kept").write.parquet(staging)
+        staged = spark.read.parquet(staging)
+        write_merged(sort_records(staged), out)
     return report_records(staged)

@@ -15,7 +15,7 @@ from accesslake.operators.rollup import (
 )
 from accesslake.operators.star import fact_rows
 from accesslake.plans.store import Store
-from accesslake.session import scratch_path
+from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
 
 
@@ -45,16 +45,18 @@ def summarize_store(
     if not compact:
         raw_days = within.filter(~F.col("summary")).select("dt").distinct()
         within = within.join(F.broadcast(raw_days), "dt", "left_semi")  # at most one row per day of the range
-    saved = rollup_savings(within).agg(F.sum("saved")).first()[0] or 0
-    tables.replace_days(
-        summarize(within, compact=compact), store.facts_path, scratch_path(spark, "summarize")
-    )
+    with sized_shuffles(facts):
+        saved = rollup_savings(within).agg(F.sum("saved")).first()[0] or 0
+        staging = scratch_path(spark, "summarize")
+        tables.replace_days(summarize(within, compact=compact), store.facts_path, staging)
     return saved
 
 
 def roll_over(spark: SparkSession, store: Store, target: Store) -> None:
     """Write all facts of a store, summarised, as another store's facts."""
-    tables.append_facts(year_rollover(store.facts(spark)), target.facts_path)
+    facts = store.facts(spark)
+    with sized_shuffles(facts):
+        tables.append_facts(year_rollover(facts), target.facts_path)
 
 
 def reroll_days(landed: DataFrame, daily_path: str, days: DataFrame | None = None) -> None:

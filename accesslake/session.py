@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+INITIAL_PARTITIONS_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def get_session(app_name: str = "accesslake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect; ``conf`` keys use ``__`` for dots.
 
-    Nothing here fixes the degree of parallelism: AQE sizes shuffle partitions from the bytes it
-    sees, and splits partitions a hot key has blown up.
+    AQE joins small shuffle partitions and splits those a hot key has blown up; how many it starts
+    from is set per job by ``sized_shuffles``.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -52,3 +57,26 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def sized_shuffles(scanned: DataFrame, partition_bytes: int = SHUFFLE_BYTES) -> Iterator[int]:
+    """Let shuffles inside the block start from one partition per so many bytes of ``scanned``.
+
+    AQE can join partitions but does not split even ones, so a fixed number is too few for some
+    input. The size is Catalyst's own for a table scan; where it has none the session's number stays.
+    """
+    spark = scanned.sparkSession
+    size = int(scanned._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size < 1 << 60:
+        partitions = max(partitions, min(-(-size // partition_bytes), MAX_SHUFFLE_PARTITIONS))
+    before = spark.conf.get(INITIAL_PARTITIONS_CONF, None)
+    spark.conf.set(INITIAL_PARTITIONS_CONF, partitions)
+    try:
+        yield partitions
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS_CONF)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS_CONF, before)

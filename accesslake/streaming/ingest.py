@@ -83,7 +83,8 @@ def land_batch(
     agents = landing.agents(spark).filter(earlier)
     agent_additions(downloads, agents).write.mode("overwrite").parquet(path("user_agents"))
     archived = downloads.select(F.year("dtime_local").alias("year"), "line")
-    archived.write.mode("overwrite").partitionBy("year").text(path("archive"))
+    archive = archived.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    archive.partitionBy("year").text(path("archive"))
 
 
 def ingest_stream(

@@ -44,18 +44,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Deal a table over all cores when its files make fewer splits; big tables stay as scanned."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(EV, events=_spread(table(spark, sf_dir, "events")))
+    return spark.sql(EV, events=table(spark, sf_dir, "events"))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(OW, orders=_spread(table(spark, sf_dir, "orders")))
+    return spark.sql(OW, orders=spread(table(spark, sf_dir, "orders")))
+
+
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events for the queries that write and parse a line for each."""
+    return spark.sql(EV, events=spread(table(spark, sf_dir, "events")))
 
 
 def log_time(c: str, offset: str) -> Column:
@@ -92,13 +97,13 @@ def with_order_line(ow: DataFrame) -> DataFrame:
 
 
 def bucket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_bucket_line(events(spark, sf_dir)).select("line")
+    return with_bucket_line(spread_events(spark, sf_dir)).select("line")
 
 
 def repeated_bucket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks are logged twice, signups three times."""
     copies = F.when(F.col("event_type") == "click", 2).when(F.col("event_type") == "signup", 3).otherwise(1)
-    return with_bucket_line(events(spark, sf_dir)).select(
+    return with_bucket_line(spread_events(spark, sf_dir)).select(
         "event_id", "line", F.explode(F.array_repeat(F.col("line"), copies)).alias("_copy")
     ).drop("_copy")
 
@@ -107,9 +112,9 @@ REPEATS = "case event_type when 'click' then 2 when 'signup' then 3 else 1 end"
 
 
 def stage_text(rows: DataFrame, label: str, by: str = "day") -> str:
-    """Write (``by``, ``line``) rows as text files, one folder per value; returns the path."""
+    """Write (``by``, ``line``) rows as text files, a folder per value with few files each; returns the path."""
     path = scratch_path(rows.sparkSession, label)
-    rows.select(by, "line").write.partitionBy(by).text(path)
+    rows.select(by, "line").hint("rebalance", by).write.partitionBy(by).text(path)
     return path
 
 

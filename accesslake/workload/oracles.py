@@ -212,6 +212,7 @@ SQL: dict[str, str] = {
         cast(sum(bytes_sent) as bigint) as bytes from dl group by 1""",
     "stream_ingest": f"with {DL} select {FACT} from dl",
     "stream_resume": f"with {DL} select {FACT} from dl",
+    "stream_late_reroll": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, dt, bytes_sent from daily",
     "stream_dedup": f"with {REC} select {BUCKET_LINE} as line, dtime from rec",
     "stream_daily_rollup": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, dt, bytes_sent from daily",
     "stream_class_counts": f"with {REC} select class, count(*) as n from rec group by class",

@@ -16,6 +16,7 @@ from accesslake.operators import parse as P
 from accesslake.operators import reports as R
 from accesslake.operators import rollup as A
 from accesslake.operators import star as S
+from accesslake.plans.summarize import reroll_days
 from accesslake.session import scratch_path
 from accesslake.sources.listing import list_objects as list_files
 from accesslake.sources.logs import archive_lines, scan_logs, stream_logs
@@ -79,7 +80,7 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
 
 @query
 def scan_log_lines(spark, sf_dir):
-    ev = I.with_bucket_line(I.events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
     lines = scan_logs(spark, I.stage_text(ev, "scan"))
     return lines.select("line", F.regexp_extract("file_path", r"day=(\d{4}-\d\d-\d\d)", 1).alias("day"))
 
@@ -110,7 +111,7 @@ def export_catalog_json(spark, sf_dir):
 
 @query
 def parse_web_log(spark, sf_dir):
-    lines = I.with_web_line(I.events(spark, sf_dir)).select("line")
+    lines = I.with_web_line(I.spread_events(spark, sf_dir)).select("line")
     return P.good_records(P.parse_web_log(lines)).select(
         "remote_ip", "ident", "user", I.utc("dtime").alias("dtime"), "dtime_local", "request", "method", "url",
         "key", "http_status", "bytes_sent", "referrer", "user_agent", "operation",
@@ -162,7 +163,7 @@ def quarantine_bad_lines(spark, sf_dir):
         .when(F.col("event_type") == "purchase", F.replace(line, F.lit('HTTP/1.1" '), F.lit('HTTP/1.1" 9" ')))
         .otherwise(line)
     )
-    parsed = P.parse_bucket_log(I.with_bucket_line(I.events(spark, sf_dir)).select(broken.alias("line")))
+    parsed = P.parse_bucket_log(I.with_bucket_line(I.spread_events(spark, sf_dir)).select(broken.alias("line")))
     good = P.good_records(parsed).select("line", F.lit(None).cast("string").alias("parse_error"))
     return good.unionByName(P.malformed_lines(parsed))
 
@@ -172,7 +173,7 @@ def decode_keys(spark, sf_dir):
     def encode(c):
         return F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
 
-    docs = I.table(spark, sf_dir, "documents").select("doc_id", encode(encode(F.col("text"))).alias("raw"))
+    docs = I.spread(I.table(spark, sf_dir, "documents")).select("doc_id", encode(encode(F.col("text"))).alias("raw"))
     return docs.select("doc_id", text.percent_decode(F.col("raw")).alias("key"))
 
 
@@ -214,7 +215,7 @@ def is_download(spark, sf_dir):
 
 @query
 def unify_logs(spark, sf_dir):
-    web = P.good_records(P.parse_web_log(I.with_web_line(I.events(spark, sf_dir)).select("line")))
+    web = P.good_records(P.parse_web_log(I.with_web_line(I.spread_events(spark, sf_dir)).select("line")))
     return P.unify_logs(_records(spark, sf_dir), web).select(
         "source", I.utc("dtime").alias("dtime"), "dtime_local", "remote_ip", "operation", "key", "http_status",
         "bytes_sent", "object_size", "user_agent", "request_id", "method",
@@ -229,7 +230,7 @@ def nonblank_lines(spark, sf_dir):
     padded = F.when(F.col("event_type") == "signup", F.lit(" \t　 ")).otherwise(
         F.concat(F.lit("\t "), "line", F.lit("  \r"))
     )
-    return K.nonblank_lines(I.with_bucket_line(I.events(spark, sf_dir)).select(padded.alias("line")))
+    return K.nonblank_lines(I.with_bucket_line(I.spread_events(spark, sf_dir)).select(padded.alias("line")))
 
 
 @query
@@ -348,7 +349,7 @@ def load_downloads_collated(spark, sf_dir):
 
 @query
 def unify_normalized_keys(spark, sf_dir):
-    web = P.good_records(P.parse_web_log(I.with_web_line(I.events(spark, sf_dir)).select("line")))
+    web = P.good_records(P.parse_web_log(I.with_web_line(I.spread_events(spark, sf_dir)).select("line")))
     both = P.normalize_keys(P.unify_logs(_records(spark, sf_dir), web))
     return both.groupBy("source", "key").agg(F.count(F.lit(1)).alias("n"))
 
@@ -494,17 +495,19 @@ def dates_seen(spark, sf_dir):
     return A.dates_seen(_records(spark, sf_dir))
 
 
-def _stage_daily_files(spark, sf_dir, rows, label):
+def _stage_daily_files(rows, label):
     """One file per day, lines in event order."""
     ordered = rows.repartitionByRange("day").sortWithinPartitions("day", "event_id")
-    return I.stage_text(ordered, label)
+    path = scratch_path(rows.sparkSession, label)
+    ordered.select("day", "line").write.partitionBy("day").text(path)
+    return path
 
 
 @query
 def batch_bounds(spark, sf_dir):
-    ev = I.with_bucket_line(I.events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
     blanked = ev.withColumn("line", F.when(F.col("event_type") == "signup", F.lit("")).otherwise(F.col("line")))
-    lines = scan_logs(spark, _stage_daily_files(spark, sf_dir, blanked, "batches"))
+    lines = scan_logs(spark, _stage_daily_files(blanked, "batches"))
     records = P.good_records(P.parse_bucket_log(K.nonblank_lines(A.number_lines(lines))))
     return A.batch_bounds(records, size=100).select(
         F.regexp_extract("file_path", r"day=(\d{4}-\d\d-\d\d)", 1).alias("day"),
@@ -516,8 +519,8 @@ def batch_bounds(spark, sf_dir):
 
 @query
 def ingest_counters(spark, sf_dir):
-    ev = I.with_bucket_line(I.events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
-    lines = scan_logs(spark, _stage_daily_files(spark, sf_dir, ev, "counters"))
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    lines = scan_logs(spark, _stage_daily_files(ev, "counters"))
     counters = A.ingest_counters(K.classify(P.good_records(P.parse_bucket_log(lines))))
     return counters.withColumns({c: I.utc(c) for c in ("earliest", "latest")})
 
@@ -603,7 +606,7 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def _stage_days(spark, rows, label):
+def _stage_days(rows, label):
     return I.stage_text(rows.withColumn("day", F.to_date("ts")), label)
 
 
@@ -620,7 +623,7 @@ def _run_ingest(spark, source, landing, checkpoint):
 
 @query
 def stream_ingest(spark, sf_dir):
-    source = _stage_days(spark, I.with_bucket_line(I.events(spark, sf_dir)), "ingest-in")
+    source = _stage_days(I.with_bucket_line(I.spread_events(spark, sf_dir)), "ingest-in")
     landing = SI.Landing(scratch_path(spark, "landing"))
     _run_ingest(spark, source, landing, scratch_path(spark, "ingest-checkpoint"))
     return _landed_facts(spark, landing)
@@ -628,21 +631,41 @@ def stream_ingest(spark, sf_dir):
 
 @query
 def stream_resume(spark, sf_dir):
-    ev = I.with_bucket_line(I.events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
     source, checkpoint = scratch_path(spark, "resume-in"), scratch_path(spark, "resume-checkpoint")
     landing = SI.Landing(scratch_path(spark, "landing"))
     clicks = F.col("event_type") == "click"
     for part in (ev.filter(clicks), ev.filter(~clicks)):
-        part.select("day", "line").write.mode("append").partitionBy("day").text(source)
+        part.select("day", "line").hint("rebalance", "day").write.mode("append").partitionBy("day").text(source)
         _run_ingest(spark, source, landing, checkpoint)
     return _landed_facts(spark, landing)
 
 
+@query
+def stream_late_reroll(spark, sf_dir):
+    """Purchases and clicks arrive after their days have been rolled up; those days are done again."""
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    source, checkpoint = scratch_path(spark, "late-in"), scratch_path(spark, "late-checkpoint")
+    landing, daily = SI.Landing(scratch_path(spark, "landing")), scratch_path(spark, "daily")
+    late = F.col("event_type").isin("click", "purchase")
+    touched = None
+    for part in (ev.filter(~late), ev.filter(late)):
+        part.select("day", "line").hint("rebalance", "day").write.mode("append").partitionBy("day").text(source)
+        before = landing.records(spark).agg(F.max("batch_id")).first()[0]
+        _run_ingest(spark, source, landing, checkpoint)
+        landed = landing.downloads(spark)
+        if before is not None:
+            touched = landed.filter(F.col("batch_id") > before).select("dt")
+        reroll_days(landed, daily, touched)
+    named = _named(spark.read.parquet(daily), spark, sf_dir)
+    return named.select("s3key", F.col("remote_ipaddr").alias("remote_ip"), "user_agent", "dt", "bytes_sent")
+
+
 @query
 def stream_dedup(spark, sf_dir):
-    ev = I.with_bucket_line(I.events(spark, sf_dir)).select("event_id", "ts", "line")
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).select("event_id", "ts", "line")
     repeated = ev.drop("line").join(I.repeated_bucket_lines(spark, sf_dir), "event_id")
-    lines = stream_logs(_stream_session(spark), _stage_days(spark, repeated, "dedup-in"))
+    lines = stream_logs(_stream_session(spark), _stage_days(repeated, "dedup-in"))
     records = P.good_records(P.parse_bucket_log(lines))
     out = scratch_path(spark, "dedup-out")
     view = SL.dedup_stream(records).select("line", "dtime")
@@ -652,7 +675,7 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_daily_rollup(spark, sf_dir):
-    source = _stage_days(spark, I.with_bucket_line(I.events(spark, sf_dir)), "sums-in")
+    source = _stage_days(I.with_bucket_line(I.spread_events(spark, sf_dir)), "sums-in")
     lines = stream_logs(_stream_session(spark), source)
     downloads = K.downloads_only(K.classify(P.good_records(P.parse_bucket_log(lines))))
     out = scratch_path(spark, "sums-out")
@@ -665,7 +688,7 @@ def stream_daily_rollup(spark, sf_dir):
 
 @query
 def stream_class_counts(spark, sf_dir):
-    source = _stage_days(spark, I.with_bucket_line(I.events(spark, sf_dir)), "counts-in")
+    source = _stage_days(I.with_bucket_line(I.spread_events(spark, sf_dir)), "counts-in")
     lines = stream_logs(_stream_session(spark), source)
     classified = K.classify(P.good_records(P.parse_bucket_log(lines)))
     out = scratch_path(spark, "counts-out")

@@ -8,7 +8,7 @@ from accesslake.plans.corpus import collect_garbage, copy_downloads, hash_listin
 from accesslake.plans.ingest import ingest_files
 from accesslake.plans.store import Store
 from accesslake.plans.summarize import roll_over, summarize_store
-from accesslake.session import scratch_path, shared_dir
+from accesslake.session import INITIAL_PARTITIONS_CONF, scratch_path, shared_dir, sized_shuffles
 from accesslake.sources import tables
 from accesslake.sources.listing import list_objects
 from test_catalog import objects_on_disk
@@ -117,3 +117,15 @@ def test_unfinished_snapshot_is_not_current(spark, tmp_path):
 def test_scratch_is_in_the_configured_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shuffles_grow_with_the_scan(spark, tmp_path):
+    spark.range(10_000).write.parquet(f"{tmp_path}/t")
+    scanned = spark.read.parquet(f"{tmp_path}/t")
+    with sized_shuffles(scanned, partition_bytes=1000) as many:
+        assert many > 20
+        assert spark.conf.get(INITIAL_PARTITIONS_CONF) == str(many)
+        assert scanned.groupBy("id").count()._jdf.queryExecution().executedPlan().toString().count(f", {many})") == 1
+    assert spark.conf.get(INITIAL_PARTITIONS_CONF, None) is None
+    with sized_shuffles(scanned) as few:
+        assert few == 4
