@@ -15,13 +15,15 @@ LOG_TIME_FORMAT = "d/MMM/yyyy HH:mm:ss Z"
 
 def clean_log_date(c: Column) -> Column:
     """``02/Nov/2019:10:55:30 -0400] junk`` -> ``02/Nov/2019 10:55:30 -0400``."""
-    spaced = F.regexp_replace(c, r"^([^:]*):", "$1 ")
+    colon = F.locate(":", c)
+    spaced = F.when(colon > 0, F.overlay(c, F.lit(" "), colon, F.lit(1))).otherwise(c)
     return F.when(F.locate("]", c) > 1, F.substring_index(spaced, "]", 1)).otherwise(spaced)
 
 
 def with_offset(cleaned: Column) -> Column:
     """A cleaned date with its offset; UTC where it has none."""
-    return F.when(cleaned.rlike(r"[+-]\d{4}$"), cleaned).otherwise(F.concat(cleaned, F.lit(" +0000")))
+    signed = F.substring(cleaned, -5, 1).isin("+", "-")
+    return F.when(signed, cleaned).otherwise(F.concat(cleaned, F.lit(" +0000")))
 
 
 def log_instant(zoned: Column) -> Column:

@@ -143,11 +143,8 @@ def gc_report(listing: DataFrame, catalog: DataFrame, facts: DataFrame) -> DataF
     """One row with the counts of a collection."""
     listed = listing.groupBy("s3key").agg(F.count(F.lit(1)).alias("_entries"))
     downloaded = _downloaded(facts).distinct().withColumn("_downloaded", F.lit(True))
-    status = (
-        catalog.select("s3key", "id", F.lit(True).alias("_known"))
-        .join(listed, "s3key", "full_outer")
-        .join(downloaded, "id", "left")
-    )
+    known = catalog.select("s3key", "id", F.lit(True).alias("_known")).join(downloaded, "id", "left")
+    status = known.join(listed, "s3key", "full_outer")
     vanished = F.col("_known").isNotNull() & F.col("_entries").isNull()
     used = F.col("_downloaded").isNotNull()
     return status.agg(
