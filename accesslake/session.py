@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 INITIAL_PARTITIONS_CONF = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SHUFFLE_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
@@ -28,6 +29,7 @@ def get_session(app_name: str = "accesslake", master: str | None = None, **conf:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     )
     if master:
         builder = builder.master(master)

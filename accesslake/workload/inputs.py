@@ -124,6 +124,11 @@ def utc(c: str | Column) -> Column:
     return F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz"))
 
 
+def day(c: str) -> Column:
+    """A date as text, which every client shows alike."""
+    return F.date_format(c, "yyyy-MM-dd")
+
+
 # Catalog and listing over parts. A part's file is in the catalog; parts of some brands have no
 # digests, and the listing has new ETags, new times and new files for some sizes and types.
 CATALOG = """

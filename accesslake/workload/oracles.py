@@ -70,7 +70,7 @@ SQL: dict[str, str] = {
         case when o_orderpriority <> '5-LOW' then wall + interval 4 hour end as dtime,
         case when o_orderpriority <> '5-LOW' then wall end as dtime_local from ow""",
     "safe_int": f"""with {EV} select event_id, {BYTES} as bytes_sent, {STATUS} as http_status,
-        cast(null as bigint) as no_number from ev""",
+        case when event_type <> 'view' then {SIZE} end as object_size from ev""",
     "quarantine_bad_lines": f"""with {EV}, l as (select *, {BUCKET_LINE} as line from ev)
         select case event_type
             when 'error' then array_to_string(list_slice(string_split(line, ' '), 1, 9), ' ')
@@ -169,7 +169,7 @@ SQL: dict[str, str] = {
     "hash_sha2": "select doc_id, sha256(text) as sha2_256 from documents",
     "class_counts": f"with {REC} select class, count(*) as n from rec group by class",
     "time_bounds": f"with {REC} select min(dtime) as earliest, max(dtime) as latest from rec",
-    "dates_seen": f"with {REC} select distinct dt as day from rec",
+    "dates_seen": f"with {REC} select distinct strftime(dt, '%Y-%m-%d') as day from rec",
     "batch_bounds": f"""with {REC}, idx as (select *,
           row_number() over (partition by dt order by event_id) - 1 as i from rec),
         step as (select dt, greatest(1, cast(ceil(i / 100.0) as bigint)) as step, min(dtime) as lo, max(dtime) as hi,
@@ -182,10 +182,10 @@ SQL: dict[str, str] = {
     "ingest_counters": f"""with {REC} select count(distinct dt) as n_objects, count(*) as n_records,
         count(*) filter (class = 'DOWNLOAD') as n_downloads, min(dtime) filter (class = 'DOWNLOAD') as earliest,
         max(dtime) filter (class = 'DOWNLOAD') as latest from rec""",
-    "daily_rollup": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, dt, bytes_sent from daily",
+    "daily_rollup": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, strftime(dt, '%Y-%m-%d') as dt, bytes_sent from daily",
     "rollup_savings": f"""with {DAILY}, r as (select dt, count(*) as raw from dl group by dt),
         g as (select dt, count(*) as groups from daily group by dt)
-        select dt, raw + groups as rows_before, groups + groups as rows_after, raw - groups as saved
+        select strftime(dt, '%Y-%m-%d') as dt, raw + groups as rows_before, groups + groups as rows_after, raw - groups as saved
         from r join g using (dt)""",
     "rollup_range": f"""with {DAILY} select {FACT} from dl where dt not between date '2024-01-05' and date '2024-01-20'
         union all select {SUMMED} from daily where dt between date '2024-01-05' and date '2024-01-20'""",
@@ -193,7 +193,7 @@ SQL: dict[str, str] = {
         union all select k, ua, ip, cast(dt as timestamp),
           case when dt <= date '2024-01-10' then 2 * bytes_sent else bytes_sent end, true
         from daily where dt between date '2024-01-05' and date '2024-01-20'""",
-    "rollup_bounds": f"with {DL} select min(dt) as first_day, max(dt) as last_day from dl where dt > date '2024-01-10'",
+    "rollup_bounds": f"with {DL} select strftime(min(dt), '%Y-%m-%d') as first_day, strftime(max(dt), '%Y-%m-%d') as last_day from dl where dt > date '2024-01-10'",
     "year_rollover": f"with {DAILY} select {SUMMED} from daily",
     "store_stats": f"""with {DL} select (select count(distinct k) from ev) as n_files, count(*) as n_downloads,
         min(dtime) as earliest, max(dtime) as latest from dl""",
@@ -212,9 +212,9 @@ SQL: dict[str, str] = {
         cast(sum(bytes_sent) as bigint) as bytes from dl group by 1""",
     "stream_ingest": f"with {DL} select {FACT} from dl",
     "stream_resume": f"with {DL} select {FACT} from dl",
-    "stream_late_reroll": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, dt, bytes_sent from daily",
+    "stream_late_reroll": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, strftime(dt, '%Y-%m-%d') as dt, bytes_sent from daily",
     "stream_dedup": f"with {REC} select {BUCKET_LINE} as line, dtime from rec",
-    "stream_daily_rollup": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, dt, bytes_sent from daily",
+    "stream_daily_rollup": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, strftime(dt, '%Y-%m-%d') as dt, bytes_sent from daily",
     "stream_class_counts": f"with {REC} select class, count(*) as n from rec group by class",
 }
 

@@ -150,7 +150,7 @@ def safe_int(spark, sf_dir):
         "event_id",
         text.safe_int(F.col("bs")).alias("bytes_sent"),
         text.safe_int(F.col("st"), "int").alias("http_status"),
-        text.safe_int(F.col("op")).alias("no_number"),
+        text.safe_int(F.when(F.col("event_type") == "view", F.col("op")).otherwise(F.col("sz"))).alias("object_size"),
     )
 
 
@@ -492,7 +492,7 @@ def time_bounds(spark, sf_dir):
 
 @query
 def dates_seen(spark, sf_dir):
-    return A.dates_seen(_records(spark, sf_dir))
+    return A.dates_seen(_records(spark, sf_dir)).select(I.day("day").alias("day"))
 
 
 def _stage_daily_files(rows, label):
@@ -528,13 +528,15 @@ def ingest_counters(spark, sf_dir):
 @query
 def daily_rollup(spark, sf_dir):
     named = _named(A.daily_rollup(_facts(spark, sf_dir)), spark, sf_dir)
-    return named.select("s3key", F.col("remote_ipaddr").alias("remote_ip"), "user_agent", "dt", "bytes_sent")
+    return named.select(
+        "s3key", F.col("remote_ipaddr").alias("remote_ip"), "user_agent", I.day("dt").alias("dt"), "bytes_sent"
+    )
 
 
 @query
 def rollup_savings(spark, sf_dir):
     raw = _facts(spark, sf_dir)
-    return A.rollup_savings(raw.unionByName(A.daily_rollup(raw)))
+    return A.rollup_savings(raw.unionByName(A.daily_rollup(raw))).withColumn("dt", I.day("dt"))
 
 
 @query
@@ -551,7 +553,8 @@ def rollup_compact(spark, sf_dir):
 
 @query
 def rollup_bounds(spark, sf_dir):
-    return A.rollup_bounds(A.summarize(_facts(spark, sf_dir), "2024-01-01", "2024-01-10"))
+    bounds = A.rollup_bounds(A.summarize(_facts(spark, sf_dir), "2024-01-01", "2024-01-10"))
+    return bounds.select(I.day("first_day").alias("first_day"), I.day("last_day").alias("last_day"))
 
 
 @query
@@ -658,7 +661,9 @@ def stream_late_reroll(spark, sf_dir):
             touched = landed.filter(F.col("batch_id") > before).select("dt")
         reroll_days(landed, daily, touched)
     named = _named(spark.read.parquet(daily), spark, sf_dir)
-    return named.select("s3key", F.col("remote_ipaddr").alias("remote_ip"), "user_agent", "dt", "bytes_sent")
+    return named.select(
+        "s3key", F.col("remote_ipaddr").alias("remote_ip"), "user_agent", I.day("dt").alias("dt"), "bytes_sent"
+    )
 
 
 @query
@@ -682,7 +687,8 @@ def stream_daily_rollup(spark, sf_dir):
     SL.write_changes(SL.daily_sums(downloads), out, scratch_path(spark, "sums-checkpoint")).awaitTermination()
     sums = SL.latest_values(spark, out, ["dt", "key", "remote_ipaddr", "user_agent"], "bytes_sent")
     return sums.select(
-        F.col("key").alias("s3key"), F.col("remote_ipaddr").alias("remote_ip"), "user_agent", "dt", "bytes_sent"
+        F.col("key").alias("s3key"), F.col("remote_ipaddr").alias("remote_ip"), "user_agent", I.day("dt").alias("dt"),
+        "bytes_sent",
     )
 
 
