@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.functions import text
+from accesslake.sources.tables import existing_paths
 
 def _line_columns() -> list:
     return [
@@ -20,12 +21,16 @@ def _line_columns() -> list:
 def scan_logs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of files and whole directory trees, each with its position.
 
-    Every file is taken, whatever its suffix; compressed ones are unpacked by suffix. ``row_id`` grows
-    along a split, so (file_path, file_block_start, row_id) is the order of the input.
+    Every file is taken, whatever its suffix; compressed ones are unpacked by suffix, and paths that
+    name nothing are passed over. ``row_id`` grows along a split, so (file_path, file_block_start,
+    row_id) is the order of the input.
     """
+    found = existing_paths(spark, [paths] if isinstance(paths, str) else list(paths))
+    if not found:
+        return spark.createDataFrame([], "line string, file_path string, file_block_start bigint, row_id bigint")
     return (
         spark.read.option("recursiveFileLookup", "true")
-        .text(paths if isinstance(paths, str) else list(paths))
+        .text(found)
         .select(*_line_columns(), F.monotonically_increasing_id().alias("row_id"))
     )
 

@@ -23,12 +23,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    filesystem, hadoop_path = _filesystem(spark, root)
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none where it does not exist."""
+    filesystem, hadoop_path = _filesystem(spark, path)
     if not filesystem.exists(hadoop_path):
         return []
-    names = [s.getPath().getName() for s in filesystem.listStatus(hadoop_path)]
-    return sorted(int(n.removeprefix("v")) for n in names if n.startswith("v") and n[1:].isdigit())
+    return [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
+
+
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of some paths or patterns that name a file or folder."""
+    found = []
+    for path in paths:
+        filesystem, hadoop_path = _filesystem(spark, path)
+        if filesystem.globStatus(hadoop_path):
+            found.append(path)
+    return found
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(n[1:]) for n in child_names(spark, root) if n.startswith("v") and n[1:].isdigit())
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from accesslake.session import scratch_path
 
@@ -170,6 +169,3 @@ def part_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DOWNLOADED = "l_returnflag = 'R' and l_quantity > 48 and l_linestatus = 'O'"
-
-AGENT_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("user_agent", T.StringType())])
-CATALOG_KEYS = T.StructType([T.StructField("id", T.StringType()), T.StructField("s3key", T.StringType())])

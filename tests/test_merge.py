@@ -35,6 +35,8 @@ def test_scan_takes_trees_and_compressed_files(spark, tmp_path):
     assert got == {"one", "two", "thrée", "four"}
     both = scan_logs(spark, [f"{tmp_path}/in/a.log", f"{tmp_path}/in/deep"])
     assert nonblank_lines(both).count() == 4
+    assert scan_logs(spark, [f"{tmp_path}/none", f"{tmp_path}/in/*.log"]).count() == 3
+    assert scan_logs(spark, f"{tmp_path}/none").count() == 0
 
 
 def test_ignore_list(spark, tmp_path):

@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -75,6 +77,30 @@ def test_bucket_quoting_and_short_lines(lines, bucket):
     assert rows[8].parse_error is None and rows[8].tls_version == "TLSv1.2"
 
 
+def python_tokens(line):
+    """Kind and text of every token, by Python's own scanner."""
+    return [
+        ("q", q) if q else ("b", b) if b else ("p", p)
+        for q, b, p in re.findall(r'"([^"]+)"|\[([^\]]+)\]|([^ ]+)', line)
+    ]
+
+
+def test_tokens_against_python(spark):
+    rng = random.Random(11)
+    pieces = ["a", "-", '"', '"x y"', "[", "]", "[t 1]", " ", " ", "  ", '""', "[]", 'b"c', "é", "%20"]
+    rows = [" ".join(rng.choices(pieces, k=rng.randint(15, 26))) if i % 2 else "".join(rng.choices(pieces, k=60)) for i in range(400)]
+    df = spark.createDataFrame([(r,) for r in rows], "line string")
+    kinds = {"bucket_owner": "p", "operation": "p", "request_uri": "q", "user_agent": "q", "referer": "q", "tls_version": "p", "host_id": "p"}
+    for got in P.parse_bucket_log(df).collect():
+        tokens = python_tokens(got.line)
+        assert (got.parse_error == "fields") == (len(tokens) < 17)
+        if len(tokens) >= 17:
+            for name, kind in kinds.items():
+                i = P.BUCKET_POSITIONS[name]
+                want = None if i >= len(tokens) else tokens[i][1] if tokens[i][0] == kind else ""
+                assert got[name] == want, (got.line, name)
+
+
 def test_modes(lines, bucket):
     parsed_rows = P.parse_bucket_log(lines(bucket(), "junk"))
     assert P.good_records(parsed_rows).count() == 1

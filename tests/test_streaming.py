@@ -68,6 +68,22 @@ def test_a_repeated_batch_changes_nothing(spark, lines, bucket, tmp_path):
     assert landing.class_counts(spark).first().n == 4
 
 
+def test_compacted_dimensions(spark, lines, bucket, tmp_path):
+    landing = SI.Landing(f"{tmp_path}/landing")
+    landing.compact(spark)
+    SI.land_batch(lines(bucket(key="a", size="1"), bucket(key="b")), 0, landing, "bucket")
+    SI.land_batch(lines(bucket(key="a", size="5"), bucket(key="c", agent='"z"')), 1, landing, "bucket")
+    for _ in range(2):
+        landing.compact(spark)
+        assert sorted((r.s3key, r.bytes) for r in landing.catalog(spark).collect()) == [("a", 1), ("b", 100), ("c", 100)]
+    SI.land_batch(lines(bucket(key="c", size="7"), bucket(key="d")), 2, landing, "bucket")
+    SI.land_batch(lines(bucket(key="a", size="5"), bucket(key="c", agent='"z"')), 1, landing, "bucket")
+    assert sorted(r.s3key for r in landing.catalog(spark).collect()) == ["a", "b", "c", "d"]
+    assert landing.agents(spark).count() == 2
+    read = landing.catalog(spark).inputFiles()
+    assert not [f for f in read if "batch_id=0" in f or "batch_id=1" in f]
+
+
 def test_late_rows_reach_the_daily_table_by_rerolling(spark, lines, bucket, tmp_path):
     landing, daily = SI.Landing(f"{tmp_path}/landing"), f"{tmp_path}/daily"
     SI.land_batch(lines(bucket(time=when(1)), bucket(time=when(1, 6)), bucket(time=when(2))), 0, landing, "bucket")
