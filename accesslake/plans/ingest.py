@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from accesslake import schemas
 from accesslake.operators.classify import drop_ignored_keys, nonblank_lines, record_class
-from accesslake.operators.parse import parse_logs
+from accesslake.operators.parse import good_records, parse_logs
 from accesslake.operators.star import agent_additions, catalog_additions, fact_rows
 from accesslake.plans.store import Store
 from accesslake.session import scratch_path, sized_shuffles
@@ -32,15 +32,15 @@ def classified_lines(
 ) -> DataFrame:
     """Parsed and classified lines; malformed ones are the class ``MALFORMED``, or end the job."""
     parsed = parse_logs(nonblank_lines(lines), log_format)
+    error = F.col("parse_error")
+    if mode == "failfast":
+        parsed = good_records(parsed, mode).withColumn("parse_error", F.lit(None).cast("string"))
+    else:
+        parsed = parsed.withColumn("key", F.when(error.isNull(), F.col("key")))
     if ignored is not None:
         parsed = drop_ignored_keys(parsed, ignored)
-    bad = F.lit(MALFORMED)
-    if mode == "failfast":
-        bad = F.raise_error(F.concat(F.lit("malformed log line: "), F.col("line")))
-    label = F.when(F.col("parse_error").isNotNull(), bad).otherwise(
-        record_class(F.col("operation"), F.col("http_status"))
-    )
-    return parsed.withColumn("class", label)
+    label = record_class(F.col("operation"), F.col("http_status"))
+    return parsed.withColumn("class", F.when(error.isNotNull(), F.lit(MALFORMED)).otherwise(label))
 
 
 def land(classified: DataFrame, path: str, partition_by: Sequence[str] = ("class",)) -> dict[str, int]:

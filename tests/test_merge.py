@@ -2,6 +2,7 @@ import gzip
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from accesslake.operators import merge as M
@@ -57,6 +58,12 @@ def test_merge_job(spark, tmp_path):
     assert (report.earliest, report.latest) == (datetime(2020, 7, 5, 0, 0, 10), datetime(2020, 7, 5, 1, 0, 1))
 
 
+def test_malformed_line_ends_a_merge(lines):
+    with pytest.raises(Exception, match="malformed log line"):
+        M.merge_records(lines(web(1), "junk"), "web", year=2020).collect()
+    assert M.merge_records(lines(web(1), "junk"), "web", year=2020, mode="quarantine").count() == 1
+
+
 def test_report_of_nothing(lines):
     row = M.merge_report(lines(""), "web").first()
     assert (row.total_read, row.dups, row.written, row.earliest) == (0, 0, 0, None)

@@ -107,7 +107,11 @@ def test_modes(lines, bucket):
     assert [tuple(r) for r in P.malformed_lines(parsed_rows).collect()] == [("junk", "fields")]
     with pytest.raises(Exception, match="malformed log line"):
         P.good_records(parsed_rows, "failfast").select("key").collect()
-    assert P.good_records(P.parse_bucket_log(lines(bucket())), "failfast").count() == 1
+    strict = P.good_records(parsed_rows, "failfast")
+    for later in (K.downloads_only(K.classify(strict)), K.filter_year(strict, 2021), strict.filter("key = 'zz'")):
+        with pytest.raises(Exception, match="malformed log line"):
+            later.collect()
+    assert K.filter_year(P.good_records(P.parse_bucket_log(lines(bucket())), "failfast"), 2021).count() == 1
     with pytest.raises(ValueError):
         P.good_records(parsed_rows, "skip")
 

@@ -65,6 +65,12 @@ def test_malformed_line_ends_a_failfast_ingest(spark, lines, bucket, tmp_path):
     store = Store(f"{tmp_path}/store")
     with pytest.raises(Exception, match="malformed log line"):
         ingest_files(spark, lines(bucket(), "junk"), "bucket", store, mode="failfast")
+    short = " ".join(bucket(key="skip").split(" ")[:12])
+    ignored = spark.createDataFrame([("skip",)], "key string")
+    with pytest.raises(Exception, match="malformed log line"):
+        ingest_files(spark, lines(bucket(), short), "bucket", store, ignored, mode="failfast")
+    counts = ingest_files(spark, lines(bucket(key="skip"), short), "bucket", Store(f"{tmp_path}/other"), ignored)
+    assert {k: v for k, v in counts.items() if v} == {"MALFORMED": 1}
     assert store.facts(spark).count() == 0
 
 
