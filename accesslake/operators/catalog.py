@@ -93,12 +93,12 @@ def apply_hashes(catalog: DataFrame, hashed: DataFrame) -> DataFrame:
 
 def gc_missing(listing: DataFrame, catalog: DataFrame) -> DataFrame:
     """Keys listed but not in the catalog."""
-    return anti_join(listing.select("s3key"), catalog, ["s3key"], check_size=False)
+    return anti_join(listing.select("s3key"), catalog, ["s3key"], unique=True)
 
 
 def gc_vanished(listing: DataFrame, catalog: DataFrame) -> DataFrame:
     """Catalog rows whose key is not listed any more."""
-    return anti_join(catalog, listing, ["s3key"], check_size=False)
+    return anti_join(catalog, listing, ["s3key"], unique=True)
 
 
 def _downloaded(facts: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def _downloaded(facts: DataFrame) -> DataFrame:
 
 def gc_deletable(listing: DataFrame, catalog: DataFrame, facts: DataFrame) -> DataFrame:
     """Vanished rows nobody downloaded; they are removed."""
-    return anti_join(gc_vanished(listing, catalog), _downloaded(facts), ["id"], check_size=False)
+    return anti_join(gc_vanished(listing, catalog), _downloaded(facts), ["id"])
 
 
 def gc_absent(listing: DataFrame, catalog: DataFrame, facts: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def filter_year(records: DataFrame, year: int | None) -> DataFrame:
 
 def drop_ignored_keys(records: DataFrame, ignored: DataFrame) -> DataFrame:
     """Records whose key is not in ``ignored.key``."""
-    return anti_join(records, ignored.select("key"), ["key"])
+    return anti_join(records, ignored, ["key"], check_size=True)
 
 
 def record_class(operation: Column, http_status: Column) -> Column:

@@ -23,13 +23,16 @@ def broadcast_if_small(
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def anti_join(left: DataFrame, keys: DataFrame, on: list[str], check_size: bool = True) -> DataFrame:
-    """Rows of ``left`` with no equal key. Keys are made distinct before they are shuffled or sent.
+def anti_join(
+    left: DataFrame, keys: DataFrame, on: list[str], check_size: bool = False, unique: bool = False
+) -> DataFrame:
+    """Rows of ``left`` with no equal key.
 
-    Without a broadcast AQE splits the partitions a hot key of ``left`` fills.
+    Keys that may repeat are made distinct before they are shuffled or sent; ``unique`` says that they
+    do not. Without a broadcast AQE splits the partitions a hot key of ``left`` fills.
     """
-    distinct = keys.select(*on).distinct()
-    return left.join(broadcast_if_small(distinct) if check_size else distinct, on, "left_anti")
+    wanted = keys.select(*on) if unique else keys.select(*on).distinct()
+    return left.join(broadcast_if_small(wanted) if check_size else wanted, on, "left_anti")
 
 
 def semi_join(left: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -15,7 +15,7 @@ def _name(c: str, collation: str | None) -> Column:
 
 def _not_in(fresh: DataFrame, existing: DataFrame, key: str, collation: str | None) -> DataFrame:
     if collation is None:
-        return anti_join(fresh, existing, [key], check_size=False)
+        return anti_join(fresh, existing, [key], unique=True)
     known = existing.select(_name(key, collation).alias("_known")).distinct()
     return fresh.join(known, _name(key, collation) == F.col("_known"), "left_anti")
 
@@ -119,7 +119,7 @@ def missing_facts(
         .groupBy(*identity)
         .agg(F.max("object_size").alias("object_size"), F.max("bytes_sent").alias("bytes_sent"))
     )
-    return anti_join(source, natural(target_facts, target_catalog), identity, check_size=False)
+    return anti_join(source, natural(target_facts, target_catalog), identity)
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -137,4 +137,4 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, order: str | None = No
 
 def delete_keys(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """``base`` without the rows of the given keys."""
-    return anti_join(base, keys, [key], check_size=False)
+    return anti_join(base, keys, [key])
