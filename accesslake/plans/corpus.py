@@ -54,3 +54,4 @@ def copy_downloads(spark: SparkSession, source: Store, target: Store) -> None:
     )
     tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), target.catalog_path)
     tables.append_facts(fact_rows(downloads), target.facts_path)
+    tables.drop_path(spark, staging)

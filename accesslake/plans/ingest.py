@@ -81,6 +81,7 @@ def ingest_files(
     if counts[MALFORMED]:
         rejects = staged.filter(F.col("class") == MALFORMED).select("line", "parse_error")
         rejects.write.mode("append").parquet(store.malformed_path)
+    tables.drop_path(spark, staging)
     return counts
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Row, SparkSession
 
 from accesslake.operators.merge import distinct_records, report_records, sort_records
 from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources.logs import scan_logs, write_merged
+from accesslake.sources.tables import drop_path
 
 
 def merge_logs(
@@ -18,8 +19,8 @@ def merge_logs(
     log_format: str,
     year: int | None = None,
     mode: str = "failfast",
-) -> DataFrame:
-    """Write the distinct lines of all inputs in time order; returns the one-row report.
+) -> Row:
+    """Write the distinct lines of all inputs in time order; returns the report.
 
     Distinct lines are stored once. A global sort reads its input twice, first to choose the ranges,
     and the report reads it again; none of them repeats the shuffle of raw lines or the parsing.
@@ -31,4 +32,6 @@ def merge_logs(
         distinct.select("line", "dtime", "position", "n", "kept").write.parquet(staging)
         staged = spark.read.parquet(staging)
         write_merged(sort_records(staged), out)
-    return report_records(staged)
+        report = report_records(staged).first()
+    drop_path(spark, staging)
+    return report

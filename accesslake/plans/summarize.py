@@ -49,6 +49,7 @@ def summarize_store(
         saved = rollup_savings(within).agg(F.sum("saved")).first()[0] or 0
         staging = scratch_path(spark, "summarize")
         tables.replace_days(summarize(within, compact=compact), store.facts_path, staging)
+    tables.drop_path(spark, staging)
     return saved
 
 

@@ -88,15 +88,26 @@ def replace_days(facts: DataFrame, path: str, staging: str) -> None:
     """Replace the days present in ``facts``; other days are not touched.
 
     The rows are written to ``staging`` first, as they are usually computed from the days they
-    replace. A job lost half-way can be finished by overwriting from there again.
+    replace. If the job is lost while days are swapped, ``swap_days`` from there finishes it.
     """
-    spark = facts.sparkSession
     facts.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(facts.schema).parquet(staging)
+    swap_days(facts.sparkSession, staging, path, facts.schema)
+
+
+def swap_days(spark: SparkSession, staging: str, path: str, schema: T.StructType) -> None:
+    """Put staged days in place of a table's own; the same however often it is done."""
     (
-        staged.hint("rebalance", "dt")
+        spark.read.schema(schema)
+        .parquet(staging)
+        .hint("rebalance", "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
         .parquet(path)
     )
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that is not needed any more."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem.delete(hadoop_path, True)

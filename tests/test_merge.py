@@ -50,7 +50,7 @@ def test_merge_job(spark, tmp_path):
     b = [web(20), web(30), "  " + web(10, "/tie1") + " ", web(1, zone="-0100"), web(7, day="05/Jul/2019"), web(5, day="05/Jul/2019")]
     write(f"{tmp_path}/in/a.log", *a)
     write(f"{tmp_path}/in/b.log.gz", *b)
-    report = merge_logs(spark, f"{tmp_path}/in", f"{tmp_path}/out", "web", year=2020).first()
+    report = merge_logs(spark, f"{tmp_path}/in", f"{tmp_path}/out", "web", year=2020)
     parts = sorted(p for p in os.listdir(f"{tmp_path}/out") if p.startswith("part-"))
     merged = [line for p in parts for line in open(f"{tmp_path}/out/{p}").read().splitlines()]
     assert merged == [web(10, "/tie2"), web(10, "/tie1"), web(20), web(30), web(1, zone="-0100")]
