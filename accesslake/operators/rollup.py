@@ -140,19 +140,23 @@ def number_lines(lines: DataFrame) -> DataFrame:
     Row ids are consecutive within an input split, so an index is the row's distance from the
     split's first id plus the lines of the file's earlier splits. Only one row per split, some
     128 MB of log, is shuffled, windowed and written; it goes to the lines by broadcast while it is
-    within 256 MB, which is above 100 TB of log, and the lines stay where they were read.
+    within 256 MB, which is above 100 TB of log, and the lines stay where they were read. The input is
+    scanned twice; splits that differ, as they can when cores come and go, end the job.
     """
     split = ["file_path", "file_block_start"]
     counts = lines.groupBy(*split).agg(F.min("row_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("file_path").orderBy("file_block_start").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(*split, "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = counts.select(*split, "first_id", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     path = scratch_path(lines.sparkSession, "offsets")
     offsets.write.parquet(path)
     stored = lines.sparkSession.read.schema(offsets.schema).parquet(path)
+    within = F.col("row_id") - F.col("first_id")
+    changed = F.raise_error(F.lit("input splits changed between scans; set spark.sql.files.minPartitionNum"))
+    index = F.when(within.between(0, F.col("n") - 1), within + F.col("offset")).otherwise(changed.cast("bigint"))
     return (
-        lines.join(broadcast_if_small(stored, max_rows=2_000_000, max_bytes=256 << 20), split)
-        .withColumn("line_index", F.col("row_id") - F.col("first_id") + F.col("offset"))
-        .drop("first_id", "offset")
+        lines.join(broadcast_if_small(stored, max_rows=2_000_000, max_bytes=256 << 20), split, "left")
+        .withColumn("line_index", index)
+        .drop("first_id", "offset", "n")
     )
 
 

@@ -16,6 +16,8 @@ def dedup_stream(records: DataFrame, delay: str = "1 day", salts: int = SALTS) -
 
     Two stages. The first drops copies per line and input split, so the copies of one line are spread
     over tasks instead of meeting in one; the second drops what is left, at most one per salt.
+    Records that come more than ``delay`` after newer ones are not in this view: choose it longer than
+    logs take to be delivered. Ingest does not depend on it.
     """
     split = F.xxhash64("file_path", "file_block_start")
     return (

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from accesslake.session import scratch_path
 
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
 # One access per event; runs in Spark and in DuckDB alike.
 EV = """
 select event_id, ts, user_id, event_type, props,
@@ -63,7 +65,11 @@ def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_time(c: str, offset: str) -> Column:
-    return F.concat(F.date_format(c, "dd/MMM/yyyy:HH:mm:ss"), F.lit(f" {offset}"))
+    """A zone-less time as logs write it, built from its text, so that no time zone gets in."""
+    iso = F.col(c).cast("string")
+    month = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.month(c))
+    day, year, clock = F.substring(iso, 9, 2), F.substring(iso, 1, 4), F.substring(iso, 12, 8)
+    return F.concat(day, F.lit("/"), month, F.lit("/"), year, F.lit(":"), clock, F.lit(f" {offset}"))
 
 
 def with_bucket_line(ev: DataFrame) -> DataFrame:
@@ -117,15 +123,14 @@ def stage_text(rows: DataFrame, label: str, by: str = "day") -> str:
     return path
 
 
-def utc(c: str | Column) -> Column:
+def utc(c: str) -> Column:
     """An instant as the zone-less UTC time, which is how DuckDB holds it."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.convert_timezone(None, F.lit("UTC"), c.cast("timestamp_ntz"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
 def day(c: str) -> Column:
     """A date as text, which every client shows alike."""
-    return F.date_format(c, "yyyy-MM-dd")
+    return F.col(c).cast("string")
 
 
 # Catalog and listing over parts. A part's file is in the catalog; parts of some brands have no

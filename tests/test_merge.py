@@ -102,7 +102,7 @@ def brute_batches(rows, size):
     return out
 
 
-def test_batch_bounds_over_files_cut_into_splits(spark, tmp_path):
+def test_batch_bounds_over_files_cut_into_splits(spark, tmp_path, plan):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
@@ -118,6 +118,7 @@ def test_batch_bounds_over_files_cut_into_splits(spark, tmp_path):
         scanned = scan_logs(spark, f"{tmp_path}/in")
         assert scanned.select("file_path", "file_block_start").distinct().count() > 6
         numbered = A.number_lines(scanned)
+        assert "BroadcastHashJoin" in plan(numbered) and "SortMergeJoin" not in plan(numbered)
         index = numbered.groupBy("file_path").agg(
             F.count("*").alias("n"), F.count_distinct("line_index").alias("d"), F.max("line_index").alias("m"))
         assert all(r.n == r.d == r.m + 1 for r in index.collect())
@@ -128,3 +129,16 @@ def test_batch_bounds_over_files_cut_into_splits(spark, tmp_path):
         assert got == {k: v for k, v in want.items() if v}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_changed_splits_are_noticed(spark, tmp_path):
+    write(f"{tmp_path}/in/a.log", *[web(i % 60, f"/{i}") for i in range(300)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    numbered = A.number_lines(scan_logs(spark, f"{tmp_path}/in"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        with pytest.raises(Exception, match="input splits changed"):
+            numbered.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert numbered.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") == before
