@@ -66,21 +66,26 @@ def ingest_files(
     ignored: DataFrame | None = None,
     mode: str = "quarantine",
 ) -> dict[str, int]:
-    """Append the downloads in ``lines`` to the store; returns the class counts."""
+    """Append the downloads in ``lines`` to the store; returns the class counts.
+
+    Facts come last, so an ingest that failed can be repeated without counting a download twice; only
+    the archive and the error log may then hold lines twice. ``streaming.ingest.land_batch`` can be
+    repeated without even that.
+    """
     staging = scratch_path(spark, "ingest")
     counts = land(classified_lines(lines, log_format, ignored, mode), staging)
     staged = spark.read.schema(landed_schema()).parquet(staging)
     downloads = staged.filter(F.col("class") == schemas.DOWNLOAD)
 
     catalog, agents = store.catalog(spark), store.agents(spark)
-    with sized_shuffles(staged):
-        tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), store.catalog_path)
-        tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents)), store.agents_path)
-        tables.append_facts(fact_rows(downloads), store.facts_path)
     archive_lines(downloads, store.archive_path)
     if counts[MALFORMED]:
         rejects = staged.filter(F.col("class") == MALFORMED).select("line", "parse_error")
         rejects.write.mode("append").parquet(store.malformed_path)
+    with sized_shuffles(staged):
+        tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), store.catalog_path)
+        tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents)), store.agents_path)
+        tables.append_facts(fact_rows(downloads), store.facts_path)
     tables.drop_path(spark, staging)
     return counts
 

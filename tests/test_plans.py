@@ -73,6 +73,15 @@ def test_one_web_line_makes_one_file_and_one_fact(spark, lines, tmp_path):
     assert [r.year for r in spark.read.text(store.archive_path).select("year").collect()] == [2019]
 
 
+def test_an_ingest_without_downloads(spark, lines, bucket, tmp_path):
+    store = Store(f"{tmp_path}/store")
+    assert sum(ingest_files(spark, lines(""), "bucket", store).values()) == 0
+    assert ingest_files(spark, lines(bucket(op="REST.PUT.OBJECT")), "bucket", store)["UPLOAD"] == 1
+    assert summarize_store(spark, store) == 0
+    assert ingest_files(spark, lines(bucket()), "bucket", store)["DOWNLOAD"] == 1
+    assert store.facts(spark).count() == 1 and store.catalog(spark).count() == 1
+
+
 def test_malformed_line_ends_a_failfast_ingest(spark, lines, bucket, tmp_path):
     store = Store(f"{tmp_path}/store")
     with pytest.raises(Exception, match="malformed log line"):

@@ -68,6 +68,16 @@ def test_a_repeated_batch_changes_nothing(spark, lines, bucket, tmp_path):
     assert landing.class_counts(spark).first().n == 4
 
 
+def test_batches_without_downloads(spark, lines, bucket, tmp_path):
+    landing = SI.Landing(f"{tmp_path}/landing")
+    SI.land_batch(lines(""), 0, landing, "bucket")
+    SI.land_batch(lines(bucket(op="REST.PUT.OBJECT")), 1, landing, "bucket")
+    assert landing.facts(spark).count() == 0 and landing.catalog(spark).count() == 0
+    SI.land_batch(lines(bucket(key="a")), 2, landing, "bucket")
+    assert landing.facts(spark).count() == 1 and landing.catalog(spark).count() == 1
+    assert {(r["class"], r.n) for r in landing.class_counts(spark).collect()} == {("UPLOAD", 1), ("DOWNLOAD", 1)}
+
+
 def test_compacted_dimensions(spark, lines, bucket, tmp_path):
     landing = SI.Landing(f"{tmp_path}/landing")
     landing.compact(spark)
