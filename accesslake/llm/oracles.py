@@ -13,11 +13,11 @@ places as (
 shingles as (select distinct doc_id, md5(array_to_string(w[p : p + least(n, 5) - 1], ' ')) as s from places),
 sizes as (select doc_id, count(*) as n from shingles group by doc_id),
 shared as (
-  select a.doc_id as a, b.doc_id as b, count(*) as both
+  select a.doc_id as a, b.doc_id as b, count(*) as n_both
   from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
 ),
 links as (
-  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * both >= 85 * (x.n + y.n - both)
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * n_both >= 85 * (x.n + y.n - n_both)
 ),
 reach as (
   select doc_id as a, doc_id as b from documents
@@ -45,7 +45,7 @@ hits as (
   from places join windows on windows.n = places.n and windows.phrase = array_to_string(w[p : p + places.n - 1], ' ')
 ),
 covered as (
-  select doc_id, count(distinct at) as n_hit from (select doc_id, unnest(generate_series(p, p + n - 1)) as at from hits) group by doc_id
+  select doc_id, count(distinct spot) as n_hit from (select doc_id, unnest(generate_series(p, p + n - 1)) as spot from hits) group by doc_id
 ),
 found as (
   select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
