@@ -2,18 +2,19 @@
 
 A document is its set of SHINGLE-word shingles, as 64-bit hashes; equal sets are one vertex, whatever the
 number of copies. A vertex has COORDINATES minwise tokens. TREES independent trees branch it: a node is named by
-the tokens chosen on the way, and which tokens a node chooses depends on its name alone. A tree starts with one
-token and goes on with two, so that a pair of similarity s stays together at the next level with probability
-1 - (1 - s)^2; one tree finds a pair at the threshold with probability above 0.8 at any depth, and TREES of them miss it with
-less than 1e-6. Nodes with at most SMALL vertices are compared exhaustively.
-
-A larger node links its vertices to one pivot, and those that look close to the pivot by their sketches branch
-no further: they are one component once confirmed, so groups of thousands of near copies cost a link each.
-By the triangle inequality of the Jaccard distance, only vertices of at least middling similarity to the pivot
-can be linked with close ones. Any close or middling vertex that ends up in another component than the pivot
-is compared with all close ones of its node (``missed_pairs``); at the last level with all. No link depends on a cap.
-
-Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, five deviations wide, and are
+the tokens chosen on the way, and which tokens a node chooses depends on its name alone. Nodes with at most
+SMALL vertices are compared exhaustively. The vertices of larger ones branch WAYS ways once and then follow one path
+each, by the more tokens at a step the larger the node is, until no node is large; so neither the rows of
+a level nor the pairs of a node grow with the square of a group. A pair at the threshold is missed by all trees with
+probability 0.15^8 = 3e-7 where nodes are small, and of the order of 1 % after ten tokens, which only groups of thousands
+of near copies need; there most pairs are joined through others.
+
+Large nodes of the first level also link every vertex to a central one, the vertex nearest to the
+majority of the node's sketch bits. Groups of thousands of near copies are one component with a link each.
+These links and the pairs of the first level are confirmed first, and pairs of further levels only if their vertices are
+still in different components.
+
+Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, 4.5 deviations wide, and are
 confirmed on the full sets: 100 * |both| >= PERCENT * |either|. Components come from the confirmed links by
 hooking and pointer jumping.
 
@@ -23,6 +24,7 @@ component's id is its smallest id, or null if it has none. Other columns are not
 """
 
 import hashlib
+import math
 import re
 from collections.abc import Callable
 
@@ -30,26 +32,18 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.texts import LOWER, SPACED_WORD, UPPER, per_text, stage
+from accesslake.llm.texts import per_text, stage
 from accesslake.operators.joins import broadcast_if_small
 
 SHINGLE, PERCENT = 5, 85
-COORDINATES, TREES, DEPTH, SMALL = 128, 8, 12, 16
-#: Equal sketch bits of 128: of a candidate, of a vertex close to a pivot, and of a middling one.
-CANDIDATE_BITS, CLOSE_BITS, MIDDLING_BITS = 103, 117, 92
+COORDINATES, TREES, WAYS, SMALL = 128, 8, 2, 8
+#: Levels: at four tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
+DEPTH, STEP_TOKENS, STEP_SHRINK = 40, 4, 0.6
+#: Equal sketch bits, of 128, that a candidate has at least.
+CANDIDATE_BITS = 105
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
-WORD_MEMO = 400_000
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, forgotten when there are too many."""
-
-    def __missing__(self, word: str) -> int:
-        value = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        if len(self) >= WORD_MEMO:
-            self.clear()
-        self[word] = value
-        return value
+HASH_BLOCK = 1 << 18
+BYTE_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -59,36 +53,82 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(words: list[str], memo: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes; they depend on the words and their order."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    each = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+def byte_values() -> np.ndarray:
+    """A random number for each byte of a word, the same for A-Z and a-z; 0 for white space."""
+    values = np.random.default_rng(10).integers(1, 1 << 63, 256, np.uint64)
+    values[65:91] = values[97:123]
+    values[[9, 10, 11, 12, 13, 32]] = 0
+    return values
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate(([np.uint64(1)], np.cumprod(np.full(n - 1, base, np.uint64))))
+
+
+class WordHashes:
+    """64-bit hashes of a text's lower-cased words: polynomials over its bytes, by differences of prefix sums.
+
+    Long texts are worked on in blocks that end between words.
+    """
+
+    BASE = 0xD1342543DE82EF95
+
+    def __init__(self):
+        self.values, self.limit = byte_values(), 0
+        self.grow(HASH_BLOCK)
+
+    def grow(self, n: int) -> None:
+        self.limit = n
+        self.up, self.down = powers(self.BASE, n), powers(pow(self.BASE, -1, 1 << 64), n)
+
+    def block(self, raw: bytes) -> np.ndarray:
+        if len(raw) > self.limit:
+            self.grow(len(raw))
+        value = self.values[np.frombuffer(raw, np.uint8)]
+        inside = np.concatenate(([False], value != 0, [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        start, end = edges[::2], edges[1::2]
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(value * self.up[: len(value)])))
+        return mix((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+    def __call__(self, text: str) -> np.ndarray:
+        raw, parts, at = text.encode("utf-8", "surrogatepass"), [], 0
+        while at < len(raw):
+            stop = at + HASH_BLOCK
+            if stop < len(raw):
+                gap = BYTE_SPACE.search(raw, stop)
+                stop = gap.start() if gap else len(raw)
+            parts.append(self.block(raw[at:stop]))
+            at = stop
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """Sorted distinct shingle hashes of word hashes; they depend on the words and their order."""
+    if not len(words):
+        return words
     size = min(SHINGLE, len(words))
     out = np.full(len(words) - size + 1, size, np.uint64)
     for k in range(size):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + each[k : k + len(out)])
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(out)])
     return np.unique(out)
 
 
 def shingler() -> Callable[[str], np.ndarray]:
-    find, lower, memo = re.compile(SPACED_WORD).findall, str.maketrans(UPPER, LOWER), WordHashes()
-    return lambda t: shingle_set(find(t.translate(lower)), memo)
+    words = WordHashes()
+    return lambda t: shingle_set(words(t))
 
 
-def coordinates() -> tuple[np.ndarray, np.ndarray]:
-    random = np.random.default_rng(20)
-    return random.integers(1, 1 << 63, COORDINATES, np.uint64) | np.uint64(1), random.integers(0, 1 << 63, COORDINATES, np.uint64)
+def coordinates() -> np.ndarray:
+    """Odd factors: each orders the 64-bit hashes in its own way."""
+    return np.random.default_rng(20).integers(1, 1 << 63, COORDINATES, np.uint64) << np.uint64(1) | np.uint64(1)
 
 
-def minwise(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest hash of each coordinate; long sets are worked on in blocks."""
+def minwise(hashes: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """The smallest product of each coordinate; long sets are worked on in blocks."""
     best = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        block = hashes[at : at + 2048]
-        for i in range(len(a)):
-            x = block * a[i] + b[i]
-            best[i] = min(best[i], (x ^ (x >> np.uint64(32))).min())
+    for at in range(0, len(hashes), 512):
+        np.minimum(best, np.multiply.outer(a, hashes[at : at + 512]).min(axis=1), out=best)
     return best
 
 
@@ -96,13 +136,13 @@ def signatures(text: Column) -> Column:
     """Struct of n_shingles, the set's digest, minwise tokens and two words of one-bit sketch; nothing for empty sets."""
 
     def make():
-        shingles, (a, b) = shingler(), coordinates()
+        shingles, factors = shingler(), coordinates()
 
         def work(t: str) -> tuple:
             found = shingles(t)
             if not len(found):
                 return 0, None, None, None, None
-            tokens = minwise(found, a, b)
+            tokens = minwise(found, factors)
             bits = np.packbits((mix(tokens) & np.uint64(1)).astype(np.uint8)).view(np.int64)
             digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
             return len(found), digest, (mix(tokens) >> np.uint64(33)).astype(np.int32), int(bits[0]), int(bits[1])
@@ -137,17 +177,22 @@ def vertices(signed: DataFrame) -> DataFrame:
 OWN = ["v", "n", "s1", "s2"]
 
 
-def branch(members: DataFrame, points: DataFrame, level: int) -> DataFrame:
+def branch(members: DataFrame | None, points: DataFrame, level: int) -> DataFrame:
     """Members of the next level's nodes: a node's name chooses coordinates, whose tokens name its children."""
 
-    def child(node: Column, way: int) -> Column:
-        at = F.pmod(F.xxhash64(node, F.lit(way)), F.lit(COORDINATES)).cast("int")
-        return F.xxhash64(node, at, F.col("tokens")[at])
+    def child(node: Column, way: int, tokens: int) -> Column:
+        picked = [F.pmod(F.xxhash64(node, F.lit(way), F.lit(k)), F.lit(COORDINATES)).cast("int") for k in range(tokens)]
+        return F.xxhash64(node, F.lit(way), *[F.col("tokens")[at] for at in picked])
 
     if level == 0:
-        return points.select(*OWN, F.explode(F.array(*[child(F.lit(t).cast("long"), 0) for t in range(TREES)])).alias("node"))
-    ways = F.array(child(F.col("node"), 1), child(F.col("node"), 2))
-    return members.join(points.select("v", "tokens"), "v").select(*OWN, F.explode(F.array_distinct(ways)).alias("node"))
+        return points.select(*OWN, F.explode(F.array(*[child(F.lit(t).cast("long"), 0, 1) for t in range(TREES)])).alias("node"))
+    # as many tokens as bring a group of near copies about half the way to a small node
+    wanted = F.ceil(F.log(F.col("size") / SMALL) / (-2 * math.log(STEP_SHRINK)))
+    ways = []
+    for way in range(WAYS if level == 1 else 1):
+        steps = F.coalesce(*[F.when(wanted <= k, child(F.col("node"), way, k)) for k in range(1, STEP_TOKENS)], child(F.col("node"), way, STEP_TOKENS))
+        ways.append(steps)
+    return members.join(points.select("v", "tokens"), "v").select(*OWN, F.explode(F.array(*ways)).alias("node"))
 
 
 def equal_bits(a: str, b: str) -> Column:
@@ -174,17 +219,32 @@ def small_node_pairs(members: DataFrame) -> DataFrame:
 
 
 def node_members(here: DataFrame) -> DataFrame:
-    """Members of nodes of two or more, with the node's size and the hash that marks its pivot."""
-    order = F.xxhash64("v", "node")
-    nodes = here.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("lowest")).filter("size > 1")
-    return here.join(nodes, "node").withColumn("is_pivot", order == F.col("lowest")).drop("lowest")
+    """Members of nodes of two or more, with the node's size."""
+    return here.join(here.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "node")
 
 
-def with_pivot(large: DataFrame) -> DataFrame:
-    """(node, x, y, bits): a member x of a large node, its pivot y and their equal sketch bits."""
-    pivots = large.filter("is_pivot").select("node", F.struct(*OWN).alias("y"))
-    joined = large.select("node", F.struct(*OWN).alias("x")).join(pivots, "node")
-    return joined.withColumn("bits", equal_bits("x", "y"))
+def central_pairs(large: DataFrame) -> DataFrame:
+    """Pairs of each member of a large node with the member nearest to the majority of its sketch bits."""
+    ones = [F.sum(F.shiftright(word, i).bitwiseAND(F.lit(1))).alias(f"{word}_{i}") for word in ("s1", "s2") for i in range(64)]
+    votes = large.groupBy("node").agg(F.count(F.lit(1)).alias("all"), *ones)
+
+    def majority(word: str) -> Column:
+        out = F.lit(0).cast("long")
+        for i in range(64):
+            bit = F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")
+            out = out.bitwiseOR(F.when(2 * F.col(f"{word}_{i}") > F.col("all"), bit).otherwise(F.lit(0).cast("long")))
+        return out
+
+    middle = stage(votes.select("node", F.struct(majority("s1").alias("s1"), majority("s2").alias("s2")).alias("m")), "near-middle")
+    own = large.select("node", F.struct(*OWN).alias("x"))
+    ranked = own.join(middle, "node").groupBy("node").agg(F.max(F.struct(equal_bits("x", "m").alias("bits"), F.col("x.v").alias("v"), F.col("x").alias("y"))).alias("best"))
+    return pairs_of(own.join(ranked.select("node", F.col("best.y").alias("y")), "node")).distinct()
+
+
+def rest_pairs(large: DataFrame) -> DataFrame:
+    """All pairs of nodes that no level has split: only if so many of their tokens agree that they are one set but for chance."""
+    x, y = large.select("node", F.struct(*OWN).alias("x")), large.select("node", F.struct(*OWN).alias("y"))
+    return pairs_of(x.join(y, "node").filter(F.col("x.v") < F.col("y.v"))).distinct()
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -195,36 +255,30 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def candidate_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Candidate pairs (a, b) of all trees, and the members of large nodes by closeness to their pivot."""
-    found, settled, members = [], [], None
-    for level in range(DEPTH):
-        kept = stage(node_members(branch(members, points, level)), "near-nodes")
-        found.append(small_node_pairs(kept))
-        large = kept.filter(F.col("size") > SMALL)
+    """Candidate pairs (a, b) of the first level, and of all further levels."""
+    kept = stage(node_members(branch(None, points, 0)), "near-nodes")
+    first, further = [small_node_pairs(kept)], []
+    large = kept.filter(F.col("size") > SMALL)
+    for level in range(1, DEPTH):
         if large.isEmpty():
             break
-        measured = stage(with_pivot(large), "near-large")
-        found.append(pairs_of(measured))
-        close = F.col("bits") >= CLOSE_BITS
-        if level == DEPTH - 1:  # nothing branches on from here: all are compared with all others if need be
-            close = F.lit(True)
-        settled.append(measured.filter(close | (F.col("bits") >= MIDDLING_BITS)).select("node", "x", F.col("y.v").alias("pivot"), close.alias("close")))
-        members = measured.filter(~close).select("node", "x.*")
-    return stage(union_all(found).distinct(), "near-candidates"), union_all(settled) if settled else None
-
-
-def missed_pairs(settled: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Pairs to compare for members of large nodes that are not in their pivot's component."""
-    label = lambda t, v: t.join(labels.select(F.col("v").alias(v), F.col("label").alias(f"{v}_label")), v, "left").withColumn(
-        f"{v}_label", F.coalesce(f"{v}_label", v)
-    )
-    rows = stage(label(label(settled.withColumn("own", F.col("x.v")), "own"), "pivot"), "near-settled")
-    apart = rows.filter("own_label != pivot_label")
-    if apart.isEmpty():
-        return None
-    u, m = apart.alias("u"), rows.alias("m")
-    joined = u.join(m, (F.col("u.node") == F.col("m.node")) & (F.col("u.close") | F.col("m.close")) & (F.col("u.own_label") != F.col("m.own_label")))
-    return pairs_of(joined.select(F.col("u.x").alias("x"), F.col("m.x").alias("y"))).distinct()
+        if level == 1:
+            first.append(central_pairs(large))
+        kept = stage(node_members(branch(large, points, level)), "near-nodes")
+        further.append(small_node_pairs(kept))
+        large = kept.filter(F.col("size") > SMALL)
+    else:
+        further.append(rest_pairs(large))
+    early = stage(union_all(first).distinct(), "near-candidates")
+    return early, stage(union_all(further).distinct(), "near-candidates") if further else None
+
+
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs whose vertices are not in one component yet."""
+    a = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))
+    b = labels.select(F.col("v").alias("b"), F.col("label").alias("lb"))
+    joined = pairs.join(a, "a", "left").join(b, "b", "left")
+    return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
 def full_sets(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -280,12 +334,11 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """(doc_id, r1, r2, n_shingles, class, component_id) of every row; class is null for empty sets."""
     signed = signed_documents(docs, doc_id, text)
     points = stage(vertices(signed), "near-points")
-    pairs, settled = candidate_pairs(points)
-    links = confirmed(docs, points, pairs, doc_id, text)
+    early, later = candidate_pairs(points)
+    links = confirmed(docs, points, early, doc_id, text)
     labels = components(links)
-    missed = missed_pairs(settled, labels) if settled is not None else None
-    if missed is not None:
-        more = confirmed(docs, points, stage(missed, "near-missed"), doc_id, text)
+    if later is not None:
+        more = confirmed(docs, points, stage(across(later, labels), "near-candidates"), doc_id, text)
         labels = components(links.unionByName(more).distinct())
     named = points.select("v", "doc_id").join(labels, "v", "left").select("v", "doc_id", F.coalesce("label", "v").alias("class"))
     named = stage(named, "near-named")
