@@ -10,9 +10,9 @@ probability 0.15^8 = 3e-7 where nodes are small, and of the order of 1 % after t
 of near copies need; there most pairs are joined through others.
 
 Large nodes of the first level also link every vertex to a central one, the vertex nearest to the
-majority of the node's sketch bits. Groups of thousands of near copies are one component with a link each.
-These links and the pairs of the first level are confirmed first, and pairs of further levels only if their vertices are
-still in different components.
+majority of the node's sketch bits, so that thousands of near copies are one component with a link each.
+These links and the pairs of small nodes are confirmed before anything branches on. From then on only vertices of
+different components are compared, and a node whose vertices are all of one component is finished.
 
 Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, 4.5 deviations wide, and are
 confirmed on the full sets: 100 * |both| >= PERCENT * |either|. Components come from the confirmed links by
@@ -38,7 +38,7 @@ from accesslake.operators.joins import broadcast_if_small
 SHINGLE, PERCENT = 5, 85
 COORDINATES, TREES, WAYS, SMALL = 128, 8, 2, 8
 #: Levels: at four tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
-DEPTH, STEP_TOKENS, STEP_SHRINK = 40, 4, 0.6
+DEPTH, STEP_TOKENS, STEP_SHRINK = 24, 4, 0.6
 #: Equal sketch bits, of 128, that a candidate has at least.
 CANDIDATE_BITS = 105
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
@@ -185,14 +185,15 @@ def branch(members: DataFrame | None, points: DataFrame, level: int) -> DataFram
         return F.xxhash64(node, F.lit(way), *[F.col("tokens")[at] for at in picked])
 
     if level == 0:
-        return points.select(*OWN, F.explode(F.array(*[child(F.lit(t).cast("long"), 0, 1) for t in range(TREES)])).alias("node"))
+        return points.select(*OWN, "mark", F.explode(F.array(*[child(F.lit(t).cast("long"), 0, 1) for t in range(TREES)])).alias("node"))
     # as many tokens as bring a group of near copies about half the way to a small node
     wanted = F.ceil(F.log(F.col("size") / SMALL) / (-2 * math.log(STEP_SHRINK)))
     ways = []
     for way in range(WAYS if level == 1 else 1):
         steps = F.coalesce(*[F.when(wanted <= k, child(F.col("node"), way, k)) for k in range(1, STEP_TOKENS)], child(F.col("node"), way, STEP_TOKENS))
         ways.append(steps)
-    return members.join(points.select("v", "tokens"), "v").select(*OWN, F.explode(F.array(*ways)).alias("node"))
+    own = members.select(*OWN, "node", "size").join(points.select("v", "tokens", "mark"), "v")
+    return own.select(*OWN, "mark", F.explode(F.array(*ways)).alias("node"))
 
 
 def equal_bits(a: str, b: str) -> Column:
@@ -212,15 +213,17 @@ def pairs_of(rows: DataFrame) -> DataFrame:
 
 
 def small_node_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of nodes with SMALL members at most."""
-    nodes = members.filter(F.col("size") <= SMALL).groupBy("node").agg(F.collect_list(F.struct(*OWN)).alias("all"))
+    """All pairs of nodes with SMALL members at most whose components differ."""
+    nodes = members.filter(F.col("size") <= SMALL).groupBy("node").agg(F.collect_list(F.struct(*OWN, "mark")).alias("all"))
     first = nodes.select("all", F.posexplode("all").alias("i", "x"))
-    return pairs_of(first.select("x", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("y")))
+    each = first.select("x", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("y"))
+    return pairs_of(each.filter(F.col("x.mark") != F.col("y.mark"))).distinct()
 
 
 def node_members(here: DataFrame) -> DataFrame:
-    """Members of nodes of two or more, with the node's size."""
-    return here.join(here.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "node")
+    """Members of nodes of two or more components, with the node's size."""
+    nodes = here.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("mark").alias("lo"), F.max("mark").alias("hi"))
+    return here.join(nodes.filter("lo != hi").select("node", "size"), "node")
 
 
 def central_pairs(large: DataFrame) -> DataFrame:
@@ -243,8 +246,8 @@ def central_pairs(large: DataFrame) -> DataFrame:
 
 def rest_pairs(large: DataFrame) -> DataFrame:
     """All pairs of nodes that no level has split: only if so many of their tokens agree that they are one set but for chance."""
-    x, y = large.select("node", F.struct(*OWN).alias("x")), large.select("node", F.struct(*OWN).alias("y"))
-    return pairs_of(x.join(y, "node").filter(F.col("x.v") < F.col("y.v"))).distinct()
+    x, y = large.select("node", F.struct(*OWN, "mark").alias("x")), large.select("node", F.struct(*OWN, "mark").alias("y"))
+    return pairs_of(x.join(y, "node").filter((F.col("x.v") < F.col("y.v")) & (F.col("x.mark") != F.col("y.mark")))).distinct()
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -254,31 +257,30 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def candidate_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Candidate pairs (a, b) of the first level, and of all further levels."""
-    kept = stage(node_members(branch(None, points, 0)), "near-nodes")
-    first, further = [small_node_pairs(kept)], []
+def first_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b) of the first level, and the members of its large nodes."""
+    marked = points.withColumn("mark", F.xxhash64("v"))
+    kept = stage(node_members(branch(None, marked, 0)), "near-nodes")
     large = kept.filter(F.col("size") > SMALL)
+    found = small_node_pairs(kept) if large.isEmpty() else small_node_pairs(kept).unionByName(central_pairs(large)).distinct()
+    return stage(found, "near-candidates"), large
+
+
+def further_pairs(large: DataFrame, points: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Candidate pairs of all further levels, between components."""
+    known = labels.select("v", F.xxhash64("label").alias("_mark"))
+    marks = points.select("v", "tokens").join(known, "v", "left").select("v", "tokens", F.coalesce("_mark", F.xxhash64("v")).alias("mark"))
+    marks = stage(marks.join(large.select("v").distinct(), "v", "left_semi"), "near-marks")
+    found = []
     for level in range(1, DEPTH):
         if large.isEmpty():
             break
-        if level == 1:
-            first.append(central_pairs(large))
-        kept = stage(node_members(branch(large, points, level)), "near-nodes")
-        further.append(small_node_pairs(kept))
+        kept = stage(node_members(branch(large, marks, level)), "near-nodes")
+        found.append(stage(small_node_pairs(kept), "near-level"))
         large = kept.filter(F.col("size") > SMALL)
     else:
-        further.append(rest_pairs(large))
-    early = stage(union_all(first).distinct(), "near-candidates")
-    return early, stage(union_all(further).distinct(), "near-candidates") if further else None
-
-
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs whose vertices are not in one component yet."""
-    a = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))
-    b = labels.select(F.col("v").alias("b"), F.col("label").alias("lb"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+        found.append(rest_pairs(large))
+    return stage(union_all(found).distinct(), "near-candidates") if found else None
 
 
 def full_sets(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -334,11 +336,12 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """(doc_id, r1, r2, n_shingles, class, component_id) of every row; class is null for empty sets."""
     signed = signed_documents(docs, doc_id, text)
     points = stage(vertices(signed), "near-points")
-    early, later = candidate_pairs(points)
+    early, large = first_pairs(points)
     links = confirmed(docs, points, early, doc_id, text)
     labels = components(links)
+    later = further_pairs(large, points, labels)
     if later is not None:
-        more = confirmed(docs, points, stage(across(later, labels), "near-candidates"), doc_id, text)
+        more = confirmed(docs, points, later, doc_id, text)
         labels = components(links.unionByName(more).distinct())
     named = points.select("v", "doc_id").join(labels, "v", "left").select("v", "doc_id", F.coalesce("label", "v").alias("class"))
     named = stage(named, "near-named")
