@@ -13,7 +13,7 @@ WHITESPACE = (
 )
 # URL schemes whose last path segment may carry ";params".
 PARAM_SCHEMES = (
-    "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtspu",
+    "ftp", "hdl", "prospero", "http", "https", "imap", "shttp", "rtsp", "rtsps", "rtspu",
     "sip", "sips", "mms", "sftp", "tel",
 )
 # Page-title and download-suffix patterns.

@@ -14,7 +14,7 @@ LOG_TIME_FORMAT = "d/MMM/yyyy HH:mm:ss Z"
 
 
 def clean_log_date(c: Column) -> Column:
-    """``02/Nov/2019:10:55:30 -0400] junk`` -> ``02/Nov/2019 10:55:30 -0400``."""
+    """``08/Apr/2018:01:02:03 +0200] junk`` -> ``08/Apr/2018 01:02:03 +0200``."""
     colon = F.locate(":", c)
     spaced = F.when(colon > 0, F.overlay(c, F.lit(" "), colon, F.lit(1))).otherwise(c)
     return F.when(F.locate("]", c) > 1, F.substring_index(spaced, "]", 1)).otherwise(spaced)

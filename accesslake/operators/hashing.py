@@ -55,6 +55,8 @@ def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size, sha2, sha3 = _digest_stream(row["uri"])
             except FileNotFoundError:
                 error = "not found"
+            except OSError as failure:
+                error = f"unreadable: {failure.strerror or type(failure).__name__}"
             else:
                 if size != row["bytes"]:
                     error = "length differs"

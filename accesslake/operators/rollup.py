@@ -177,7 +177,8 @@ def batch_bounds(numbered: DataFrame, size: int = 10_000) -> DataFrame:
             F.max(index == F.col("step") * size).alias("closes"),
         )
     )
-    ahead = W.partitionBy("file_path").orderBy("step").rowsBetween(0, W.unboundedFollowing)
+    # backwards, so that the frame only grows: the next close is the least one met so far
+    ahead = W.partitionBy("file_path").orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, 0)
     closed = per_step.withColumn("batch", F.min(F.when(F.col("closes"), F.col("step"))).over(ahead))
     return (
         closed.filter(F.col("batch").isNotNull())

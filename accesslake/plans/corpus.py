@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from accesslake.operators import catalog as C
 from accesslake.operators.hashing import hash_good, hash_objects
-from accesslake.operators.star import catalog_additions, fact_rows, missing_facts
+from accesslake.operators.star import catalog_additions, missing_facts, resolve_facts
 from accesslake.plans.store import Store
 from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
@@ -31,8 +31,15 @@ def hash_listing(spark: SparkSession, store: Store, listing: DataFrame, prefix:
     return results
 
 
-def collect_garbage(spark: SparkSession, store: Store, listing: DataFrame, revive: bool = False) -> DataFrame:
-    """Drop vanished entries nobody downloaded, mark the others absent; returns the one-row report."""
+def collect_garbage(
+    spark: SparkSession, store: Store, listing: DataFrame, revive: bool = False, allow_empty: bool = False
+) -> DataFrame:
+    """Drop vanished entries nobody downloaded, mark the others absent; returns the one-row report.
+
+    An empty listing, which would drop them all, is refused unless it is allowed.
+    """
+    if not allow_empty and listing.isEmpty():
+        raise ValueError("the listing is empty; pass allow_empty=True if every object is really gone")
     catalog, facts = store.catalog(spark), store.facts(spark)
     report = C.gc_report(listing, catalog, facts)
     with sized_shuffles(facts):
@@ -53,5 +60,6 @@ def copy_downloads(spark: SparkSession, source: Store, target: Store) -> None:
         F.col("dtime_local").alias("dtime"),
     )
     tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), target.catalog_path)
-    tables.append_facts(fact_rows(downloads), target.facts_path)
+    # ids are looked up, as the target's may come from elsewhere
+    tables.append_facts(resolve_facts(downloads, target.catalog(spark), target.agents(spark)), target.facts_path)
     tables.drop_path(spark, staging)

@@ -75,14 +75,19 @@ def list_objects(spark: SparkSession, root: str, prefix: str = "", limit: int |
     """Every object below ``root`` as (s3key, uri, etag, mtime, bytes), without reading content.
 
     Keys are relative to ``root``; empty objects and names that start with a dot or an underscore are
-    listed too, which Spark's file sources skip. Only folders that can hold ``prefix`` are walked.
+    listed too, which Spark's file sources skip. Only folders that can hold ``prefix`` are walked. A
+    root that does not exist is an error; a folder below it that vanishes meanwhile is empty.
     A file system has no ETags, so one is made of length and modification time. ``limit`` keeps so
     many entries, any of them, as a listing has no set order.
 
     The entries of one folder are listed by one task. For buckets with very many objects in one
     folder use the store's inventory: any table with these columns is a listing.
     """
-    _, path, before = open_filesystem(root.rstrip("/") + "/")
+    from pyarrow import fs
+
+    system, path, before = open_filesystem(root.rstrip("/") + "/")
+    if system.get_file_info(path.rstrip("/") or "/").type == fs.FileType.NotFound:
+        raise FileNotFoundError(f"nothing to list at {root}")
     base = before + path.rstrip("/") + "/"
     skip = len(base)
     key = F.substring(F.col("uri"), F.lit(skip + 1), F.length("uri"))

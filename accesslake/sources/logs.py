@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.functions import text
-from accesslake.sources.tables import existing_paths
+from accesslake.sources.tables import existing_paths, hidden_files
 
 def _line_columns() -> list:
     return [
@@ -18,16 +18,19 @@ def _line_columns() -> list:
     ]
 
 
-def scan_logs(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def scan_logs(spark: SparkSession, paths: str | Sequence[str], skip_hidden: bool = False) -> DataFrame:
     """Lines of files and whole directory trees, each with its position.
 
     Every file is taken, whatever its suffix; compressed ones are unpacked by suffix, and paths that
-    name nothing are passed over. ``row_id`` grows along a split, so (file_path, file_block_start,
+    name nothing are passed over. Spark cannot read files whose names start with a dot or an
+    underscore; where such a file has content this is an error that names it, unless ``skip_hidden``. ``row_id`` grows along a split, so (file_path, file_block_start,
     row_id) is the order of the input.
     """
     found = existing_paths(spark, [paths] if isinstance(paths, str) else list(paths))
     if not found:
         return spark.createDataFrame([], "line string, file_path string, file_block_start bigint, row_id bigint")
+    if not skip_hidden and (hidden := hidden_files(spark, found)):
+        raise ValueError(f"Spark would pass over these files; rename them or pass skip_hidden=True: {hidden}")
     return (
         spark.read.option("recursiveFileLookup", "true")
         .text(found)

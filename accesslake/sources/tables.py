@@ -7,10 +7,14 @@ current, and none is written while it is read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SUCCESS = "_SUCCESS"
+SUCCESS, COMPLETE = "_SUCCESS", "_COMPLETE"
+#: Versions kept besides the current one, for readers that still hold them.
+OLD_VERSIONS = 5
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -32,24 +36,49 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those of some paths or patterns that name a file or folder."""
+    """Those of some paths or patterns that name a file or folder; names that look like patterns are escaped."""
     found = []
     for path in paths:
         filesystem, hadoop_path = _filesystem(spark, path)
-        if filesystem.globStatus(hadoop_path):
+        if filesystem.exists(hadoop_path):
+            found.append(re.sub(r"([\[\]{}*?])", r"\\\1", path))
+        elif filesystem.globStatus(hadoop_path):
             found.append(path)
     return found
 
 
+def hidden_files(spark: SparkSession, paths: list[str], most: int = 20) -> list[str]:
+    """Files with content that Spark's file sources pass over for a name that starts with a dot or an underscore."""
+    found = []
+    for path in paths:
+        filesystem, hadoop_path = _filesystem(spark, path)
+        for status in filesystem.globStatus(hadoop_path) or []:
+            below = len(status.getPath().getParent().toString())
+            files = filesystem.listFiles(status.getPath(), True)
+            while files.hasNext() and len(found) < most:
+                entry = files.next()
+                names = entry.getPath().toString()[below:].split("/")
+                if entry.getLen() and any(n[:1] in (".", "_") and "=" not in n for n in names):
+                    found.append(entry.getPath().toString())
+    return found
+
+
 def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[1:]) for n in child_names(spark, root) if n.startswith("v") and n[1:].isdigit())
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    """Highest complete version of a snapshot table."""
+    """Highest complete version of a snapshot table.
+
+    ``write_snapshot`` marks a version last; Spark's own marker counts too. A version without either that holds data
+    and no unfinished work is not passed over: it may be the table.
+    """
     for version in reversed(_versions(spark, root)):
-        if path_exists(spark, f"{root}/v{version}/{SUCCESS}"):
+        names = child_names(spark, f"{root}/v{version}")
+        if SUCCESS in names or COMPLETE in names:
             return version
+        if "_temporary" not in names and any(n.startswith("part-") for n in names):
+            raise ValueError(f"{root}/v{version} has data but no marker; add {COMPLETE} if it is whole, or remove it")
     return None
 
 
@@ -66,6 +95,11 @@ def write_snapshot(df: DataFrame, root: str) -> int:
     spark = df.sparkSession
     version = max(_versions(spark, root), default=0) + 1
     df.write.mode("errorifexists").parquet(f"{root}/v{version}")
+    filesystem, marker = _filesystem(spark, f"{root}/v{version}/{COMPLETE}")
+    filesystem.create(marker, True).close()
+    for old in _versions(spark, root):
+        if old < version - OLD_VERSIONS:
+            drop_path(spark, f"{root}/v{old}")
     return version
 
 

@@ -11,40 +11,37 @@ from accesslake.functions.ids import surrogate_id
 SALTS = 64
 
 
-def dedup_stream(records: DataFrame, delay: str = "1 day", salts: int = SALTS) -> DataFrame:
-    """First record of each line, among lines within ``delay`` of each other.
+def dedup_stream(records: DataFrame, delay: str | None = None, salts: int = SALTS) -> DataFrame:
+    """First record of each line, whatever the order of files and the borders of micro-batches.
 
     Two stages. The first drops copies per line and input split, so the copies of one line are spread
-    over tasks instead of meeting in one; the second drops what is left, at most one per salt.
-    Records that come more than ``delay`` after newer ones are not in this view: choose it longer than
-    logs take to be delivered. Ingest does not depend on it.
+    over tasks instead of meeting in one; the second drops what is left, at most one per salt. State
+    is a 128-bit digest of each line and grows with the distinct lines. A caller who can bound how late
+    lines are may pass ``delay``: state is then forgotten, and lines later than that are dropped.
     """
     split = F.xxhash64("file_path", "file_block_start")
-    return (
-        records.withColumn("_salt", F.pmod(split, F.lit(salts)))
-        .withWatermark("dtime", delay)
-        .dropDuplicatesWithinWatermark(["line", "_salt"])
-        .dropDuplicatesWithinWatermark(["line"])
-        .drop("_salt")
-    )
+    digest = F.unhex(F.substring(F.sha2("line", 256), 1, 32))
+    keyed = records.withColumns({"_salt": F.pmod(split, F.lit(salts)), "_digest": digest})
+    if delay is None:
+        once = keyed.dropDuplicates(["_digest", "_salt"]).dropDuplicates(["_digest"])
+    else:
+        late = keyed.withWatermark("dtime", delay)
+        once = late.dropDuplicatesWithinWatermark(["_digest", "_salt"]).dropDuplicatesWithinWatermark(["_digest"])
+    return once.drop("_salt", "_digest")
 
 
-def daily_sums(downloads: DataFrame, delay: str = "1 day") -> DataFrame:
+def daily_sums(downloads: DataFrame, delay: str | None = None) -> DataFrame:
     """Running sums per file, address, agent and calendar day, for ``update`` mode.
 
-    Days are those of the wall clock, carried in a timestamp as watermarks need one. Rows older than
-    the watermark are not in this view; the landed facts have them.
+    Every row is counted, however late: groups are kept. With ``delay`` groups are forgotten, and
+    rows older than that are not in the view; the landed facts have them. Days are those of the
+    wall clock, carried in a timestamp as watermarks need one.
     """
     wall = F.concat(F.col("dtime_local").cast("string"), F.lit("Z")).cast("timestamp")
+    timed = lambda rows: rows if delay is None else rows.withWatermark("_wall", delay)
+    rows = downloads.select("key", F.col("remote_ip").alias("remote_ipaddr"), "user_agent", "bytes_sent", wall.alias("_wall"))
     return (
-        downloads.select(
-            "key",
-            F.col("remote_ip").alias("remote_ipaddr"),
-            "user_agent",
-            "bytes_sent",
-            wall.alias("_wall"),
-        )
-        .withWatermark("_wall", delay)
+        timed(rows)
         .groupBy(F.window("_wall", "1 day"), "key", "remote_ipaddr", "user_agent")
         .agg(F.sum("bytes_sent").alias("bytes_sent"))
         .select(

@@ -128,7 +128,7 @@ def parse_s3_log(spark, sf_dir):
 
 @query
 def parse_log_time(spark, sf_dir):
-    dirty = F.concat(I.log_time("wall", "-0400"), F.lit('] "GET /x H129.174.125.204'))
+    dirty = F.concat(I.log_time("wall", "-0400"), F.lit('] "GET /x y z 203.0.113.5'))
     dates = I.orders(spark, sf_dir).select(
         "o_orderkey",
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit("no date")).otherwise(dirty).alias("raw"),
@@ -666,11 +666,15 @@ def stream_late_reroll(spark, sf_dir):
     )
 
 
+#: Files a micro-batch, so that results are made over several.
+BATCH_FILES = 12
+
+
 @query
 def stream_dedup(spark, sf_dir):
     ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).select("event_id", "ts", "line")
     repeated = ev.drop("line").join(I.repeated_bucket_lines(spark, sf_dir), "event_id")
-    lines = stream_logs(_stream_session(spark), _stage_days(repeated, "dedup-in"))
+    lines = stream_logs(_stream_session(spark), _stage_days(repeated, "dedup-in"), BATCH_FILES)
     records = P.good_records(P.parse_bucket_log(lines))
     out = scratch_path(spark, "dedup-out")
     view = SL.dedup_stream(records).select("line", "dtime")
@@ -681,7 +685,7 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_daily_rollup(spark, sf_dir):
     source = _stage_days(I.with_bucket_line(I.spread_events(spark, sf_dir)), "sums-in")
-    lines = stream_logs(_stream_session(spark), source)
+    lines = stream_logs(_stream_session(spark), source, BATCH_FILES)
     downloads = K.downloads_only(K.classify(P.good_records(P.parse_bucket_log(lines))))
     out = scratch_path(spark, "sums-out")
     SL.write_changes(SL.daily_sums(downloads), out, scratch_path(spark, "sums-checkpoint")).awaitTermination()

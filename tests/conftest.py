@@ -34,7 +34,7 @@ def lines(spark):
 
 def bucket_line(
     op="REST.GET.OBJECT", status="200", key="corpora/a.E01", sent="10", size="100", ip="10.0.0.1",
-    agent='"agent x"', time="19/Feb/2021:18:24:07 +0000", request="R1",
+    agent='"agent x"', time="07/Aug/2022:11:35:52 +0000", request="R1",
 ):
     return (
         f'own bkt [{time}] {ip} - {request} {op} {key} "GET /x HTTP/1.1" {status} - {sent} {size} 160 64 '

@@ -63,12 +63,12 @@ def test_ingest_and_summarize(spark, lines, bucket, tmp_path):
 
 def test_one_web_line_makes_one_file_and_one_fact(spark, lines, tmp_path):
     store = Store(f"{tmp_path}/store")
-    line = '129.0.0.2 - - [31/Dec/2019:23:18:15 -0400] "GET /d/t-1.5.0.tar.gz  HTTP/1.1" 200 460000'
+    line = '203.0.113.9 - - [31/Dec/2019:22:10:05 -0400] "GET /pkg/tool-9.2.zip  HTTP/1.1" 200 73500'
     counts = ingest_files(spark, lines(line), "web", store)
     assert {k: v for k, v in counts.items() if v} == {"DOWNLOAD": 1}
-    assert [(r.s3key, r.bytes) for r in store.catalog(spark).collect()] == [("/d/t-1.5.0.tar.gz", 460000)]
+    assert [(r.s3key, r.bytes) for r in store.catalog(spark).collect()] == [("/pkg/tool-9.2.zip", 73500)]
     fact = store.facts(spark).first()
-    assert (fact.dtime, fact.dt, fact.user_agent_id) == (datetime(2019, 12, 31, 23, 18, 15), date(2019, 12, 31), None)
+    assert (fact.dtime, fact.dt, fact.user_agent_id) == (datetime(2019, 12, 31, 22, 10, 5), date(2019, 12, 31), None)
     assert store.agents(spark).count() == 0
     assert [r.year for r in spark.read.text(store.archive_path).select("year").collect()] == [2019]
 
