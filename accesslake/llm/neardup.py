@@ -37,8 +37,8 @@ from accesslake.operators.joins import broadcast_if_small
 
 SHINGLE, PERCENT = 5, 85
 COORDINATES, TREES, WAYS, SMALL = 128, 8, 2, 8
-#: Levels: at four tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
-DEPTH, STEP_TOKENS, STEP_SHRINK = 24, 4, 0.6
+#: Levels: at up to eight tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
+DEPTH, STEP_TOKENS, STEP_SHRINK = 24, 8, 0.6
 #: Equal sketch bits, of 128, that a candidate has at least.
 CANDIDATE_BITS = 105
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
@@ -186,8 +186,8 @@ def branch(members: DataFrame | None, points: DataFrame, level: int) -> DataFram
 
     if level == 0:
         return points.select(*OWN, "mark", F.explode(F.array(*[child(F.lit(t).cast("long"), 0, 1) for t in range(TREES)])).alias("node"))
-    # as many tokens as bring a group of near copies about half the way to a small node
-    wanted = F.ceil(F.log(F.col("size") / SMALL) / (-2 * math.log(STEP_SHRINK)))
+    # as many tokens as bring a group of middling similarity to a small node
+    wanted = F.ceil(F.log(F.col("size") / SMALL) / -math.log(STEP_SHRINK))
     ways = []
     for way in range(WAYS if level == 1 else 1):
         steps = F.coalesce(*[F.when(wanted <= k, child(F.col("node"), way, k)) for k in range(1, STEP_TOKENS)], child(F.col("node"), way, STEP_TOKENS))
