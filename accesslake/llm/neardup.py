@@ -3,7 +3,7 @@
 A document is its set of SHINGLE-word shingles, as 64-bit hashes; equal sets are one vertex, whatever the
 number of copies. A vertex has COORDINATES minwise tokens. TREES independent trees branch it: a node is named by
 the tokens chosen on the way, and which tokens a node chooses depends on its name alone. Nodes with at most
-SMALL vertices are compared exhaustively. The vertices of larger ones branch WAYS ways once and then follow one path
+SMALL vertices (SMALL_LATER beyond the first level) are compared exhaustively. The vertices of larger ones branch WAYS ways once and then follow one path
 each, by the more tokens at a step the larger the node is, until no node is large; so neither the rows of
 a level nor the pairs of a node grow with the square of a group. A pair at the threshold is missed by all trees with
 probability 0.15^8 = 3e-7 where nodes are small, and of the order of 1 % after ten tokens, which only groups of thousands
@@ -37,6 +37,8 @@ from accesslake.operators.joins import broadcast_if_small
 
 SHINGLE, PERCENT = 5, 85
 COORDINATES, TREES, WAYS, SMALL = 128, 8, 2, 8
+#: Vertices of a small node beyond the first level, where few nodes are left.
+SMALL_LATER = 32
 #: Levels: at up to eight tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
 DEPTH, STEP_TOKENS, STEP_SHRINK = 24, 8, 0.6
 #: Equal sketch bits, of 128, that a candidate has at least.
@@ -212,11 +214,11 @@ def pairs_of(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("x.v", "y.v").alias("a"), F.greatest("x.v", "y.v").alias("b"))
 
 
-def small_node_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of nodes with SMALL members at most whose components differ."""
-    nodes = members.filter(F.col("size") <= SMALL).groupBy("node").agg(F.collect_list(F.struct(*OWN, "mark")).alias("all"))
+def small_node_pairs(members: DataFrame, most: int) -> DataFrame:
+    """All pairs of nodes with so many members at most whose components differ."""
+    nodes = members.filter(F.col("size") <= most).groupBy("node").agg(F.collect_list(F.struct(*OWN, "mark")).alias("all"))
     first = nodes.select("all", F.posexplode("all").alias("i", "x"))
-    each = first.select("x", F.explode(F.slice("all", F.col("i") + 2, SMALL)).alias("y"))
+    each = first.select("x", F.explode(F.slice("all", F.col("i") + 2, most)).alias("y"))
     return pairs_of(each.filter(F.col("x.mark") != F.col("y.mark"))).distinct()
 
 
@@ -262,7 +264,7 @@ def first_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     marked = points.withColumn("mark", F.xxhash64("v"))
     kept = stage(node_members(branch(None, marked, 0)), "near-nodes")
     large = kept.filter(F.col("size") > SMALL)
-    found = small_node_pairs(kept) if large.isEmpty() else small_node_pairs(kept).unionByName(central_pairs(large)).distinct()
+    found = small_node_pairs(kept, SMALL) if large.isEmpty() else small_node_pairs(kept, SMALL).unionByName(central_pairs(large)).distinct()
     return stage(found, "near-candidates"), large
 
 
@@ -276,8 +278,8 @@ def further_pairs(large: DataFrame, points: DataFrame, labels: DataFrame) -> Dat
         if large.isEmpty():
             break
         kept = stage(node_members(branch(large, marks, level)), "near-nodes")
-        found.append(stage(small_node_pairs(kept), "near-level"))
-        large = kept.filter(F.col("size") > SMALL)
+        found.append(stage(small_node_pairs(kept, SMALL_LATER), "near-level"))
+        large = kept.filter(F.col("size") > SMALL_LATER)
     else:
         found.append(rest_pairs(large))
     return stage(union_all(found).distinct(), "near-candidates") if found else None
