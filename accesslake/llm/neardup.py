@@ -6,8 +6,8 @@ the tokens chosen on the way, and which tokens a node chooses depends on its nam
 SMALL vertices (SMALL_LATER beyond the first level) are compared exhaustively. The vertices of larger ones branch WAYS ways once and then follow one path
 each, by the more tokens at a step the larger the node is, until no node is large; so neither the rows of
 a level nor the pairs of a node grow with the square of a group. A pair at the threshold is missed by all trees with
-probability 0.15^8 = 3e-7 where nodes are small, and of the order of 1 % after ten tokens, which only groups of thousands
-of near copies need; there most pairs are joined through others.
+probability 0.15^8 = 3e-7 where nodes are small, and more often after many tokens, which only groups of thousands
+of near copies need; there most pairs are joined through others, and more WAYS or TREES find more.
 
 Large nodes of the first level also link every vertex to a central one, the vertex nearest to the
 majority of the node's sketch bits, so that thousands of near copies are one component with a link each.
@@ -36,7 +36,7 @@ from accesslake.llm.texts import per_text, stage
 from accesslake.operators.joins import broadcast_if_small
 
 SHINGLE, PERCENT = 5, 85
-COORDINATES, TREES, WAYS, SMALL = 128, 8, 2, 8
+COORDINATES, TREES, WAYS, SMALL = 128, 8, 6, 8
 #: Vertices of a small node beyond the first level, where few nodes are left.
 SMALL_LATER = 32
 #: Levels: at up to eight tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
