@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from accesslake.functions import digests, ids, text, times
 from accesslake.operators import catalog as C
 from accesslake.operators import classify as K
-from accesslake.operators import hashing as H
 from accesslake.operators import merge as M
 from accesslake.operators import parse as P
 from accesslake.operators import reports as R
@@ -18,7 +17,6 @@ from accesslake.operators import rollup as A
 from accesslake.operators import star as S
 from accesslake.plans.summarize import reroll_days
 from accesslake.session import scratch_path
-from accesslake.sources.listing import list_objects as list_files
 from accesslake.sources.logs import archive_lines, scan_logs, stream_logs
 from accesslake.streaming import ingest as SI
 from accesslake.streaming import live as SL
@@ -85,11 +83,6 @@ def scan_log_lines(spark, sf_dir):
     return lines.select("line", F.regexp_extract("file_path", r"day=(\d{4}-\d\d-\d\d)", 1).alias("day"))
 
 
-@query
-def list_objects(spark, sf_dir):
-    return list_files(spark, sf_dir).select("s3key", "bytes")
-
-
 @query
 def archive_lines_by_year(spark, sf_dir):
     lines = I.with_order_line(I.orders(spark, sf_dir)).select("line")
@@ -460,22 +453,6 @@ def hash_sha2(spark, sf_dir):
     return docs.select("doc_id", digests.sha2_256(F.col("text")).alias("sha2_256"))
 
 
-@query
-def hash_sha3(spark, sf_dir):
-    docs = I.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", digests.sha3_256(F.col("text")).alias("sha3_256"))
-
-
-@query
-def hash_objects(spark, sf_dir):
-    return H.hash_objects(list_files(spark, sf_dir)).select("s3key", "bytes", "sha2_256", "sha3_256", "error")
-
-
-@query
-def hash_throughput(spark, sf_dir):
-    return H.hash_throughput(H.hash_objects(list_files(spark, sf_dir))).select("n_objects", "bytes")
-
-
 # --- counts and roll-ups ------------------------------------------------------------------------
 
 
@@ -568,11 +545,6 @@ def store_stats(spark, sf_dir):
     return A.store_stats(_files(spark, sf_dir), _facts(spark, sf_dir))
 
 
-@query
-def listing_stats(spark, sf_dir):
-    return A.listing_stats(list_files(spark, sf_dir))
-
-
 # --- reports ------------------------------------------------------------------------------------
 
 

@@ -6,10 +6,14 @@ import os
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as E  # noqa: E402
+from accesslake.functions.digests import sha3_256  # noqa: E402
+from accesslake.operators.hashing import hash_objects  # noqa: E402
+from accesslake.sources.listing import list_objects  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -43,14 +47,15 @@ def test_entry(spark):
     assert E.entry(spark).count() > 0
 
 
-def test_queries_without_sql(spark):
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
-    sha3 = {r.doc_id: r.sha3_256 for r in E.queries()["hash_sha3"](spark, SF_DIR).collect()}
-    assert sha3 == {k: hashlib.sha3_256(v.encode()).hexdigest() for k, v in texts.items()}
+def test_digests_of_files(spark):
+    """The objects of queries are staged; here the files are given."""
     files = {os.path.basename(p): open(p, "rb").read() for p in glob.glob(f"{SF_DIR}/*.parquet")}
-    listed = {r.s3key: r.bytes for r in E.queries()["list_objects"](spark, SF_DIR).collect()}
-    assert listed == {k: len(v) for k, v in files.items()}
-    hashed = {r.s3key: (r.sha2_256, r.sha3_256) for r in E.queries()["hash_objects"](spark, SF_DIR).collect()}
+    listed = list_objects(spark, SF_DIR).filter("s3key like '%.parquet'")
+    assert {r.s3key: r.bytes for r in listed.collect()} == {k: len(v) for k, v in files.items()}
+    hashed = {r.s3key: (r.sha2_256, r.sha3_256) for r in hash_objects(listed).collect()}
     assert hashed == {k: (hashlib.sha256(v).hexdigest(), hashlib.sha3_256(v).hexdigest()) for k, v in files.items()}
-    assert E.queries()["listing_stats"](spark, SF_DIR).first().n_objects == len(files)
-    assert E.queries()["hash_throughput"](spark, SF_DIR).first().bytes == sum(map(len, files.values()))
+
+
+def test_sha3_column(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text", sha3_256(F.col("text")).alias("sha3"))
+    assert all(r.sha3 == hashlib.sha3_256(r.text.encode()).hexdigest() for r in docs.collect())
