@@ -232,7 +232,7 @@ def personal_data(text: Column, sure: dict[str, float], threshold: float = THRES
         def work(t: str) -> tuple:
             base = base_spans(t)
             counts = [sum(k == kind for k, _, _ in base) for kind in BASE_KINDS]
-            spans = base
+            spans = list(base)
             if taken:
                 edges = sorted((s, e) for _, s, e in base)
                 starts = [s for s, _ in edges]
@@ -241,7 +241,7 @@ def personal_data(text: Column, sure: dict[str, float], threshold: float = THRES
                 for kind, s, e, v in candidates(t):
                     i = bisect_left(starts, e)
                     if pattern_key(kind, v) in taken and not (i and ends[i - 1] > s) and s >= last.get(kind, 0):
-                        spans = [*spans, (kind, s, e)] if spans is base else spans + [(kind, s, e)]
+                        spans.append((kind, s, e))
                         last[kind] = e
             return (*counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans))
 
