@@ -2,8 +2,10 @@
 
 Texts are encoded with a public piece vocabulary, so ids and pairs are exact numbers. Map tasks turn
 documents into packs: for each hash bucket of pairs, the distinct pairs and the documents that use them.
-Pair counts are summed per bucket, joined back to the packs by bucket, and each document's logarithms
-are summed. Piece counts have at most as many rows as the vocabulary and go to every task.
+Pair counts are summed per bucket, FAN_IN packs at a time, so that a task holds as many and no more however many
+packs there are. They are joined back to the packs by bucket, with a copy of the table for each JOIN_PACKS
+packs, and each document's logarithms are summed. Piece counts have at most as many rows as the vocabulary and
+go to every task.
 
 A pair (u, v) that also occurs outside the document scores (count(u, v) - own count) / count(u); any
 other backs off to BACKOFF * count(v) / all pieces. Each text starts with the model's begin piece. Counts
@@ -27,14 +29,15 @@ from accesslake.operators.joins import broadcast_if_small
 BEGIN = 1
 BACKOFF = 0.4
 PACK_TOKENS, PACK_DOCS = 1_500_000, 60_000
-MIN_BUCKETS, MAX_BUCKETS, BUCKET_BYTES = 64, 4096, 16 * 1024 * 1024
+MIN_BUCKETS, MAX_BUCKETS, BUCKET_BYTES = 64, 1024, 16 * 1024 * 1024
+FAN_IN, JOIN_PACKS = 64, 16_384
 BROADCAST_BYTES = 24 * 1024 * 1024
 
 PACK = (
     "pack string, bucket int, pairs binary, totals binary, users binary, docs binary, uses binary, n_docs int, "
     "doc_ids array<string>, n_tokens array<long>, pieces array<int>, firsts array<long>, counts array<long>"
 )
-PART = "pack string, bucket int, score binary, seen binary, doc_ids array<string>, n_tokens array<long>"
+PART = "pack string, bucket int, docs binary, score binary, seen binary, doc_ids array<string>, n_tokens array<long>"
 
 
 def bucket_count(docs: DataFrame) -> int:
@@ -112,19 +115,29 @@ def packs(docs: DataFrame, doc_id: str, text: str, model_path: str, buckets: int
     return docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, PACK)
 
 
-def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
-    """Counts of all pairs of one bucket."""
-    pairs = np.frombuffer(b"".join(rows["pairs"]), np.uint32)
-    totals = np.frombuffer(b"".join(rows["totals"]), np.uint32)
-    distinct, where = np.unique(pairs, return_inverse=True)
-    sums = np.bincount(where, totals, len(distinct)).astype(np.int64)
-    return pd.DataFrame({"bucket": [rows["bucket"].iloc[0]], "known": [distinct.tobytes()], "sums": [sums.tobytes()]})
+def _add_up(kind: type):
+    """Counts of all pairs in some rows of one bucket, from counts of that kind."""
 
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        pairs, sums = np.frombuffer(b"".join(rows["pairs"]), np.uint32), np.frombuffer(b"".join(rows["sums"]), kind)
+        distinct, where = np.unique(pairs, return_inverse=True)
+        total = np.bincount(where, sums, len(distinct)).astype(np.int64)
+        return pd.DataFrame({**{c: [rows[c].iloc[0]] for c in ("bucket", "part")}, "pairs": [distinct.tobytes()], "sums": [total.tobytes()]})
 
-def pair_counts(packed: DataFrame) -> DataFrame:
+    return run
+
+
+def pair_counts(packed: DataFrame, n_packs: int) -> DataFrame:
     """The count table: for each bucket its pairs, sorted, and their counts."""
-    rows = packed.filter("bucket >= 0").select("bucket", "pairs", "totals")
-    return rows.groupBy("bucket").applyInPandas(_add_up, "bucket int, known binary, sums binary")
+    parts = max(1, -(-n_packs // FAN_IN))
+    part = F.pmod(F.xxhash64("pack"), F.lit(parts))
+    rows, kind = packed.filter("bucket >= 0").select("bucket", part.alias("part"), "pairs", F.col("totals").alias("sums")), np.uint32
+    while True:
+        rows = rows.groupBy("bucket", "part").applyInPandas(_add_up(kind), "bucket int, part long, pairs binary, sums binary")
+        if parts == 1:
+            return rows.select("bucket", F.col("pairs").alias("known"), "sums")
+        parts, kind = -(-parts // FAN_IN), np.int64
+        rows = stage(rows, "lm-partial").withColumn("part", F.pmod("part", F.lit(parts)))
 
 
 def piece_counts(packed: DataFrame) -> dict[int, tuple[int, int]]:
@@ -153,8 +166,9 @@ def _score_parts(counts: dict[int, tuple[int, int]], backoff: float):
                 hit = total > uses
                 u, v = np.repeat(pairs >> 16, users), np.repeat(pairs & 0xFFFF, users)
                 value = np.where(hit, np.log(np.maximum(total - uses, 1)) - log_first[u], base + log_own[v])
-                score, seen = np.bincount(docs, value * uses, r.n_docs), np.bincount(docs, hit * uses, r.n_docs)
-                out.append((r.pack, r.bucket, score.tobytes(), seen.astype(np.int32).tobytes(), None, None))
+                some, at = np.unique(docs, return_inverse=True)
+                score, seen = np.bincount(at, value * uses, len(some)), np.bincount(at, hit * uses, len(some))
+                out.append((r.pack, r.bucket, some.tobytes(), score.tobytes(), seen.astype(np.int32).tobytes(), None, None))
             yield pd.DataFrame(out, columns=[p.split()[0] for p in PART.split(", ")])
 
     return run
@@ -165,9 +179,10 @@ def _sum_pack(rows: pd.DataFrame) -> pd.DataFrame:
     head, parts = rows.iloc[0], rows.iloc[1:]
     n = len(head["doc_ids"])
     score, seen = np.zeros(n), np.zeros(n, np.int64)
-    for s, h in zip(parts["score"], parts["seen"]):
-        score += np.frombuffer(s)
-        seen += np.frombuffer(h, np.int32)
+    for d, s, h in zip(parts["docs"], parts["score"], parts["seen"]):
+        some = np.frombuffer(d, np.uint16)
+        score[some] += np.frombuffer(s)
+        seen[some] += np.frombuffer(h, np.int32)
     return pd.DataFrame({"doc_id": head["doc_ids"], "n_tokens": head["n_tokens"], "n_seen": seen, "score": score})
 
 
@@ -177,13 +192,17 @@ def score_documents(
     """One row per document: its id, n_tokens, n_seen (pairs found elsewhere), score and mean_score."""
     path = model_path or default_model()
     packed = stage(packs(docs, doc_id, text, path, bucket_count(docs)), "lm-packs")
-    table = stage(pair_counts(packed), "lm-counts")
-    payload = packed.filter("bucket >= 0").select("pack", "bucket", "pairs", "users", "docs", "uses", "n_docs")
-    joined = payload.join(broadcast_if_small(table, MAX_BUCKETS, BROADCAST_BYTES), "bucket")
+    n_packs = packed.filter("bucket = -1").count()
+    table = stage(pair_counts(packed, n_packs), "lm-counts")
+    copies = max(1, -(-n_packs // JOIN_PACKS))
+    copy = F.pmod(F.xxhash64("pack"), F.lit(copies)).alias("copy")
+    payload = packed.filter("bucket >= 0").select("pack", "bucket", copy, "pairs", "users", "docs", "uses")
+    copied = table.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
+    joined = payload.join(broadcast_if_small(copied, MAX_BUCKETS, BROADCAST_BYTES), ["bucket", "copy"])
     parts = joined.mapInPandas(_score_parts(piece_counts(packed), backoff), PART)
     empty = F.lit(None).cast("binary")
     heads = packed.filter("bucket = -1").select(
-        "pack", "bucket", empty.alias("score"), empty.alias("seen"), "doc_ids", "n_tokens"
+        "pack", "bucket", empty.alias("docs"), empty.alias("score"), empty.alias("seen"), "doc_ids", "n_tokens"
     )
     scored = parts.unionByName(heads).groupBy("pack").applyInPandas(
         _sum_pack, "doc_id string, n_tokens long, n_seen long, score double"

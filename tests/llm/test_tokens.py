@@ -92,7 +92,8 @@ def brute_scores(docs, library):
 
 
 def test_scores_equal_brute_force(spark, odd, library, monkeypatch):
-    monkeypatch.setattr(lm, "PACK_TOKENS", 20_000)
+    for name, value in (("PACK_TOKENS", 20_000), ("FAN_IN", 2), ("JOIN_PACKS", 2)):
+        monkeypatch.setattr(lm, name, value)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for frame in (docs, odd):
         got = [(r.doc_id, r.n_tokens, r.n_seen, round(r.score, 3)) for r in lm.score_documents(frame).collect()]
