@@ -1,18 +1,15 @@
 """Near-duplicate documents by a chosen-path set-similarity join.
 
 A document is its set of SHINGLE-word shingles, as 64-bit hashes; equal sets are one vertex, whatever the
-number of copies. A vertex has COORDINATES minwise tokens. TREES independent trees branch it: a node is named by
-the tokens chosen on the way, and which tokens a node chooses depends on its name alone. Nodes with at most
-SMALL vertices (SMALL_LATER beyond the first level) are compared exhaustively. The vertices of larger ones branch WAYS ways once and then follow one path
-each, by the more tokens at a step the larger the node is, until no node is large; so neither the rows of
-a level nor the pairs of a node grow with the square of a group. A pair at the threshold is missed by all trees with
-probability 0.15^8 = 3e-7 where nodes are small, and more often after many tokens, which only groups of thousands
-of near copies need; there most pairs are joined through others, and more WAYS or TREES find more.
-
-Large nodes of the first level also link every vertex to a central one, the vertex nearest to the
-majority of the node's sketch bits, so that thousands of near copies are one component with a link each.
-These links and the pairs of small nodes are confirmed before anything branches on. From then on only vertices of
-different components are compared, and a node whose vertices are all of one component is finished.
+number of copies. A vertex has COORDINATES minwise tokens. TREES independent trees choose a token each, which
+names a node; a pair at the threshold shares no node with probability 0.15^8 = 3e-7. Nodes with at most SMALL vertices
+are compared exhaustively. Large ones link every vertex to a central one, the vertex nearest to the majority of the
+node's sketch bits, so that thousands of near copies are one component with a link each.
+
+Then large nodes are compared exhaustively too, between components: blocks of BLOCK vertices against each
+other, in numpy on sizes and sketches. A first round confirms the NEAREST partners of each vertex, which joins most of
+what is to be joined; a second one confirms every candidate whose ends are still apart. No pair of a node is left out,
+so recall does not depend on a group's size; comparing a node takes time with the square of its size, memory with BLOCK.
 
 Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, 4.5 deviations wide, and are
 confirmed on the full sets: 100 * |both| >= PERCENT * |either|. Components come from the confirmed links by
@@ -24,11 +21,11 @@ component's id is its smallest id, or null if it has none. Other columns are not
 """
 
 import hashlib
-import math
 import re
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +33,9 @@ from accesslake.llm.texts import per_text, stage
 from accesslake.operators.joins import broadcast_if_small
 
 SHINGLE, PERCENT = 5, 85
-COORDINATES, TREES, WAYS, SMALL = 128, 8, 6, 8
-#: Vertices of a small node beyond the first level, where few nodes are left.
-SMALL_LATER = 32
-#: Levels: at up to eight tokens a step, far more than any group needs; nodes that are left then are compared by blocks.
-DEPTH, STEP_TOKENS, STEP_SHRINK = 24, 8, 0.6
+COORDINATES, TREES, SMALL = 128, 8, 8
+#: Vertices of a block of a large node, and partners of each vertex in a block that the first round confirms.
+BLOCK, NEAREST = 1024, 8
 #: Equal sketch bits, of 128, that a candidate has at least.
 CANDIDATE_BITS = 105
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
@@ -179,23 +174,15 @@ def vertices(signed: DataFrame) -> DataFrame:
 OWN = ["v", "n", "s1", "s2"]
 
 
-def branch(members: DataFrame | None, points: DataFrame, level: int) -> DataFrame:
-    """Members of the next level's nodes: a node's name chooses coordinates, whose tokens name its children."""
+def first_nodes(points: DataFrame) -> DataFrame:
+    """Members of the trees' nodes: a tree chooses a coordinate, whose token names the node."""
 
-    def child(node: Column, way: int, tokens: int) -> Column:
-        picked = [F.pmod(F.xxhash64(node, F.lit(way), F.lit(k)), F.lit(COORDINATES)).cast("int") for k in range(tokens)]
-        return F.xxhash64(node, F.lit(way), *[F.col("tokens")[at] for at in picked])
+    def child(tree: int) -> Column:
+        root = F.lit(tree).cast("long")
+        picked = F.pmod(F.xxhash64(root, F.lit(0), F.lit(0)), F.lit(COORDINATES)).cast("int")
+        return F.xxhash64(root, F.lit(0), F.col("tokens")[picked])
 
-    if level == 0:
-        return points.select(*OWN, "mark", F.explode(F.array(*[child(F.lit(t).cast("long"), 0, 1) for t in range(TREES)])).alias("node"))
-    # as many tokens as bring a group of middling similarity to a small node
-    wanted = F.ceil(F.log(F.col("size") / SMALL) / -math.log(STEP_SHRINK))
-    ways = []
-    for way in range(WAYS if level == 1 else 1):
-        steps = F.coalesce(*[F.when(wanted <= k, child(F.col("node"), way, k)) for k in range(1, STEP_TOKENS)], child(F.col("node"), way, STEP_TOKENS))
-        ways.append(steps)
-    own = members.select(*OWN, "node", "size").join(points.select("v", "tokens", "mark"), "v")
-    return own.select(*OWN, "mark", F.explode(F.array(*ways)).alias("node"))
+    return points.select(*OWN, "mark", F.explode(F.array(*[child(t) for t in range(TREES)])).alias("node"))
 
 
 def equal_bits(a: str, b: str) -> Column:
@@ -246,45 +233,51 @@ def central_pairs(large: DataFrame) -> DataFrame:
     return pairs_of(own.join(ranked.select("node", F.col("best.y").alias("y")), "node")).distinct()
 
 
-def rest_pairs(large: DataFrame) -> DataFrame:
-    """All pairs of nodes that no level has split: only if so many of their tokens agree that they are one set but for chance."""
-    x, y = large.select("node", F.struct(*OWN, "mark").alias("x")), large.select("node", F.struct(*OWN, "mark").alias("y"))
-    return pairs_of(x.join(y, "node").filter((F.col("x.v") < F.col("y.v")) & (F.col("x.mark") != F.col("y.mark")))).distinct()
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+def compare_blocks(rows: pd.DataFrame, nearest: int | None) -> pd.DataFrame:
+    """Candidate pairs (a, b) between components, of two blocks or within one; with ``nearest`` the best of each vertex."""
+    first, second = rows["i"].iloc[0], rows["j"].iloc[0]
+    left, right = rows[rows["block"] == first], rows[rows["block"] == second]
+    sketch = lambda x: x[["s1", "s2"]].to_numpy(np.int64).view(np.uint64)
+    (sx, nx, mx), (sy, ny, my) = [(sketch(x), x["n"].to_numpy(), x["mark"].to_numpy()) for x in (left, right)]
+    vx, vy, found = left["v"].to_numpy(object), right["v"].to_numpy(object), []
+    for at in range(0, len(sx), 256):
+        rest = slice(at, at + 256)
+        apart = sum(np.bitwise_count(sx[rest, k, None] ^ sy[None, :, k]).astype(np.int16) for k in (0, 1))
+        sizes = 100 * np.minimum(nx[rest, None], ny) >= PERCENT * np.maximum(nx[rest, None], ny)
+        fits = sizes & (apart <= COORDINATES - CANDIDATE_BITS) & (mx[rest, None] != my)
+        if nearest is not None and fits.any():
+            order, best = np.where(fits, apart, COORDINATES + 1), np.zeros_like(fits)
+            for axis in (0, 1):
+                if order.shape[axis] <= nearest:
+                    best[:] = True
+                else:
+                    np.put_along_axis(best, np.argpartition(order, nearest, axis).take(range(nearest), axis), True, axis)
+            fits &= best
+        found += [(min(x, y), max(x, y)) for x, y in ((bytes(vx[at + p]), bytes(vy[q])) for p, q in np.argwhere(fits))]
+    return pd.DataFrame(sorted(set(found)), columns=["a", "b"])
+
+
+def block_pairs(large: DataFrame, labels: DataFrame, nearest: int | None) -> DataFrame:
+    """Candidate pairs of large nodes whose components differ by now, every one unless ``nearest`` is given."""
+    known = labels.select("v", F.xxhash64("label").alias("_mark"))
+    marked = large.drop("mark", "size").join(known, "v", "left").withColumn("mark", F.coalesce("_mark", F.xxhash64("v"))).drop("_mark")
+    members = node_members(marked).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
+    dealt = members.withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")))
+    other = dealt.select("node", *OWN, "mark", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    keyed = other.select("node", *OWN, "mark", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    pairs = keyed.groupBy("node", "i", "j").applyInPandas(lambda rows: compare_blocks(rows, nearest), "a binary, b binary")
+    return stage(pairs.distinct(), "near-candidates")
 
 
 def first_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b) of the first level, and the members of its large nodes."""
     marked = points.withColumn("mark", F.xxhash64("v"))
-    kept = stage(node_members(branch(None, marked, 0)), "near-nodes")
+    kept = stage(node_members(first_nodes(marked)), "near-nodes")
     large = kept.filter(F.col("size") > SMALL)
     found = small_node_pairs(kept, SMALL) if large.isEmpty() else small_node_pairs(kept, SMALL).unionByName(central_pairs(large)).distinct()
     return stage(found, "near-candidates"), large
 
 
-def further_pairs(large: DataFrame, points: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Candidate pairs of all further levels, between components."""
-    known = labels.select("v", F.xxhash64("label").alias("_mark"))
-    marks = points.select("v", "tokens").join(known, "v", "left").select("v", "tokens", F.coalesce("_mark", F.xxhash64("v")).alias("mark"))
-    marks = stage(marks.join(large.select("v").distinct(), "v", "left_semi"), "near-marks")
-    found = []
-    for level in range(1, DEPTH):
-        if large.isEmpty():
-            break
-        kept = stage(node_members(branch(large, marks, level)), "near-nodes")
-        found.append(stage(small_node_pairs(kept, SMALL_LATER), "near-level"))
-        large = kept.filter(F.col("size") > SMALL_LATER)
-    else:
-        found.append(rest_pairs(large))
-    return stage(union_all(found).distinct(), "near-candidates") if found else None
-
-
 def full_sets(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(v, shingles) of the sets in some pairs, each from one of its texts.
 
@@ -341,10 +334,10 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     early, large = first_pairs(points)
     links = confirmed(docs, points, early, doc_id, text)
     labels = components(links)
-    later = further_pairs(large, points, labels)
-    if later is not None:
-        more = confirmed(docs, points, later, doc_id, text)
-        labels = components(links.unionByName(more).distinct())
+    for nearest in (NEAREST, None) if not large.isEmpty() else ():
+        more = confirmed(docs, points, block_pairs(large, labels, nearest), doc_id, text)
+        links = links.unionByName(more).distinct()
+        labels = components(links)
     named = points.select("v", "doc_id").join(labels, "v", "left").select("v", "doc_id", F.coalesce("label", "v").alias("class"))
     named = stage(named, "near-named")
     ids = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))

@@ -75,6 +75,23 @@ def test_near_duplicates_of_large_groups(spark, edits):
     assert got_classes(frame) == Counter(brute_classes(rows))
 
 
+@pytest.mark.parametrize("count, words, edits", [(1000, 230, (2, 4)), (600, 200, (2, 3))])
+def test_no_link_of_a_large_group_is_lost(spark, monkeypatch, count, words, edits):
+    """Distinct near copies with a mean similarity below the threshold: classes equal those of all pairs, across blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", 256, raising=False)
+    rnd = random.Random(count)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    base, rows = [word() for _ in range(words)], []
+    for i in range(count):
+        copy = list(base)
+        for at in rnd.sample(range(4, words - 4), rnd.randint(*edits)):
+            copy[at] = word()
+        rows.append((i, " ".join(copy)))
+    want = brute_classes(rows)
+    assert len({c for _, _, c in want}) > 10
+    assert got_classes(spark.createDataFrame(rows, "doc_id long, text string")) == Counter(want)
+
+
 def test_components_of_long_paths(spark):
     rnd = random.Random(1)
     names = [bytes([i // 256, i % 256]) for i in range(300)]
