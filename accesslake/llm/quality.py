@@ -1,12 +1,13 @@
 """Quality rules whose cutoffs are chosen with a guarantee.
 
 Each rule rejects a document whose metric exceeds a cutoff. Labelled documents are split in two by a hash
-of their id. One half picks, per stratum and rule, the cutoffs worth having; the other half tests them,
-from the mildest to the strictest, with the exact binomial tail: a cutoff is accepted if so few good
-documents beyond it would be seen with probability ``delta / tests`` were the true share of rejected good
-documents ``alpha / rules``. ``tests`` is the number of strata times rules, so all accepted cutoffs hold
-together with probability 1 - delta, and no stratum loses more than ``alpha`` of its good documents to all
-rules. Testing in a fixed order needs no correction for the grid.
+of their id. One half orders, per stratum, the lowerings of cutoffs worth having, the most bad documents for
+each good one first: a nested sequence of rule sets. The other half tests the sequence from its mildest set on with the
+exact binomial tail, counting good documents that any rule of the set rejects: a set is accepted if so few would
+be seen with probability ``delta / strata`` were the true share ``alpha``. So all accepted sets hold together with probability
+1 - delta, and no stratum loses more than ``alpha`` of its good documents to all rules. Only documents that pass the base rule are counted. Testing in a fixed order
+needs no correction for rules or steps. With four strata a stratum needs 217 good labels in the tested half, about 434
+in all, before a set that rejects none of them can be accepted.
 
 Documents with fewer than MIN_WORDS words or too many words in repeated windows fail outright. A stratum with
 too few labels, or none, gets no cutoff, and its documents are kept. A null stratum is one of its own. Null
@@ -111,44 +112,80 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 
 
 def choose_cutoff(tune_good, tune_bad, test_good, level: float, risk: float) -> float | None:
-    """Cutoff of one stratum and rule from counts of documents per step of the metric.
+    """Place, as a share, in a sequence of nested rejections, the last place the mildest, from documents per place.
 
-    The strictest cutoff that passes is taken only as far as it gains: it has to reject bad documents
+    The strictest place that passes is taken only as far as it gains: it has to reject bad documents
     of the first half, at least twenty for each good one.
     """
     beyond = lambda counts: np.cumsum(np.asarray(counts)[::-1])[::-1]
     good, bad, tested, n = beyond(tune_good), beyond(tune_bad), beyond(test_good), int(np.sum(test_good))
     best, gain = None, 0
-    for step in range(STEPS - 1, 0, -1):
+    for step in range(len(good) - 1, 0, -1):
         if binomial_tail(int(tested[step]), n, risk) > level:
             break
         worth = int(bad[step]) - 20 * int(good[step])
         if worth > gain:
-            best, gain = step / STEPS, worth
+            best, gain = step / len(good), worth
     return best
 
 
+def rejection_order(good: np.ndarray, bad: np.ndarray) -> list[tuple[int, int]]:
+    """(rule, step) by which cutoffs are lowered in turn, from counts of documents per rule and step."""
+    good, bad = [np.cumsum(x[:, ::-1], axis=1)[:, ::-1] for x in (good, bad)]
+    at, order = [STEPS] * len(RULES), []
+    now = lambda counts, rule: counts[rule][at[rule]] if at[rule] < STEPS else 0
+    while True:
+        best = None
+        for rule in range(len(RULES)):
+            for step in range(at[rule] - 1, 0, -1):
+                more_bad, more_good = int(bad[rule][step] - now(bad, rule)), int(good[rule][step] - now(good, rule))
+                if more_bad > 20 * more_good:
+                    best = max(best or (0, 0, 0, 0), (more_bad / (more_good + 0.5), more_bad, -rule, step))
+        if best is None:
+            return order
+        at[-best[2]] = best[3]
+        order.append((-best[2], best[3]))
+
+
 def fit_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, cutoffs) from rows of stratum, good, half and metrics; one row per stratum with labels.
+    """(stratum, cutoffs) from rows of stratum, good, half and metrics; one row per stratum with labels in the first half.
 
-    Only counts per stratum, rule, step, label and half are gathered.
+    Only counts per stratum, label and half are gathered: by rule and step, and by place in the stratum's sequence.
     """
     step = lambda r: F.least(F.floor(F.col(r) * STEPS), F.lit(STEPS - 1)).cast("int")
-    long = labelled.select(
-        "stratum", "good", "half",
-        F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), step(r).alias("step")) for i, r in enumerate(RULES)])).alias("x"),
-    ).select("stratum", "good", "half", "x.rule", "x.step")
-    counts = stage(long.groupBy("stratum", "good", "half", "rule", "step").count(), "quality-counts")
-    tests = max(1, counts.agg(F.count_distinct("stratum")).first()[0] + counts.filter("stratum is null").limit(1).count()) * len(RULES)
+    stepped = stage(labelled.select("stratum", "good", "half", F.array(*[step(r) for r in RULES]).alias("steps")), "quality-labelled")
+    strata = max(1, stepped.select("stratum").distinct().count())
+    counts = stepped.filter("not half").select("stratum", "good", F.posexplode("steps").alias("rule", "step"))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        table = np.zeros((len(RULES), 2, 2, STEPS), np.int64)
+    def arrange(rows: pd.DataFrame) -> pd.DataFrame:
+        table = np.zeros((2, len(RULES), STEPS), np.int64)
         for r in rows.itertuples(index=False):
-            table[r.rule, int(r.good), int(r.half), r.step] += r.count
-        found = [choose_cutoff(x[1, 0], x[0, 0], x[1, 1], delta / tests, alpha / len(RULES)) for x in table]
-        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "cutoffs": [[2.0 if c is None else c for c in found]]})
+            table[int(r.good), r.rule, r.step] += r.count
+        order = rejection_order(table[1], table[0])
+        place = np.zeros((len(RULES), STEPS), np.int64)  # 0: never rejected
+        for i, (rule, at) in enumerate(order):
+            place[rule, at:] = np.maximum(place[rule, at:], len(order) - i)
+        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "rules": [[r for r, _ in order]], "cuts": [[c for _, c in order]], "places": [place.tolist()]})
+
+    counted = counts.groupBy("stratum", "good", "rule", "step").count()
+    orders = counted.groupBy("stratum").applyInPandas(arrange, "stratum string, rules array<int>, cuts array<int>, places array<array<int>>")
+    orders = stage(orders.withColumnRenamed("stratum", "_stratum"), "quality-orders")
+    place = F.greatest(*[F.col("places")[i][F.col("steps")[i]] for i in range(len(RULES))]).alias("place")
+    placed = stepped.join(orders, F.col("stratum").eqNullSafe(F.col("_stratum"))).select("stratum", "rules", "cuts", "good", "half", place)
 
-    rows = counts.select("stratum", "good", "half", "rule", "step", F.col("count"))
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rules, cuts = list(rows["rules"].iloc[0]), list(rows["cuts"].iloc[0])
+        table = np.zeros((2, 2, len(rules) + 1), np.int64)
+        for r in rows.itertuples(index=False):
+            table[int(r.good), int(r.half), r.place] += r.count
+        chosen = choose_cutoff(table[1, 0], table[0, 0], table[1, 1], delta / strata, alpha)
+        taken = 0 if chosen is None else len(rules) + 1 - round(chosen * (len(rules) + 1))
+        found = [2.0] * len(RULES)
+        for rule, at in zip(rules[:taken], cuts[:taken]):
+            found[rule] = at / STEPS
+        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "cutoffs": [found]})
+
+    rows = stage(placed.groupBy("stratum", "rules", "cuts", "good", "half", "place").count(), "quality-counts")
     return rows.groupBy("stratum").applyInPandas(run, "stratum string, cutoffs array<double>")
 
 
@@ -184,7 +221,7 @@ def fitted_metrics(
         F.col(doc_id).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), quality_metrics(F.col(text)).alias("metrics")
     )
     measured = stage(measured, "quality-metrics")
-    flat = measured.select("doc_id", "stratum", "metrics.*")
+    flat = measured.filter(~base_failed()).select("doc_id", "stratum", "metrics.*")
     return measured, stage(fit_cutoffs(label_metrics(flat, labels, doc_id)), "quality-cutoffs")
 
 

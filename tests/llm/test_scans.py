@@ -80,6 +80,27 @@ def test_quality_rejects_bad_and_keeps_good(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.5 * len(bad)
 
 
+def test_cutoffs_reject_bad_documents_of_every_language(spark):
+    """Several hundred good labels a language are enough for cutoffs, and few good documents are lost to all rules together."""
+    good, bad = (0.0,) * 8, (0.0, 0.0, 0.0, 0.6, 0.5, 0.0, 0.0, 0.0)
+    rows = [(lang, i % 6 > 0, i // 6 % 2 == 1, *(good if i % 6 or i % 5 == 0 else bad)) for lang in ("en", "de", "fr", None) for i in range(600)]
+    schema = "stratum string, good boolean, half boolean, " + ", ".join(f"{r} double" for r in quality.RULES)
+    found = {r.stratum: r.cutoffs for r in quality.fit_cutoffs(spark.createDataFrame(rows, schema)).collect()}
+    assert set(found) == {"en", "de", "fr", None}
+    for cutoffs in found.values():
+        assert any(x >= c for x, c in zip(bad, cutoffs)) and not any(x >= c for x, c in zip(good, cutoffs))
+
+
+def test_rules_are_tested_jointly(spark):
+    """Rules that each lose 1.5 % of the good documents of the tested half, not the same ones, are not accepted together."""
+    metrics = lambda rule: tuple(0.5 if i == rule else 0.0 for i in range(8))
+    rows = [("en", False, False, *metrics(i % 4)) for i in range(400)] + [("en", True, False, *metrics(9))] * 1000
+    rows += [("en", True, True, *metrics(i // 45 if i < 180 else 9)) for i in range(3000)]
+    schema = "stratum string, good boolean, half boolean, " + ", ".join(f"{r} double" for r in quality.RULES)
+    cutoffs = quality.fit_cutoffs(spark.createDataFrame(rows, schema)).first().cutoffs
+    assert sum(c < 1 for c in cutoffs) <= 1
+
+
 def test_quality_odd_rows(spark, odd, none, odd_rows):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (4, None), (99, 1)], "doc_id long, quality int")
     rows = quality.quality_verdicts(odd, labels).collect()
