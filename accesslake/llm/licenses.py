@@ -2,9 +2,10 @@
 
 Base labels come from phrases whose words stand consecutively. The method adds labels of licence texts: the
 positions of template words in every document are indexed; the RARE words of a file with the highest
-inverse document frequency over the corpus are looked up in the templates' postings; postings that agree on
-a template and a relative position vote for it; a template with MIN_VOTES is taken if its mandatory phrases
-are all in the document.
+inverse document frequency over the corpus are looked up in the templates' postings, and beside them, for each template whose
+mandatory phrases are all in the file, the RARE rarest of its own words there, so that no text crowds out another; postings that
+agree on a template and a relative position vote for it; a template with MIN_VOTES is taken if its mandatory
+phrases are all in the document.
 
 A null or empty text has no words and no labels, score 0. Equal rows get equal results, one each; ids may
 repeat or be null. A score is 1 with a base label, else the best accepted template's share of aligned words.
@@ -130,25 +131,37 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return words.filter(F.col("word").isin(sorted({w for w, _, _ in template_postings()})))
 
 
+def known_postings(index: DataFrame) -> DataFrame:
+    """(word, template, at): the templates' postings as a table."""
+    rows = [F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(p).alias("at")) for w, t, p in template_postings()]
+    return index.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
 def rare_words(index: DataFrame, n_docs: int) -> DataFrame:
-    """(document key, word): the RARE template words of each file with the highest IDF, ties by the word."""
+    """(document key, word, template): by IDF, ties by the word, the RARE rarest template words of each file for any
+    template (null) and the RARE rarest words of each template in each file."""
     own = index.select(*KEY, "word").distinct()
     idf = own.groupBy("word").agg(F.log((F.lit(n_docs) + 1.0) / (F.count(F.lit(1)) + 1.0)).alias("idf"))
-    ranked = own.join(F.broadcast(idf), "word").groupBy(*KEY).agg(  # idf: a row per template word at most
+    scored = own.join(F.broadcast(idf), "word")  # idf: a row per template word at most
+    templates = known_postings(index).groupBy("word").agg(F.array_distinct(F.concat(F.array(F.lit(None).cast("string")), F.collect_list("template"))).alias("templates"))
+    each = scored.join(F.broadcast(templates), "word").select(*KEY, "idf", "word", F.explode("templates").alias("template"))
+    ranked = each.groupBy(*KEY, "template").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("idf")).alias("order"), "word"))), 1, RARE).alias("top")
     )
-    return ranked.select(*KEY, F.explode("top.word").alias("word"))
+    return ranked.select(*KEY, "template", F.explode("top.word").alias("word"))
 
 
 def template_votes(index: DataFrame, rare: DataFrame) -> DataFrame:
     """(document key, template, votes): most distinct rare words that agree on one relative position."""
-    rows = [F.struct(F.lit(w).alias("word"), F.lit(t).alias("template"), F.lit(p).alias("at")) for w, t, p in template_postings()]
-    known = index.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("x")).select("x.*")
-    keyed = rare.select(*[F.col(k).alias(f"r{k}") for k in KEY], F.col("word").alias("rword"))
+    keyed = rare.groupBy(*[F.col(k).alias(f"r{k}") for k in KEY], F.col("word").alias("rword")).agg(
+        F.collect_set("template").alias("wanted"), F.bool_or(F.col("template").isNull()).alias("any")
+    )
     same = F.col("doc_id").eqNullSafe(F.col("rdoc_id")) & (F.col("_k1") == F.col("r_k1")) & (F.col("_k2") == F.col("r_k2"))
-    own = index.join(keyed, same & (F.col("word") == F.col("rword")), "left_semi")
-    aligned = own.join(F.broadcast(known), "word").select(*KEY, "template", (F.col("pos") - F.col("at")).alias("shift"), "word")
-    votes = aligned.distinct().groupBy(*KEY, "template", "shift").agg(F.count(F.lit(1)).alias("votes"))
+    own = index.join(keyed, same & (F.col("word") == F.col("rword"))).select(*KEY, "pos", "word", "wanted", "any")
+    mine = F.array_contains("wanted", F.col("template")).alias("mine")
+    voting = own.join(F.broadcast(known_postings(index)), "word")
+    aligned = voting.select(*KEY, "template", (F.col("pos") - F.col("at")).alias("shift"), "word", "any", mine).filter("any or mine")
+    votes = aligned.distinct().groupBy(*KEY, "template", "shift").agg(F.greatest(F.count_if("any"), F.count_if("mine")).alias("votes"))
     return votes.groupBy(*KEY, "template").agg(F.max("votes").alias("votes")).filter(F.col("votes") >= MIN_VOTES)
 
 

@@ -166,6 +166,16 @@ def test_licence_templates(texts):
     assert rows[-1].base_labels == ["cc-by", "mit"]
 
 
+def test_licences_of_one_file_do_not_crowd_each_other_out(texts):
+    """Two and three licences in a file, beside a hot notice that a third of the rows carry, and prose of rarer words."""
+    full = {n: t for n, (t, _) in licenses.TEMPLATES.items()}
+    hot, prose = full["cc-by-nc-4.0"], "permission copyright library contributors source binary redistribution forms modification hereby granted software charge"
+    many = [f"{full['bsd']} {hot}", f"{full['bsd']} {full['isc']} {hot}", f"{full['mpl-2.0']} then {full['mit-text']} then {full['unlicense']}", f"{prose} {hot}"]
+    rows = licenses.licence_labels(texts(*many, *[f"{hot} {i}" for i in range(20)], *["plain words here"] * 30)).orderBy("doc_id").collect()
+    for r, wanted in zip(rows, ({"bsd", "cc-by-nc-4.0"}, {"bsd", "isc", "cc-by-nc-4.0"}, {"mpl-2.0", "mit-text", "unlicense"}, {"cc-by-nc-4.0"})):
+        assert wanted <= set(r.labels)
+
+
 PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
