@@ -276,3 +276,26 @@ def test_redaction_and_odd_rows(odd, none, odd_rows):
     texts = [r.x for r in odd.select(secrets.redacted(odd.text, None).alias("x")).collect()]
     assert sorted(map(str, texts)) == sorted(str(r[1]) for r in odd_rows)
     assert pii.find_personal_data(none).count() == secrets.find_secrets(none).count() == 0
+
+
+def test_the_whole_of_a_candidate_is_read():
+    """Windows see every character of a long run and what follows; a key late in it is marked, and short strings after a cue."""
+    seen = lambda v: "".join(chr(c % 99 + 32) for c in v if c % 99 < 95)
+
+    class Finds(secrets.Network):
+        def probability(self, x):
+            return np.array([float("Zq9" in seen(v)) for v in x])
+
+    import numpy as np
+
+    network = Finds()
+    network.threshold = 0.5
+    path = "static/" * 30
+    late, short = f"see {path}aZq9aaaabbbb/end of", "pwd: xZq9abc done"
+    (_, found), (_, cued), (_, none) = secrets.all_spans([late, short, "see " + path], network)
+    at = late.index("aZq9")
+    assert len(found) == 1 and found[0][1] <= at and found[0][2] >= at + 12 and found[0][2] - found[0][1] < 120
+    assert cued == [("network", 5, 12)] and none == []
+    assert secrets.outside(0, 50, [("hex", 10, 40), ("hex", 38, 46)]) == [(0, 10)] and secrets.outside(3, 5, []) == [(3, 5)]
+    v = secrets.view("ab " + "k" * 16 + " cd", 3, 19)
+    assert (v >= secrets.INSIDE).sum() == 16
