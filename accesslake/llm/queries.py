@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslake.llm import chat, decontam, licenses, lm, neardup, pieces, pii, quality, secrets, token_counts
+from accesslake.llm import chat, decontam, licenses, lm, neardup, pieces, pii, quality, repair, runs, secrets, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,10 +66,30 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(documents(spark, sf_dir), plant=True)
+    listed = F.array_join(F.transform("runs", lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])), "\n")
+    ended = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.*",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(ended, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(table(spark, sf_dir, "conversations"), damage=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_quality_rules, op3_license_scans, op4_near_duplicates, op5_pii, op6_secret_scans,
-        op7_lm_scores, op8_sentencepiece, op9_decontamination, op10_chat_format,
+        op7_lm_scores, op8_sentencepiece, op9_decontamination, op10_chat_format, op11_toxicity,
+        op12_periodic_runs, op13_conversation_repair,
     )
 }

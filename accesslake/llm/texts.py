@@ -11,6 +11,8 @@ from accesslake.session import scratch_path
 
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Characters of text whose results are held at a time before they leave for the JVM.
+SLICE_CHARS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,6 +41,19 @@ def same_key(left: str, right: str) -> Column:
     return same & (F.col(f"{left}._k1") == F.col(f"{right}._k1")) & (F.col(f"{left}._k2") == F.col(f"{right}._k2"))
 
 
+def slices(texts: pd.Series, most: int = SLICE_CHARS) -> Iterator[slice]:
+    """Consecutive rows of a batch, in slices whose texts have at most so many characters together, or of one row."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        size = len(t) if t is not None else 0
+        if held and held + size > most:
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
+    if len(texts) > start:
+        yield slice(start, len(texts))
+
+
 def per_text(schema: str, make: Callable[[], Callable[[str], tuple]]) -> Callable[[Column], Column]:
     """A struct column computed from each text in Arrow batches; a null text counts as an empty one.
 
@@ -50,7 +65,8 @@ def per_text(schema: str, make: Callable[[], Callable[[str], tuple]]) -> Callabl
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         work = make()
         for texts in batches:
-            yield pd.DataFrame([work(t or "") for t in texts], columns=names)
+            for part in slices(texts):
+                yield pd.DataFrame([work(t or "") for t in texts.iloc[part]], columns=names)
 
     return run
 
