@@ -40,9 +40,9 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine i
 
 HELD_OUT, FOLDS = 5, 10
 #: Folds up to these learn the lexicon and the trees; the rest calibrate.
-LEXICON_FOLDS, TREE_FOLDS = 4, 8
+LEXICON_FOLDS, TREE_FOLDS = 5, 8
 BEGINNINGS = (4, 5, 6)
-MIN_SEEN, MAX_TERMS, CHANCE = 4, 20_000, 1e-6
+MIN_SEEN, MAX_TERMS, CHANCE = 4, 20_000, 1e-4
 SAMPLE = 10_000
 ROUNDS, DEPTH, BINS, RATE, SHRINK, LEAST = 80, 4, 64, 0.15, 1.0, 5
 MARGINS, MARGIN_RANGE = 4096, 16.0
