@@ -1,11 +1,12 @@
 """Toxicity scores: gradient-boosted trees over dense features of a text, calibrated by isotonic regression.
 
-Labelled documents that are not held out are dealt into three folds by a hash of their id. From all of the first, words
-and word beginnings are counted by label; those that occur in toxic documents beyond chance are a learnt lexicon, with a
-weight, beside a short fixed one. The second, at most SAMPLE documents of either label by smallest hash, trains the trees, so that
-they see the lexicon err as it will elsewhere. All of the third is scored and counted by label and margin, and pooled by adjacent violators
-to a monotone map from margins to probabilities. Only the lexicon, at most MAX_TERMS terms, the sample's features and the counts by margin, at most MARGINS rows,
-reach the driver.
+Labelled documents that are not held out are dealt into three parts by a hash of their id. In the first, at most LEXICON_SAMPLE
+documents of either label, words and word beginnings are counted by label; those that occur in toxic documents beyond chance are a
+learnt lexicon, with a weight, beside a short fixed one. The second, at most TREE_SAMPLE documents of either label, trains the
+trees, so that they see the lexicon err as it will elsewhere. Samples are the smallest hashes of ids. Then every document's features are
+summed to a margin, and all documents of the third part are counted by label and margin and pooled by adjacent violators to a
+monotone map from margins to probabilities. The lexicon, at most MAX_TERMS terms, the sample's features and the counts, at most
+MARGINS rows, are all that reaches the driver; no text but those of the samples is moved.
 
 Features are densities and weights of lexicon words, how near to them a second-person pronoun stands, capitals,
 punctuation and obfuscation (digits or signs among letters, letters set apart or repeated; such words are looked up
@@ -13,14 +14,15 @@ as the words they stand for). Label, language, source and id are no features.
 
 Null and empty texts have all features zero and get the score of such a text. Texts are read whole. Null labels and labels of unknown documents
 are left out; a document with several labels is toxic if any says so. Ids may repeat: each row is scored by its own text. A null id is
-hashed as an empty one. Where a fold lacks either label, its part is left out: no lexicon learnt, no trees, or no
-calibration; without trees every score is the share of toxic labels among documents not held out, 0 without any.
+hashed as an empty one. Where a part lacks either label, what it gives is left out: no lexicon learnt, no trees, or no
+calibration; without trees every score is the share of toxic labels among those not held out, 0 without any.
 """
 
 import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from accesslake.llm.texts import per_text, slices, stage
+from accesslake.operators.joins import broadcast_if_small
 
 #: Words taken for insults in any language, and second-person pronouns, whatever the labels say.
 INSULTS = frozenset(
@@ -43,16 +46,20 @@ HELD_OUT, FOLDS = 5, 10
 LEXICON_FOLDS, TREE_FOLDS = 5, 8
 BEGINNINGS = (4, 5, 6)
 MIN_SEEN, MAX_TERMS, CHANCE = 4, 20_000, 1e-4
-SAMPLE = 10_000
+#: Documents of either label that the lexicon and the trees learn from, by smallest hash.
+LEXICON_SAMPLE, TREE_SAMPLE = 20_000, 10_000
+LEXICON, TREES, CALIBRATION = range(3)
 ROUNDS, DEPTH, BINS, RATE, SHRINK, LEAST = 80, 4, 64, 0.15, 1.0, 5
 MARGINS, MARGIN_RANGE = 4096, 16.0
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 FEATURES = (
     "learnt_share", "learnt_count", "learnt_most", "learnt_mean", "insult_share", "insult_count", "obfuscated_share", "obfuscated_hits",
     "nearness", "second_person", "capitals", "shouted", "exclaimed", "asked", "marks", "digits", "drawn_out", "n_words", "distinct",
 )
 STANDS_FOR = str.maketrans("013457@$!|€", "oieastasiie")
 EDGES = ".,;:?\"'()[]{}<>«»„“”‘’¡¿…-–—*_~/\\"
+UPPER = re.compile("[A-ZÀ-ÖØ-Þ]").findall
+UNKNOWN = ()
 DRAWN = re.compile(r"(.)\1{2,}")
 
 
@@ -125,18 +132,17 @@ def learnt_weights(counts: DataFrame, toxic: int, clean: int) -> dict[str, float
 
 def text_features(lexicon: dict[str, float]) -> Callable[[str], list[float]]:
     """A function from a text to its features."""
-    known: dict[str, tuple] = {}
+    known: dict[str, tuple | None] = {}
 
-    def look_up(token: str) -> tuple:
+    def look_up(token: str) -> tuple | None:
+        """What a token adds to the features, or None if nothing."""
         word, read = plain_word(token)
         weight = max([lexicon.get(t, 0.0) for t in terms_of(word)], default=0.0)
         insult = word in INSULTS
-        info = (
-            weight, insult, read, word in SECOND_PERSON, len(token) > 2 and token.isupper(), bool(DRAWN.search(token)), bool(weight or insult),
-        )
+        marks = (insult, read, word in SECOND_PERSON, len(token) > 2 and token.isupper(), bool(DRAWN.search(token)))
         if len(known) >= KNOWN_WORDS:
             known.clear()
-        known[token] = info
+        info = known[token] = (weight, *marks, bool(weight or insult)) if weight or any(marks) else None
         return info
 
     def work(text: str) -> list[float]:
@@ -149,7 +155,11 @@ def text_features(lexicon: dict[str, float]) -> Callable[[str], list[float]]:
         most = total = 0.0
         hits, people = set(), set()
         for token, times in counts.items():
-            info = known.get(token) or look_up(token)
+            info = known.get(token, UNKNOWN)
+            if info is UNKNOWN:
+                info = look_up(token)
+            if info is None:
+                continue
             weight, insult, read, person, loud, long, hit = info
             if weight:
                 learnt += times
@@ -180,7 +190,7 @@ def text_features(lexicon: dict[str, float]) -> Callable[[str], list[float]]:
                     nearness = max(nearness, 1 / (1 + abs(last_hit - last_person)))
                     last_hit, last_person = (last_hit, None) if last_hit > last_person else (None, last_person)
         size = len(text)
-        upper = sum(map(str.isupper, text)) if not text.islower() else 0
+        upper = len(UPPER(text))
         signs = sum([text.count(c) for c in ".,;:\"'()-*_#"])
         digits = sum([text.count(c) for c in "0123456789"])
         return [
@@ -279,87 +289,110 @@ class Model:
         self.trees: Trees | None = None
         self.map: tuple[np.ndarray, np.ndarray] | None = None
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
+    def margins(self, text: Column) -> Column:
+        """A double from each text: the sum of its leaves; without trees 0."""
         if self.trees is None:
-            return np.full(len(x), self.share)
-        margin = self.trees.margin(x)
-        if self.map is None:
-            return 1 / (1 + np.exp(-margin))
-        return np.interp(margin, *self.map)
-
-    def scored(self, text: Column, margins: bool = False) -> Column:
-        """A double from each text: its probability, or its margin."""
+            return F.lit(0.0)
 
         @pandas_udf("double")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             work = text_features(self.lexicon)
             for texts in batches:
                 for part in slices(texts):
-                    x = np.array([work(t or "") for t in texts.iloc[part]])
-                    yield pd.Series(self.trees.margin(x) if margins else self.probability(x))
+                    yield pd.Series(self.trees.margin(np.array([work(t or "") for t in texts.iloc[part]], np.float32).astype(float)))
 
         return run(text)
 
+    def probability(self, margin: Column) -> Column:
+        """Probability of a margin: between two places of the map in proportion, beyond them that of the nearest."""
+
+        @pandas_udf("double")
+        def run(margins: pd.Series) -> pd.Series:
+            if self.map is None:
+                return 1 / (1 + np.exp(-margins))
+            return pd.Series(np.interp(margins.to_numpy(), *self.map))
+
+        return run(margin)
+
 
 def id_hash(doc_id: str) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-    """(text, toxic, fold, rank) of labelled documents that are not held out; rank orders them by chance."""
+def label_rows(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
+    """(_id, toxic, part, rank) of labelled ids that are not held out; rank orders them by chance."""
     own = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     own = own.groupBy(F.col(doc_id).alias("_id")).agg((F.max(F.col(label).cast("long")) > 0).alias("toxic"))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"), id_hash(doc_id).alias("_hash")).filter(F.col("_hash") % HELD_OUT != 0)
-    fold = (F.floor(F.col("_hash") / HELD_OUT) % FOLDS).alias("fold")
-    return rows.join(own, "_id").select("text", "toxic", fold, F.xxhash64("_hash", "text").alias("rank"))
-
-
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """The model that the labels give."""
-    rows = stage(labelled_rows(docs, labels, doc_id, text, label), "toxicity-labelled")
-    sizes = {(r.part, r.toxic): r.n for r in rows.groupBy(fold_part().alias("part"), "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = own.withColumn("_hash", id_hash("_id")).filter(F.col("_hash") % HELD_OUT != 0)
+    fold = F.floor(F.col("_hash") / HELD_OUT) % FOLDS
+    part = F.when(fold < LEXICON_FOLDS, LEXICON).when(fold < TREE_FOLDS, TREES).otherwise(CALIBRATION)
+    return hashed.select("_id", "toxic", part.alias("part"), F.xxhash64("_hash", F.col("_id").cast("string")).alias("rank"))
+
+
+def sampled_texts(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(toxic, part, text) of the documents that lexicon and trees learn from; no other text is moved."""
+    drawn = []
+    for part, most in ((LEXICON, LEXICON_SAMPLE), (TREES, TREE_SAMPLE)):
+        for toxic in (True, False):
+            own = labels.filter((F.col("part") == part) & (F.col("toxic") == toxic))
+            drawn.append(own.orderBy("rank", "_id").limit(most))
+    wanted = stage(reduce(DataFrame.unionByName, drawn), "toxicity-drawn")  # at most as many rows as the samples have
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+    return stage(rows.join(broadcast_if_small(wanted), "_id").select("toxic", "part", "text"), "toxicity-texts")
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> Model:
+    """Lexicon and trees, from the rows of ``label_rows``."""
+    sizes = {(r.part, r.toxic): r.n for r in labels.groupBy("part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     total, toxic = sum(sizes.values()), sum([n for (_, t), n in sizes.items() if t])
     model = Model(toxic / total if total else 0.0)
-    both = [all(sizes.get((part, t)) for t in (True, False)) for part in range(3)]
-    if both[0]:
-        terms = rows.filter(fold_part() == 0).select("toxic", per_text("terms array<string>", text_terms)(F.col("text"))["terms"].alias("terms"))
-        counted = terms.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-            F.count_if("toxic").alias("n_toxic"), F.count_if(~F.col("toxic")).alias("n_clean")
-        )
-        model.lexicon = learnt_weights(counted, sizes[0, True], sizes[0, False])
-    if not both[1]:
-        return model
-    lexicon = model.lexicon
-
-    def features():
-        work = text_features(lexicon)
-        return lambda t: (work(t),)
-
-    x, y = [], []
-    measured = per_text("x array<double>", features)(F.col("text"))["x"].alias("x")
-    for kind in (True, False):
-        own = rows.filter((fold_part() == 1) & (F.col("toxic") == kind)).orderBy("rank", "text").limit(SAMPLE)
-        found = [r.x for r in own.select("text").select(measured).collect()]
-        x += found
-        y += [float(kind)] * len(found)
-    model.trees = Trees().fit(np.array(x), np.array(y))
-    if both[2]:
-        scored = rows.filter(fold_part() == 2).select("toxic", model.scored(F.col("text"), margins=True).alias("margin"))
-        step = F.floor((F.greatest(F.least("margin", F.lit(MARGIN_RANGE)), F.lit(-MARGIN_RANGE)) + MARGIN_RANGE) * (MARGINS / 2 / MARGIN_RANGE))
-        counts = scored.groupBy(step.alias("step")).agg(F.count_if("toxic").alias("hits"), F.count(F.lit(1)).alias("n")).orderBy("step").collect()
-        places = np.array([(r.step + 0.5) / (MARGINS / 2 / MARGIN_RANGE) - MARGIN_RANGE for r in counts])
-        model.map = pooled(places, np.array([r.hits for r in counts]), np.array([r.n for r in counts]))
+    rows = sampled_texts(docs, labels, doc_id, text)
+    drawn = {(r.part, r.toxic): r.n for r in rows.groupBy("part", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    both = {part: all(drawn.get((part, t)) for t in (True, False)) for part in (LEXICON, TREES)}
+    if both[LEXICON]:
+        terms = per_text("terms array<string>", text_terms)(F.col("text"))["terms"]
+        each = rows.filter(F.col("part") == LEXICON).select("toxic", F.explode(terms).alias("term"))
+        counted = each.groupBy("term").agg(F.count_if("toxic").alias("n_toxic"), F.count_if(~F.col("toxic")).alias("n_clean"))
+        model.lexicon = learnt_weights(counted, drawn[LEXICON, True], drawn[LEXICON, False])
+    if both[TREES]:
+        lexicon = model.lexicon
+
+        def features():
+            work = text_features(lexicon)
+            return lambda t: (np.array(work(t), np.float32).tobytes(),)
+
+        measured = per_text("x binary", features)(F.col("text"))["x"].alias("x")
+        found = rows.filter(F.col("part") == TREES).select("toxic", measured).collect()
+        found.sort(key=lambda r: (r.toxic, bytes(r.x)))  # the same trees in whatever order rows come
+        x = np.stack([np.frombuffer(r.x, np.float32) for r in found]).astype(float)
+        model.trees = Trees().fit(x, np.array([float(r.toxic) for r in found]))
     return model
 
 
-def fold_part() -> Column:
-    return F.when(F.col("fold") < LEXICON_FOLDS, 0).when(F.col("fold") < TREE_FOLDS, 1).otherwise(2)
+def calibration(margins: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """Map from margins to probabilities, from all labelled documents of its part; ``margins`` has _id and margin."""
+    own = labels.filter(F.col("part") == CALIBRATION).select("_id", "toxic")
+    inside = F.greatest(F.least("margin", F.lit(MARGIN_RANGE)), F.lit(-MARGIN_RANGE))
+    step = F.floor((inside + MARGIN_RANGE) * (MARGINS / 2 / MARGIN_RANGE)).alias("step")
+    counts = margins.join(own, "_id").groupBy(step).agg(F.count_if("toxic").alias("hits"), F.count(F.lit(1)).alias("n")).orderBy("step").collect()
+    hits, n = np.array([r.hits for r in counts]), np.array([r.n for r in counts])
+    if not 0 < hits.sum() < n.sum():
+        return None
+    return pooled(np.array([(r.step + 0.5) / (MARGINS / 2 / MARGIN_RANGE) - MARGIN_RANGE for r in counts]), hits, n)
 
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row for each document."""
-    model = train(docs, labels, doc_id, text, label)
-    scored = docs.select(F.col(doc_id).alias("doc_id"), (id_hash(doc_id) % HELD_OUT == 0).alias("held_out"), model.scored(F.col(text)).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    known = stage(label_rows(labels, doc_id, label), "toxicity-labels")
+    model = fit(docs, known, doc_id, text)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), (id_hash(doc_id) % HELD_OUT == 0).alias("held_out"), model.margins(F.col(text)).alias("margin"))
+    if model.trees is None:
+        scored = rows.withColumn("score", F.lit(model.share))
+    else:
+        # every text is read once; what follows works on its margin
+        rows = stage(rows, "toxicity-margins")
+        model.map = calibration(rows.select(F.col("doc_id").alias("_id"), "margin"), known)
+        scored = rows.withColumn("score", model.probability(F.col("margin")))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
