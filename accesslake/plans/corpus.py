@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.operators import catalog as C
 from accesslake.operators.hashing import hash_good, hash_objects
-from accesslake.operators.star import catalog_additions, missing_facts, resolve_facts
+from accesslake.operators.joins import semi_join
+from accesslake.operators.star import missing_facts, resolve_facts
 from accesslake.plans.store import Store
 from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
@@ -19,6 +22,7 @@ def hash_listing(spark: SparkSession, store: Store, listing: DataFrame, prefix:
     Returns the result row of every object hashed, rejects included. Contents are read only for
     objects the plan says need it, and once: results are written before the catalog is.
     """
+    store.recover(spark)
     catalog = store.catalog(spark)
     plan = C.plan_hashing(listing, catalog, prefix)
     results_path = scratch_path(spark, "hash")
@@ -27,7 +31,10 @@ def hash_listing(spark: SparkSession, store: Store, listing: DataFrame, prefix:
 
     added = C.new_catalog_rows(C.register_objects(listing.filter(F.col("s3key").startswith(prefix)), catalog))
     known = C.refresh_mtime(catalog, plan).unionByName(added.select(*catalog.columns))
-    tables.write_snapshot(C.apply_hashes(known, hash_good(results)), store.catalog_path)
+    updated = C.apply_hashes(known, hash_good(results))
+    keys = [plan.filter(F.col("action") == C.TOUCH_MTIME), added, results]
+    changed = semi_join(updated, reduce(DataFrame.unionByName, [k.select("s3key") for k in keys]), ["s3key"])
+    store.put_files(updated, changed)
     return results
 
 
@@ -40,15 +47,23 @@ def collect_garbage(
     """
     if not allow_empty and listing.isEmpty():
         raise ValueError("the listing is empty; pass allow_empty=True if every object is really gone")
+    store.recover(spark)
     catalog, facts = store.catalog(spark), store.facts(spark)
+    # the report's one row is computed before the catalog changes
     report = C.gc_report(listing, catalog, facts)
+    report = spark.createDataFrame([report.first()], report.schema)
     with sized_shuffles(facts):
-        tables.write_snapshot(C.gc_apply(listing, catalog, facts, revive), store.catalog_path)
+        updated = C.gc_apply(listing, catalog, facts, revive)
+        before = catalog.select("s3key", F.col("present").alias("_before"))
+        changed = updated.join(before, "s3key").filter(~F.col("present").eqNullSafe(F.col("_before"))).drop("_before")
+        store.put_files(updated, changed, gone=C.gc_deletable(listing, catalog, facts))
     return report
 
 
 def copy_downloads(spark: SparkSession, source: Store, target: Store) -> None:
     """Copy downloads the target store lacks."""
+    source.recover(spark)
+    target.recover(spark)
     catalog = target.catalog(spark)
     missing = missing_facts(source.facts(spark), source.catalog(spark), target.facts(spark), catalog)
     staging = scratch_path(spark, "copy")
@@ -59,7 +74,7 @@ def copy_downloads(spark: SparkSession, source: Store, target: Store) -> None:
         F.lit(None).cast("string").alias("user_agent"),
         F.col("dtime_local").alias("dtime"),
     )
-    tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), target.catalog_path)
+    target.add_files(spark, downloads)
     # ids are looked up, as the target's may come from elsewhere
     tables.append_facts(resolve_facts(downloads, target.catalog(spark), target.agents(spark)), target.facts_path)
     tables.drop_path(spark, staging)

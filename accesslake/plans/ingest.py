@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from accesslake import schemas
 from accesslake.operators.classify import drop_ignored_keys, nonblank_lines, record_class
 from accesslake.operators.parse import good_records, parse_logs
-from accesslake.operators.star import agent_additions, catalog_additions, fact_rows
+from accesslake.operators.star import fact_rows
 from accesslake.plans.store import Store
 from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
@@ -72,19 +72,19 @@ def ingest_files(
     the archive and the error log may then hold lines twice. ``streaming.ingest.land_batch`` can be
     repeated without even that.
     """
+    store.recover(spark)
     staging = scratch_path(spark, "ingest")
     counts = land(classified_lines(lines, log_format, ignored, mode), staging)
     staged = spark.read.schema(landed_schema()).parquet(staging)
     downloads = staged.filter(F.col("class") == schemas.DOWNLOAD)
 
-    catalog, agents = store.catalog(spark), store.agents(spark)
     archive_lines(downloads, store.archive_path)
     if counts[MALFORMED]:
         rejects = staged.filter(F.col("class") == MALFORMED).select("line", "parse_error")
         rejects.write.mode("append").parquet(store.malformed_path)
     with sized_shuffles(staged):
-        tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), store.catalog_path)
-        tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents)), store.agents_path)
+        store.add_files(spark, downloads)
+        store.add_agents(spark, downloads)
         tables.append_facts(fact_rows(downloads), store.facts_path)
     tables.drop_path(spark, staging)
     return counts

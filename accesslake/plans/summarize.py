@@ -15,11 +15,11 @@ from accesslake.operators.rollup import (
 )
 from accesslake.operators.star import fact_rows
 from accesslake.plans.store import Store
-from accesslake.session import scratch_path, sized_shuffles
+from accesslake.session import sized_shuffles
 from accesslake.sources import tables
 
 
-def summarize_store(
+def stage_summary(
     spark: SparkSession,
     store: Store,
     first: str | None = None,
@@ -27,15 +27,12 @@ def summarize_store(
     year: int | None = None,
     compact: bool = False,
 ) -> int:
-    """Replace raw facts by summary rows for every day of the range at once; returns rows saved.
-
-    Bounds not given are the first and last day with raw rows. Days without raw rows are left alone
-    unless ``compact``.
-    """
+    """Stage the summary rows of a range of days in the store's journal; returns rows saved."""
     if year is not None:
         if first or last:
             raise ValueError("give a year or a first and last day, not both")
         first, last = year_range(year)
+    store.recover(spark)
     facts = store.facts(spark)
     bounds = rollup_bounds(facts).first()
     first, last = first or bounds.first_day, last or bounds.last_day
@@ -47,14 +44,32 @@ def summarize_store(
         within = within.join(F.broadcast(raw_days), "dt", "left_semi")  # at most one row per day of the range
     with sized_shuffles(facts):
         saved = rollup_savings(within).agg(F.sum("saved")).first()[0] or 0
-        staging = scratch_path(spark, "summarize")
-        tables.replace_days(summarize(within, compact=compact), store.facts_path, staging)
-    tables.drop_path(spark, staging)
+        store.journal.stage(summarize(within, compact=compact), store.facts_table, "dt")
+    return saved
+
+
+def summarize_store(
+    spark: SparkSession,
+    store: Store,
+    first: str | None = None,
+    last: str | None = None,
+    year: int | None = None,
+    compact: bool = False,
+) -> int:
+    """Replace raw facts by summary rows for every day of the range at once; returns rows saved.
+
+    Bounds not given are the first and last day with raw rows. Days without raw rows are left alone
+    unless ``compact``. The rows are staged in the store's journal: if the job is lost while days are replaced, the next
+    job on the store finishes it.
+    """
+    saved = stage_summary(spark, store, first, last, year, compact)
+    store.recover(spark)
     return saved
 
 
 def roll_over(spark: SparkSession, store: Store, target: Store) -> None:
     """Write all facts of a store, summarised, as another store's facts."""
+    store.recover(spark)
     facts = store.facts(spark)
     with sized_shuffles(facts):
         tables.append_facts(year_rollover(facts), target.facts_path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from accesslake.functions import text
 from accesslake.sources.tables import existing_paths, hidden_files
 
+
 def _line_columns() -> list:
     return [
         F.col("value").alias("line"),
@@ -38,6 +39,11 @@ def scan_logs(spark: SparkSession, paths: str | Sequence[str], skip_hidden: bool
     )
 
 
+def read_lines(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """Lines of files that are known by name, as ``scan_logs`` gives them."""
+    return spark.read.text(list(files)).select(*_line_columns(), F.monotonically_increasing_id().alias("row_id"))
+
+
 def stream_logs(
     spark: SparkSession,
     path: str,

@@ -22,6 +22,26 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which is there whole or not at all."""
+    filesystem, target = _filesystem(spark, path)
+    _, unfinished = _filesystem(spark, f"{path}.unfinished")
+    out = filesystem.create(unfinished, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    filesystem.rename(unfinished, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    filesystem, source = _filesystem(spark, path)
+    stream = filesystem.open(source)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     filesystem, hadoop_path = _filesystem(spark, path)
     return filesystem.exists(hadoop_path)
@@ -130,15 +150,13 @@ def replace_days(facts: DataFrame, path: str, staging: str) -> None:
 
 def swap_days(spark: SparkSession, staging: str, path: str, schema: T.StructType) -> None:
     """Put staged days in place of a table's own; the same however often it is done."""
-    (
-        spark.read.schema(schema)
-        .parquet(staging)
-        .hint("rebalance", "dt")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    overwrite_partitions(spark.read.schema(schema).parquet(staging), path, "dt")
+
+
+def overwrite_partitions(rows: DataFrame, path: str, by: str) -> None:
+    """Write rows in place of the partitions they are in. ``rows`` must not be read from ``path``."""
+    writer = rows.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(by).parquet(path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

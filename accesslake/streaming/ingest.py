@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from accesslake import schemas
 from accesslake.operators.star import agent_additions, catalog_additions, fact_rows
 from accesslake.plans.ingest import MALFORMED, classified_lines, land, landed_schema
-from accesslake.sources.tables import child_names, current_version
+from accesslake.sources.tables import child_names, current_version, path_exists
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,10 @@ class Landing:
         names = child_names(spark, f"{self.root}/{name}")
         return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
 
+    def is_whole(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether a batch has been landed to its end: the archive is written last."""
+        return path_exists(spark, f"{self.batch_path('archive', batch_id)}/_SUCCESS")
+
     def records(self, spark: SparkSession, batches: list[int] | None = None) -> DataFrame:
         return self._read(spark, "records", landed_schema("dt date", "batch_id bigint"), batches)
 

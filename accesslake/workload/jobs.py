@@ -12,15 +12,18 @@ from accesslake.functions import digests
 from accesslake.operators import classify as K
 from accesslake.operators import hashing as H
 from accesslake.operators import rollup as A
+from accesslake.plans.consume import consume_logs
 from accesslake.plans.corpus import collect_garbage, copy_downloads, hash_listing
 from accesslake.plans.ingest import ingest_files
 from accesslake.plans.merge import merge_logs
+from accesslake.plans.publish import publish_landing, stage_publication
 from accesslake.plans.store import Store
-from accesslake.plans.summarize import roll_over, summarize_store
+from accesslake.plans.summarize import roll_over, stage_summary, summarize_store
 from accesslake.session import scratch_path
 from accesslake.sources import tables
 from accesslake.sources.listing import list_objects as list_files
 from accesslake.sources.logs import read_ignored_keys, scan_logs
+from accesslake.streaming.ingest import Landing
 from accesslake.workload import inputs as I
 from accesslake.workload import oracles as O
 from accesslake.workload.queries import Query, _records
@@ -238,6 +241,92 @@ def job_copy_downloads(spark, sf_dir):
     return _named_facts(spark, target)
 
 
+def _log_folder(rows: DataFrame, path: str) -> None:
+    """Add log files, some for each day, to a folder."""
+    rows.select("day", "line").hint("rebalance", "day").write.mode("append").partitionBy("day").text(path)
+
+
+def _cut_off(store: Store, name: str) -> None:
+    """Put only the first half of a staged change's partitions in place, as a job that is lost in the middle does."""
+    spark = SparkSession.active()
+    staged = f"{store.journal.path}/change=1/rows"
+    days = sorted(n.partition("=")[2] for n in tables.child_names(spark, staged) if n.startswith("dt="))
+    half = spark.read.parquet(staged).filter(F.col("dt").isin(days[: len(days) // 2]))
+    tables.overwrite_partitions(half.select(*store.facts(spark).columns), f"{store.root}/{name}", "dt")
+
+
+@job(f"with {O.DL} select {O.FACT} from dl")
+def job_consume_once(spark, sf_dir):
+    """Logs are consumed while more arrive. Runs are cut off after a commit, before its files are deleted, and while
+    staged facts are put in place; each download is one fact, and no file is left."""
+    source = scratch_path(spark, "consumed")
+    landing, store = Landing(scratch_path(spark, "landing")), Store(scratch_path(spark, "store"))
+    rows = _daily_lines(spark, sf_dir)
+    _log_folder(rows.filter(CLICKED), source)
+    consume_logs(spark, source, landing, "bucket", delete=False)  # cut off: committed, nothing deleted
+    _log_folder(rows.filter(f"not {CLICKED}"), source)
+    stage_publication(spark, landing, store)
+    _cut_off(store, store.facts_table)
+    consume_logs(spark, source, landing, "bucket", most=20, batches=1)
+    publish_landing(spark, landing, store)
+    consume_logs(spark, source, landing, "bucket")
+    consume_logs(spark, source, landing, "bucket")
+    publish_landing(spark, landing, store)
+    left = list_files(spark, source).filter("s3key like '%.txt'").count()
+    return _named_facts(spark, store).filter(F.lit(left == 0))
+
+
+@job(f"with {O.DAILY} select {O.SUMMED} from daily")
+def publish_landing_late(spark, sf_dir):
+    """Landed batches are published and rolled up, late ones come after; a repeated publication changes nothing."""
+    source, landing = scratch_path(spark, "published"), Landing(scratch_path(spark, "landing"))
+    store, rows = Store(scratch_path(spark, "store"), buckets=32), _daily_lines(spark, sf_dir)
+    for part in (f"not {CLICKED}", CLICKED):
+        _log_folder(rows.filter(part), source)
+        consume_logs(spark, source, landing, "bucket")
+        publish_landing(spark, landing, store)
+        publish_landing(spark, landing, store)
+        summarize_store(spark, store, year=2024, compact=True)
+    return _named_facts(spark, store)
+
+
+@job(f"with {O.DAILY} select {O.SUMMED} from daily")
+def job_summarize_resumed(spark, sf_dir):
+    """A roll-up is lost when half of its days have been replaced; the next ingest finishes it before it adds the clicks."""
+    store, rows = Store(scratch_path(spark, "store")), _daily_lines(spark, sf_dir)
+    _ingest(spark, rows.filter(f"not {CLICKED}"), store)
+    stage_summary(spark, store, year=2024)
+    _cut_off(store, store.facts_table)
+    _ingest(spark, rows.filter(CLICKED), store)
+    summarize_store(spark, store, compact=True)
+    return _named_facts(spark, store)
+
+
+@job(f"""with {O.DL}, first as (select k, object_size, row_number() over (partition by k
+      order by case when {CLICKED} then 0 else 1 end, dtime, object_size nulls first) as rn from dl)
+    select k as s3key, object_size as bytes, ua as user_agent from first
+      join (select distinct k as used, ua from dl) on used = k where rn = 1""")
+def job_ingest_bucketed(spark, sf_dir):
+    """Dimensions in key buckets: clicks, then all else, then the clicks again, whose keys are all known."""
+    store, rows = Store(scratch_path(spark, "store"), buckets=64), _daily_lines(spark, sf_dir)
+    for part in (CLICKED, f"not {CLICKED}", CLICKED):
+        _ingest(spark, rows.filter(part), store)
+    names = _named_facts(spark, store).select("s3key", "user_agent").distinct()
+    return store.catalog(spark).select("s3key", "bytes").join(names, "s3key")
+
+
+@job(O.SQL["gc_mark_absent"])
+def job_collect_garbage_bucketed(spark, sf_dir):
+    """The collection over a catalog in key buckets: changed rows are put, vanished ones deleted, in their buckets."""
+    store = Store(scratch_path(spark, "store"), buckets=64)
+    items = I.table(spark, sf_dir, "lineitem").filter(I.DOWNLOADED)
+    facts = items.select(F.col("l_partkey").cast("string").alias("did"), F.to_date("l_shipdate").alias("dt"))
+    store.catalog_buckets.insert(_shaped(I.catalog(spark, sf_dir), schemas.DOWNLOADABLE))
+    tables.append_facts(_shaped(facts, schemas.DOWNLOADS), store.facts_path)
+    collect_garbage(spark, store, I.listing(spark, sf_dir))
+    return store.catalog(spark).select("s3key", "present")
+
+
 def _shaped(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows with a table's columns; those they lack are null."""
     return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])

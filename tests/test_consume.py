@@ -1,0 +1,249 @@
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from accesslake.operators.star import fact_rows
+from accesslake.plans import consume as C
+from accesslake.plans.publish import publish_landing, publishable, stage_publication
+from accesslake.plans.store import Store
+from accesslake.plans.summarize import stage_summary, summarize_store
+from accesslake.sources import tables
+from accesslake.sources.journal import Journal
+from accesslake.sources.keyed import KeyedTable
+from accesslake.sources.listing import list_objects
+from accesslake.streaming.ingest import Landing, land_batch
+
+
+@pytest.fixture
+def zone(spark, tmp_path, bucket):
+    """A folder of logs with its landing zone."""
+
+    class Zone:
+        source, landing = tmp_path / "in", Landing(f"{tmp_path}/landing")
+
+        def arrive(self, name, *keys):
+            path = self.source / name
+            path.parent.mkdir(parents=True, exist_ok=True)
+            path.write_text("".join(bucket(key=k) + "\n" for k in keys))
+
+        def consume(self, **options):
+            return C.consume_logs(spark, str(self.source), self.landing, "bucket", **options)
+
+        def keys(self):
+            return sorted(r.key for r in self.landing.downloads(spark).select("key").collect())
+
+        def left(self):
+            return sorted(str(p.relative_to(self.source)) for p in self.source.rglob("*") if p.is_file() and p.stat().st_size)
+
+    Zone.source.mkdir()
+    return Zone()
+
+
+def test_files_are_taken_once_and_deleted(zone):
+    zone.arrive("a.log", "a", "b")
+    zone.arrive("deep/er/b.log", "c")
+    zone.arrive("empty.log")
+    assert zone.consume() == 1 and zone.keys() == ["a", "b", "c"] and zone.left() == []
+    assert zone.consume() == 0
+    zone.arrive("a.log", "d", "d")
+    assert zone.consume() == 1 and zone.keys() == ["a", "b", "c", "d", "d"]
+
+
+def test_files_that_stay_are_not_read_again(zone):
+    zone.arrive("a.log", "a")
+    assert zone.consume(delete=False) == 1 and zone.consume(delete=False) == 0
+    zone.arrive("b.log", "b")
+    assert zone.consume(delete=False) == 1 and zone.keys() == ["a", "b"] and zone.left() == ["a.log", "b.log"]
+    assert zone.consume() == 0 and zone.left() == [] and zone.keys() == ["a", "b"]
+
+
+def test_batches_of_bounded_size(zone):
+    for i in range(7):
+        zone.arrive(f"{i}.log", f"k{i}")
+    assert zone.consume(most=3, batches=1) == 1 and len(zone.keys()) == 3 and len(zone.left()) == 4
+    assert zone.consume(most=3) == 2 and zone.keys() == [f"k{i}" for i in range(7)] and zone.left() == []
+
+
+def test_cut_off_between_commit_and_deletion(zone, monkeypatch):
+    zone.arrive("a.log", "a")
+
+    def lost(files):
+        assert files.isEmpty(), "lost"
+
+    with monkeypatch.context() as m:
+        m.setattr(C, "delete_files", lost)
+        with pytest.raises(AssertionError, match="lost"):
+            zone.consume()
+    assert zone.left() == ["a.log"] and zone.keys() == ["a"]
+    zone.arrive("b.log", "b")
+    zone.consume()
+    assert zone.left() == [] and zone.keys() == ["a", "b"]
+
+
+def test_cut_off_before_the_commit(zone, monkeypatch, spark):
+    zone.arrive("a.log", "a")
+    with monkeypatch.context() as m:
+        m.setattr("accesslake.sources.ledger.FileLedger.commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            zone.consume()
+    zone.arrive("b.log", "b")
+    assert C.file_ledger(zone.landing).open_batch(spark) == 0
+    assert zone.consume() == 2 and zone.keys() == ["a", "b"] and zone.left() == []
+
+
+def test_a_file_that_grows_is_left_to_a_later_run(zone, monkeypatch):
+    zone.arrive("a.log", "a")
+    zone.arrive("b.log", "b")
+
+    def slowly(rows, *more):
+        land_batch(rows, *more)
+        if zone.source.joinpath("b.log").read_text().count("\n") < 3:
+            zone.arrive("b.log", *["b"] * 3)
+
+    with monkeypatch.context() as m:
+        m.setattr(C, "land_batch", slowly)
+        zone.consume()
+    assert zone.keys() == ["a"] and zone.left() == ["b.log"]
+    zone.consume()
+    assert zone.keys() == ["a", "b", "b", "b"] and zone.left() == []
+
+
+def test_hidden_files_are_an_error_and_nothing_is_deleted(zone):
+    zone.arrive("a.log", "a")
+    zone.arrive("_b.log", "b")
+    with pytest.raises(ValueError, match="_b.log"):
+        zone.consume()
+    assert zone.left() == ["_b.log", "a.log"]
+    assert zone.consume(skip_hidden=True) == 1 and zone.left() == ["_b.log"]
+
+
+def test_only_files_of_the_ledger_are_deleted(zone, spark):
+    zone.arrive("a.log", "a")
+    zone.consume(delete=False)
+    ledger = C.file_ledger(zone.landing)
+    listed = list_objects(spark, str(zone.source))
+    zone.arrive("a.log", "changed", "since")
+    zone.arrive("other.log", "x")
+    assert C.delete_files(ledger.deletable(listed)) == 0 and zone.left() == ["a.log", "other.log"]
+    ledger.compact(spark)
+    assert ledger.committed(spark).count() == 1 and ledger.deletable(list_objects(spark, str(zone.source))).count() == 0
+
+
+def when(day, hour=5):
+    return f"{day:02d}/Jan/2024:{hour:02d}:00:00 +0000"
+
+
+def facts(spark, store):
+    names = store.catalog(spark).select(F.col("id").alias("did"), "s3key")
+    rows = store.facts(spark).join(names, "did").select("s3key", "dt", "bytes_sent", "summary").collect()
+    return sorted((r.s3key, r.dt.day, r.bytes_sent, r.summary) for r in rows)
+
+
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_publication_counts_late_rows_once(spark, lines, bucket, tmp_path, buckets):
+    landing, store = Landing(f"{tmp_path}/landing"), Store(f"{tmp_path}/store", buckets)
+    assert publish_landing(spark, landing, store) == []
+    land_batch(lines(bucket(key="a", time=when(1)), bucket(key="b", time=when(2)), "junk"), 0, landing, "bucket")
+    land_batch(lines(bucket(op="REST.PUT.OBJECT")), 1, landing, "bucket")
+    assert publish_landing(spark, landing, store) == [0, 1] and publish_landing(spark, landing, store) == []
+    # a fact from elsewhere on one of the days stays when the day is written anew
+    tables.append_facts(fact_rows(landing.downloads(spark).filter("key = 'a'")), store.facts_path)
+    assert summarize_store(spark, store, last="2024-01-01") == 1
+    land_batch(lines(bucket(key="a", time=when(1, 9), sent="7"), bucket(key="c", time=when(3))), 2, landing, "bucket")
+    for _ in range(2):
+        publish_landing(spark, landing, store)
+        assert facts(spark, store) == [("a", 1, 7, False), ("a", 1, 20, True), ("b", 2, 10, False), ("c", 3, 10, False)]
+    assert store.agents(spark).count() == 1
+
+
+def test_publication_stops_at_a_batch_that_is_not_whole(spark, lines, bucket, tmp_path):
+    landing, store = Landing(f"{tmp_path}/landing"), Store(f"{tmp_path}/store")
+    for batch in (0, 2):
+        land_batch(lines(bucket(key=f"k{batch}")), batch, landing, "bucket")
+    assert publishable(spark, landing, store) == [0]
+    land_batch(lines(bucket(key="k1")), 1, landing, "bucket")
+    assert publish_landing(spark, landing, store) == [0, 1, 2]
+
+
+def test_a_publication_that_was_cut_off_is_finished_before_other_changes(spark, lines, bucket, tmp_path):
+    landing, store = Landing(f"{tmp_path}/landing"), Store(f"{tmp_path}/store")
+    land_batch(lines(bucket(key="a", time=when(1))), 0, landing, "bucket")
+    stage_publication(spark, landing, store)
+    assert store.journal.pending(spark) and store.facts(spark).count() == 0
+    assert summarize_store(spark, store) == 0
+    assert facts(spark, store) == [("a", 1, 10, True)] and publish_landing(spark, landing, store) == []
+
+
+def test_a_staged_roll_up_is_finished_or_dropped(spark, lines, bucket, tmp_path):
+    landing, store = Landing(f"{tmp_path}/landing"), Store(f"{tmp_path}/store")
+    land_batch(lines(*[bucket(key="a", time=when(d)) for d in (1, 1, 2, 2)]), 0, landing, "bucket")
+    publish_landing(spark, landing, store)
+    assert stage_summary(spark, store) == 2
+    folder = f"{store.journal.path}/change=1"
+    os.rename(f"{folder}/entry.json", f"{tmp_path}/entry.json")
+    store.recover(spark)
+    assert not store.journal.pending(spark) and store.facts(spark).filter("summary").count() == 0
+    stage_summary(spark, store)
+    half = spark.read.parquet(f"{folder}/rows").filter(F.col("dt") == date(2024, 1, 1))
+    tables.overwrite_partitions(half.select(*store.facts(spark).columns), store.facts_path, "dt")
+    for _ in range(2):
+        store.recover(spark)
+        assert facts(spark, store) == [("a", 1, 20, True), ("a", 2, 20, True)]
+
+
+PAIR = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+
+
+class Pairs(KeyedTable):
+    def rows(self, *pairs):
+        return SparkSession.active().createDataFrame(list(pairs), PAIR)
+
+    def all(self):
+        return sorted(tuple(r) for r in self.read(SparkSession.active()).collect())
+
+
+@pytest.fixture
+def keyed(spark, tmp_path):
+    return Pairs(Journal(f"{tmp_path}/root"), "pairs", "k", PAIR, 16)
+
+
+def test_keyed_changes(spark, keyed):
+    assert keyed.all() == []
+    keyed.insert(keyed.rows(("a", 1), ("b", 2)))
+    keyed.insert(keyed.rows(("a", 9), ("c", 3)))
+    assert keyed.all() == [("a", 1), ("b", 2), ("c", 3)]
+    keyed.upsert(keyed.rows(("a", 5), ("d", 4)))
+    keyed.upsert(keyed.read(spark).filter("k = 'b'").withColumn("v", F.col("v") + 10))
+    keyed.delete(keyed.rows(("c", 0), ("zz", 0)))
+    assert keyed.all() == [("a", 5), ("b", 12), ("d", 4)]
+    keyed.delete(keyed.read(spark))
+    assert keyed.all() == []
+    keyed.insert(keyed.rows())
+    with pytest.raises(ValueError, match="16"):
+        KeyedTable(keyed.journal, "pairs", "k", PAIR, 32).read(spark)
+
+
+def test_a_small_batch_reads_and_writes_its_buckets_only(spark, keyed, plan):
+    keyed.insert(keyed.rows(*[(f"k{i}", i) for i in range(400)]))
+    before = {f: os.stat(f.removeprefix("file://")).st_mtime_ns for f in keyed.read(spark).inputFiles()}
+    assert len({f.split("bucket=")[1].split("/")[0] for f in before}) == 16
+    batch = keyed.rows(("k7", 70), ("new", 1))
+    touched = keyed.touched(batch)
+    assert 1 <= len(touched) <= 2
+    old = keyed.read(spark, touched)
+    assert {int(f.split("bucket=")[1].split("/")[0]) for f in old.inputFiles()} <= set(range(16))
+    scan = plan(old)
+    assert "PartitionFilters: [bucket" in scan and "DataFilters: []" in scan
+    assert old.count() < 100
+    keyed.upsert(batch)
+    after = {f: os.stat(f.removeprefix("file://")).st_mtime_ns for f in keyed.read(spark).inputFiles()}
+    changed = {f.split("bucket=")[1].split("/")[0] for f in set(after) ^ set(before)}
+    assert changed == {str(b) for b in touched} and all(after[f] == before[f] for f in set(after) & set(before))
+    # known keys alone change nothing
+    keyed.insert(keyed.rows(*[(f"k{i}", 0) for i in range(400)]))
+    assert set(keyed.read(spark).inputFiles()) == set(after)
+    assert dict(keyed.all())["k7"] == 70 and len(keyed.all()) == 401
