@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from accesslake.sources.objects import open_filesystem
 
@@ -74,30 +75,48 @@ def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([result], schema=RESULT)
 
 
-def spread_by_size(objects: DataFrame, task_bytes: int = 4 << 30) -> DataFrame:
-    """Objects dealt over tasks of about ``task_bytes`` of content.
+#: Blocks whose sizes are summed up to deal objects out, and what opening an object costs, as bytes.
+DEALT_BLOCKS = 4096
+OBJECT_COST = 65_536
+TASK_BYTES = 4 << 30
 
-    Objects below that size share hashed slots; a bigger one has a slot of its own, as a digest
-    cannot be split. The one number the driver sees is the total size.
-    """
-    total, n = objects.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
-    parallelism = objects.sparkSession.sparkContext.defaultParallelism
-    slots = max(1, min(n, max(parallelism, total // task_bytes + 1)))
-    slot = F.when(F.col("bytes") >= task_bytes, F.xxhash64("s3key")).otherwise(
-        F.pmod(F.xxhash64("s3key"), F.lit(slots))
-    )
-    return objects.withColumn("_slot", slot).repartition(slots, "_slot").drop("_slot")
 
+def deal_by_size(objects: DataFrame, task_bytes: int = TASK_BYTES) -> tuple[DataFrame, int]:
+    """Objects with a ``slot``, and the number of slots: one after another, each takes its bytes of a line cut every ``task_bytes``.
 
-def hash_objects(objects: DataFrame, task_bytes: int = 4 << 30) -> DataFrame:
+    A slot holds the objects that start in its stretch, so it has less than ``task_bytes`` besides its last object,
+    and objects of that size never share one. The line runs through blocks of a hash of the key: their sizes are added
+    up over all blocks, and within each block over its objects. Fewer bytes a task are taken where there are less than one for each core.
+    """
+    weight = F.coalesce(F.col("bytes"), F.lit(0)) + OBJECT_COST
+    rows = objects.withColumns({"_weight": weight, "_block": F.pmod(F.xxhash64("s3key"), F.lit(DEALT_BLOCKS)).cast("int")})
+    sizes = rows.groupBy("_block").agg(F.sum("_weight").alias("_size"))
+    ahead = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)  # a row for each block
+    offsets = sizes.select("_block", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_offset"))
+    total = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    step = max(1, min(task_bytes, total // objects.sparkSession.sparkContext.defaultParallelism))
+    before = W.partitionBy("_block").orderBy("s3key", "uri").rowsBetween(W.unboundedPreceding, -1)
+    start = F.col("_offset") + F.coalesce(F.sum("_weight").over(before), F.lit(0))
+    dealt = rows.join(F.broadcast(offsets), "_block").withColumn("slot", F.floor(start / step).cast("int"))
+    return dealt.select(*objects.columns, "slot"), total // step + 1
+
+
+def hash_dealt(dealt: DataFrame, first: int, slots: int) -> DataFrame:
+    """Digest the objects of ``slots`` slots from ``first`` on, a task for each."""
+    own = dealt.filter(F.col("slot").between(first, first + slots - 1))
+    wanted = own.select("s3key", "uri", "etag", F.col("mtime").cast("timestamp").alias("mtime"), "bytes", (F.col("slot") - first).alias("slot"))
+    return wanted.repartitionById(slots, "slot").drop("slot").mapInArrow(_hash_rows, RESULT_DDL)
+
+
+def hash_objects(objects: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Digest every object of a table (s3key, uri, etag, mtime, bytes).
 
     One row per object; ``error`` says why an object has no usable digest. An object's content is
     streamed through the task that hashes it and never becomes a column. A lost executor costs the
     objects of its running tasks.
     """
-    wanted = objects.select("s3key", "uri", "etag", F.col("mtime").cast("timestamp").alias("mtime"), "bytes")
-    return spread_by_size(wanted, task_bytes).mapInArrow(_hash_rows, RESULT_DDL)
+    dealt, slots = deal_by_size(objects, task_bytes)
+    return hash_dealt(dealt, 0, slots)
 
 
 def hash_rejects(results: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.operators import catalog as C
-from accesslake.operators.hashing import hash_good, hash_objects
+from accesslake.operators.hashing import RESULT_DDL, TASK_BYTES, deal_by_size, hash_dealt, hash_good
 from accesslake.operators.joins import semi_join
 from accesslake.operators.star import missing_facts, resolve_facts
 from accesslake.plans.store import Store
@@ -16,18 +16,58 @@ from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
 
 
-def hash_listing(spark: SparkSession, store: Store, listing: DataFrame, prefix: str = "") -> DataFrame:
+#: Tasks of a slice for each core: what a killed hash job loses at most, and how often its cores wait for the last task.
+SLICE_WAVES = 8
+
+
+def hash_results(spark: SparkSession, store: Store) -> DataFrame:
+    """What slices of an unfinished hash job have hashed."""
+    root = f"{store.root}/hashed"
+    whole = [n for n in tables.child_names(spark, root) if tables.path_exists(spark, f"{root}/{n}/_SUCCESS")]
+    return spark.read.schema(RESULT_DDL).parquet(*[f"{root}/{n}" for n in whole]) if whole else spark.createDataFrame([], RESULT_DDL)
+
+
+def hash_pending(
+    spark: SparkSession, store: Store, wanted: DataFrame, task_bytes: int = TASK_BYTES, slices: int | None = None
+) -> None:
+    """Hash objects slice by slice; what an earlier run has hashed under the same ETag is left out.
+
+    A slice counts when it is written whole. The rest of a job that is killed is hashed by the next one; ``slices`` stops after so many.
+    """
+    root, done = f"{store.root}/hashed", hash_results(spark, store).select("s3key", "etag")
+    staging = scratch_path(spark, "hash-dealt")
+    dealt, slots = deal_by_size(wanted.join(done, ["s3key", "etag"], "left_anti"), task_bytes)
+    dealt.write.parquet(staging)
+    dealt = spark.read.parquet(staging)
+    number = max([int(n.removeprefix("slice=")) for n in tables.child_names(spark, root) if n.startswith("slice=")], default=-1) + 1
+    step = SLICE_WAVES * spark.sparkContext.defaultParallelism
+    for i, first in enumerate(range(0, 0 if dealt.isEmpty() else slots, step)):
+        if i == slices:
+            break
+        hash_dealt(dealt, first, min(step, slots - first)).write.mode("overwrite").parquet(f"{root}/slice={number + i}")
+    tables.drop_path(spark, staging)
+
+
+def hash_listing(
+    spark: SparkSession, store: Store, listing: DataFrame, prefix: str = "", task_bytes: int = TASK_BYTES, slices: int | None = None
+) -> DataFrame:
     """Hash what the listing has new or changed and bring the catalog up to date.
 
-    Returns the result row of every object hashed, rejects included. Contents are read only for
-    objects the plan says need it, and once: results are written before the catalog is.
+    Returns the result row of every object hashed, rejects included. Contents are read only for objects the plan says need it,
+    and once: results are written below the store, slice by slice, before the catalog is, and a job that is killed is taken up
+    by the next. With ``slices`` the job stops after so many, as a killed one does, and leaves the catalog.
     """
     store.recover(spark)
     catalog = store.catalog(spark)
     plan = C.plan_hashing(listing, catalog, prefix)
+    hash_pending(spark, store, plan.filter(F.col("action") == C.HASH), task_bytes, slices)
+    if slices is not None:
+        return hash_results(spark, store)
     results_path = scratch_path(spark, "hash")
-    hash_objects(plan.filter(F.col("action") == C.HASH)).write.parquet(results_path)
-    results = spark.read.parquet(results_path)
+    wanted = plan.filter(F.col("action") == C.HASH).select("s3key", "etag")
+    # an object that was hashed by two runs, because its ETag changed between them, counts as it is listed now
+    semi_join(hash_results(spark, store), wanted, ["s3key", "etag"]).write.parquet(results_path)
+    results = spark.read.schema(RESULT_DDL).parquet(results_path)
 
     added = C.new_catalog_rows(C.register_objects(listing.filter(F.col("s3key").startswith(prefix)), catalog))
     known = C.refresh_mtime(catalog, plan).unionByName(added.select(*catalog.columns))
@@ -35,6 +75,7 @@ def hash_listing(spark: SparkSession, store: Store, listing: DataFrame, prefix:
     keys = [plan.filter(F.col("action") == C.TOUCH_MTIME), added, results]
     changed = semi_join(updated, reduce(DataFrame.unionByName, [k.select("s3key") for k in keys]), ["s3key"])
     store.put_files(updated, changed)
+    tables.drop_path(spark, f"{store.root}/hashed")
     return results
 
 

@@ -51,6 +51,15 @@ class Journal:
         tables.write_text(spark, f"{folder}/{ENTRY}", json.dumps(entry))
         return staged
 
+    def stage_folders(self, rows: DataFrame, table: str, by: str) -> str:
+        """Stage partitions of text, a ``line`` each row, which are put in place as the folders they are, in the rows' order."""
+        spark = rows.sparkSession
+        folder = self._folder(max(self._changes(spark), default=0) + 1)
+        staged = f"{folder}/rows"
+        rows.select("line", by).write.mode("overwrite").partitionBy(by).text(staged)
+        tables.write_text(spark, f"{folder}/{ENTRY}", json.dumps({"table": table, "by": by, "folders": True}))
+        return staged
+
     def pending(self, spark: SparkSession) -> bool:
         return bool(self._changes(spark))
 
@@ -64,6 +73,11 @@ class Journal:
 
     def _apply(self, spark: SparkSession, folder: str, entry: dict) -> None:
         by, table = entry["by"], f"{self.root}/{entry['table']}"
+        if entry.get("folders"):
+            for name in tables.child_names(spark, f"{folder}/rows"):
+                if name.startswith(f"{by}="):  # those that are in place already are no longer here
+                    tables.replace_folder(spark, f"{folder}/rows/{name}", f"{table}/{name}")
+            return
         filled = {n for n in tables.child_names(spark, f"{folder}/rows") if n.startswith(f"{by}=")}
         if filled:
             schema = T.StructType.fromJson(entry["schema"])

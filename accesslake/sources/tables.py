@@ -159,6 +159,15 @@ def overwrite_partitions(rows: DataFrame, path: str, by: str) -> None:
     writer.partitionBy(by).parquet(path)
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in another's place."""
+    filesystem, to = _filesystem(spark, target)
+    filesystem.delete(to, True)
+    filesystem.mkdirs(to.getParent())
+    if not filesystem.rename(_filesystem(spark, source)[1], to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that is not needed any more."""
     filesystem, hadoop_path = _filesystem(spark, path)

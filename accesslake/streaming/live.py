@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from accesslake.functions.ids import surrogate_id
+from accesslake.sources.tables import child_names, current_version, drop_path
 
 SALTS = 64
 
@@ -75,7 +76,47 @@ def write_changes(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    names = child_names(spark, path)
+    return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+
+def folded_up_to(spark: SparkSession, path: str) -> int:
+    """The first batch that ``compact_changes`` has not folded; 0 where it has folded none."""
+    return current_version(spark, f"{path}_base") or 0
+
+
 def latest_values(spark: SparkSession, path: str, keys: list[str], value: str) -> DataFrame:
-    """Current value per key, from the changes written by ``write_changes``."""
-    changes = spark.read.parquet(path)
-    return changes.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+    """Current value per key, from the changes written by ``write_changes``.
+
+    Changes that ``compact_changes`` has folded are read as one row per key, and only later batches' folders besides.
+    """
+    base, start = f"{path}_base", folded_up_to(spark, path)
+    late = [f"{path}/batch_id={b}" for b in _batches(spark, path) if b >= start]
+    if not late and not start:
+        raise ValueError(f"no changes at {path}")
+    parts = []
+    if late:
+        changes = spark.read.option("basePath", path).parquet(*late)
+        parts.append(changes.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value), F.max("batch_id").alias("batch_id")))
+    if start:
+        parts.append(spark.read.parquet(f"{base}/v{start}"))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
+
+
+def compact_changes(spark: SparkSession, path: str, keys: list[str], value: str, drop: bool = False) -> int:
+    """Fold all changes so far into a base beside them; returns the first batch that is not in it.
+
+    Run it while no batch is being written. With ``drop`` the folded batches are deleted; a view is then had from ``latest_values`` only.
+    """
+    batches, base, start = _batches(spark, path), f"{path}_base", folded_up_to(spark, path)
+    version = batches[-1] + 1 if batches else 0
+    if version > start:
+        rows = latest_values(spark, path, keys, value).withColumn("batch_id", F.lit(version - 1).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{base}/v{version}")
+    if drop:
+        for batch in batches:
+            if batch < version:
+                drop_path(spark, f"{path}/batch_id={batch}")
+    return max(version, start)

@@ -13,16 +13,18 @@ from accesslake.operators import classify as K
 from accesslake.operators import hashing as H
 from accesslake.operators import rollup as A
 from accesslake.plans.consume import consume_logs
-from accesslake.plans.corpus import collect_garbage, copy_downloads, hash_listing
+from accesslake.plans.corpus import collect_garbage, copy_downloads, hash_listing, hash_results
 from accesslake.plans.ingest import ingest_files
-from accesslake.plans.merge import merge_logs
+from accesslake.plans.merge import MergedLog, merge_logs
 from accesslake.plans.publish import publish_landing, stage_publication
 from accesslake.plans.store import Store
 from accesslake.plans.summarize import roll_over, stage_summary, summarize_store
 from accesslake.session import scratch_path
 from accesslake.sources import tables
+from accesslake.sources.ledger import delete_files
 from accesslake.sources.listing import list_objects as list_files
 from accesslake.sources.logs import read_ignored_keys, scan_logs
+from accesslake.sources.seen import SeenLines
 from accesslake.streaming.ingest import Landing
 from accesslake.workload import inputs as I
 from accesslake.workload import oracles as O
@@ -129,6 +131,17 @@ def job_hash_listing(spark, sf_dir):
     return _numbered(store.catalog(spark)).select("object", "bytes", "sha2_256", "present")
 
 
+@job(f"select {OBJECT}, {OBJECT_BYTES}, {OBJECT_SHA2}, true as present from documents group by 1")
+def job_hash_resumed(spark, sf_dir):
+    """A hash job is killed after a slice. The objects it has hashed are gone when the next one runs, which takes their digests
+    from the slice and would fail on them otherwise."""
+    store, listing = Store(scratch_path(spark, "store"), buckets=16), _objects(spark, sf_dir)
+    hash_listing(spark, store, listing, task_bytes=1 << 16, slices=1)
+    delete_files(listing.join(hash_results(spark, store).select("s3key"), "s3key"))
+    hash_listing(spark, store, listing, task_bytes=1 << 16)
+    return _numbered(store.catalog(spark)).select("object", "bytes", "sha2_256", "present")
+
+
 # --- log files ----------------------------------------------------------------------------------
 
 
@@ -165,13 +178,54 @@ def job_merge(spark, sf_dir):
     lines = ordered.select("month", F.explode(F.array_repeat(F.col("line"), copies)).alias("line"))
     lines.write.partitionBy("month").text(source)
     merge_logs(spark, source, out, "web", year=1998)
-    merged = A.number_lines(scan_logs(spark, out))
+    return _in_place(spark, out)
+
+
+def _in_place(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of a merged log with their place in it: its files are taken in the order of their paths."""
+    merged = A.number_lines(scan_logs(spark, folder))
     sizes = merged.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
     ahead = W.orderBy("file_path").rowsBetween(W.unboundedPreceding, -1)  # a row per file
     starts = sizes.select("file_path", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
     return merged.join(starts, "file_path").select("line", (F.col("start") + F.col("line_index")).alias("place"))
 
 
+@job(f"""with {O.OW} select {O.ORDER_LINE} as line, row_number() over (order by wall,
+      case when o_orderpriority in ('1-URGENT', '2-HIGH') then 0 else 1 end, o_orderkey) - 1 as place from ow where year(wall) = 1998""")
+def job_merge_more(spark, sf_dir):
+    """Files with some orders are merged, then files with all: lines that are there already come again. The second merge is cut off
+    when it has staged its days, and done again."""
+    rows = I.with_order_line(I.orders(spark, sf_dir)).withColumn("month", F.date_format("wall", "yyyy-MM"))
+    log = MergedLog(scratch_path(spark, "merged"), "web")
+    for part in ("o_orderpriority in ('1-URGENT', '2-HIGH')", "true"):
+        source = scratch_path(spark, "merge-more-in")
+        ordered = rows.filter(part).repartition("month").sortWithinPartitions("month", "o_orderkey")
+        ordered.select("month", "line").write.partitionBy("month").text(source)
+        if part == "true":
+            log.stage(spark, source, year=1998)
+        log.merge(spark, source, year=1998)
+    return _in_place(spark, f"{log.root}/log")
+
+
+@job(f"""with {O.EV} select {O.BUCKET_LINE} as line, case when event_type in ('click', 'signup') then 0 else 1 end as run,
+    cast(case event_type when 'click' then 2 when 'signup' then 3 else 2 end as bigint) as n from ev""")
+def job_dedup_across_runs(spark, sf_dir):
+    """Clicks and signups, some twice and three times; then all lines twice, of which only the others are new. The second run is done twice."""
+    rows, seen = _daily_lines(spark, sf_dir), SeenLines(scratch_path(spark, "seen"))
+    first = F.col("event_type").isin("click", "signup")
+    copies = F.when(F.col("event_type") == "signup", 3).otherwise(2)
+    each = rows.select("day", "event_type", "line", F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"))
+    found = []
+    for run, part in enumerate((each.filter(first), each)):
+        lines = scan_logs(spark, I.stage_text(part, "seen-in"))
+        for _ in range(run + 1):
+            new = seen.take(lines, run)
+        found.append(new.select("line", F.lit(run).alias("run"), "n"))
+        if run == 0:
+            seen.compact(spark)
+    return found[0].unionByName(found[1])
+
+
 # --- stores -------------------------------------------------------------------------------------
 
 CLICKED = "event_type = 'click'"

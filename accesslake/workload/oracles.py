@@ -215,6 +215,7 @@ SQL: dict[str, str] = {
     "stream_late_reroll": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, strftime(dt, '%Y-%m-%d') as dt, bytes_sent from daily",
     "stream_dedup": f"with {REC} select {BUCKET_LINE} as line, dtime from rec",
     "stream_daily_rollup": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, strftime(dt, '%Y-%m-%d') as dt, bytes_sent from daily",
+    "stream_daily_rollup_folded": f"with {DAILY} select k as s3key, ip as remote_ip, ua as user_agent, strftime(dt, '%Y-%m-%d') as dt, bytes_sent from daily",
     "stream_class_counts": f"with {REC} select class, count(*) as n from rec group by class",
 }
 

@@ -668,6 +668,25 @@ def stream_daily_rollup(spark, sf_dir):
     )
 
 
+@query
+def stream_daily_rollup_folded(spark, sf_dir):
+    """The view over two runs of the stream; the changes of the first are folded into a base and deleted between them."""
+    ev = I.with_bucket_line(I.spread_events(spark, sf_dir)).withColumn("day", F.to_date("ts"))
+    source, out = scratch_path(spark, "folded-in"), scratch_path(spark, "folded-out")
+    checkpoint, keys = scratch_path(spark, "folded-checkpoint"), ["dt", "key", "remote_ipaddr", "user_agent"]
+    clicks = F.col("event_type") == "click"
+    for part in (ev.filter(clicks), ev.filter(~clicks)):
+        part.select("day", "line").hint("rebalance", "day").write.mode("append").partitionBy("day").text(source)
+        lines = stream_logs(_stream_session(spark), source, BATCH_FILES)
+        downloads = K.downloads_only(K.classify(P.good_records(P.parse_bucket_log(lines))))
+        SL.write_changes(SL.daily_sums(downloads), out, checkpoint).awaitTermination()
+        if not SL.folded_up_to(spark, out):
+            SL.compact_changes(spark, out, keys, "bytes_sent", drop=True)
+    return SL.latest_values(spark, out, keys, "bytes_sent").select(
+        F.col("key").alias("s3key"), F.col("remote_ipaddr").alias("remote_ip"), "user_agent", I.day("dt").alias("dt"), "bytes_sent"
+    )
+
+
 @query
 def stream_class_counts(spark, sf_dir):
     source = _stage_days(I.with_bucket_line(I.spread_events(spark, sf_dir)), "counts-in")
