@@ -7,6 +7,7 @@ Other input columns, such as the file a line came from, pass through.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ def register_log_format(name: str, parser: Callable[[DataFrame], DataFrame]) ->
 
 
 def parse_logs(lines: DataFrame, log_format: str) -> DataFrame:
-    """Parse with the named format: ``web``, ``bucket`` or one registered."""
+    """Parse with the named format: ``web``, ``bucket``, these with ``_lenient`` dates, or one registered."""
     if log_format not in _FORMATS:
         raise KeyError(f"no log format {log_format!r}; known: {sorted(_FORMATS)}")
     return lines.transform(_FORMATS[log_format])
@@ -54,23 +55,34 @@ def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def _finish(fields: DataFrame, columns: list) -> DataFrame:
-    """Add both clocks and the parse error to rows with ``_ok``, ``_date`` and ``_status``."""
+def _finish(fields: DataFrame, columns: list, lenient: bool) -> DataFrame:
+    """Add both clocks and the parse error to rows with ``_ok``, ``_date`` (cleaned), ``_raw`` (as written) and ``_status``."""
     dated = fields.withColumn("_zoned", times.with_offset(F.col("_date")))
     timed = _computed_once(dated, "dtime", times.log_instant(F.col("_zoned")))
+    wall = times.log_wall_clock(F.col("_zoned"), F.col("dtime"))
+    if lenient:
+        # only dates that are not written as logs write them are held against other shapes
+        other = F.when(F.col("dtime").isNull(), times.lenient_parts(F.substring_index("_raw", "]", 1)))
+        parts = _computed_once(timed, "_parts", other)
+        walls = _computed_once(parts, "_wall", times.lenient_wall_clock(F.col("_parts")))
+        wall = F.coalesce(F.col("_wall"), wall)
+        timed = walls.withColumn("_wall", wall).withColumn("dtime", F.coalesce("dtime", times.lenient_instant(F.col("_parts"), F.col("_wall"))))
+        wall = F.col("_wall")
     status = text.safe_int(F.col("_status"), "int")
     error = (
         F.when(~F.col("_ok"), F.lit("fields"))
         .when(F.col("dtime").isNull(), F.lit("time"))
         .when((F.col("_status") != "-") & status.isNull(), F.lit("status"))
     )
-    wall = times.log_wall_clock(F.col("_zoned"), F.col("dtime"))
     derived = {"dtime_local": wall, "http_status": status, "parse_error": error}
     return timed.select(*[derived[c].alias(c) if isinstance(c, str) and c in derived else c for c in columns])
 
 
-def parse_web_log(lines: DataFrame) -> DataFrame:
-    """Combined web log. The pattern is matched once per line and its groups split off."""
+def parse_web_log(lines: DataFrame, lenient: bool = False) -> DataFrame:
+    """Combined web log. The pattern is matched once per line and its groups split off.
+
+    ``lenient`` also reads dates of the shapes in ``functions.times``.
+    """
     passed = [c for c in lines.columns if c != "line"]
     groups = F.split(
         F.regexp_replace(
@@ -95,6 +107,7 @@ def parse_web_log(lines: DataFrame) -> DataFrame:
         group(2).alias("ident"),
         group(3).alias("user"),
         times.clean_log_date(group(4)).alias("_date"),
+        group(4).alias("_raw"),
         group(5).alias("request"),
         text.request_method(group(5)).alias("method"),
         text.request_url(group(5)).alias("url"),
@@ -126,10 +139,11 @@ def parse_web_log(lines: DataFrame) -> DataFrame:
             "referrer",
             "parse_error",
         ],
+        lenient,
     )
 
 
-def parse_bucket_log(lines: DataFrame) -> DataFrame:
+def parse_bucket_log(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """Object-store bucket log: the line is cut into tokens once, then read by position.
 
     A token yields three parts, as quoted, bracketed or bare text; two of them are empty. A field reads
@@ -155,6 +169,7 @@ def parse_bucket_log(lines: DataFrame) -> DataFrame:
         "*",
         ok.alias("_ok"),
         times.clean_log_date(part("time", 1)).alias("_date"),
+        part("time", 1).alias("_raw"),
         part("http_status", 2).alias("_status"),
     )
     return _finish(
@@ -190,11 +205,14 @@ def parse_bucket_log(lines: DataFrame) -> DataFrame:
             bare("tls_version"),
             "parse_error",
         ],
+        lenient,
     )
 
 
 register_log_format("web", parse_web_log)
 register_log_format("bucket", parse_bucket_log)
+register_log_format("web_lenient", partial(parse_web_log, lenient=True))
+register_log_format("bucket_lenient", partial(parse_bucket_log, lenient=True))
 
 
 def good_records(parsed: DataFrame, mode: str = "quarantine") -> DataFrame:

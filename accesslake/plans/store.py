@@ -76,21 +76,21 @@ class Store:
     def facts(self, spark: SparkSession) -> DataFrame:
         return tables.read_facts(spark, self.facts_path, _nullable(schemas.DOWNLOADS))
 
-    def add_files(self, spark: SparkSession, downloads: DataFrame) -> None:
+    def add_files(self, spark: SparkSession, downloads: DataFrame, collation: str | None = None) -> None:
         """Catalog rows for the keys of some downloads that have none."""
         if self.buckets:
             self.catalog_buckets.insert(catalog_additions(downloads, spark.createDataFrame([], "s3key string")))
         else:
             catalog = self.catalog(spark)
-            tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog)), self.catalog_path)
+            tables.write_snapshot(catalog.unionByName(catalog_additions(downloads, catalog, collation)), self.catalog_path)
 
-    def add_agents(self, spark: SparkSession, downloads: DataFrame) -> None:
+    def add_agents(self, spark: SparkSession, downloads: DataFrame, collation: str | None = None) -> None:
         """Rows for the user agents of some downloads that have none."""
         if self.buckets:
             self.agent_buckets.insert(agent_additions(downloads, spark.createDataFrame([], "user_agent string")))
         else:
             agents = self.agents(spark)
-            tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents)), self.agents_path)
+            tables.write_snapshot(agents.unionByName(agent_additions(downloads, agents, collation)), self.agents_path)
 
     def put_files(self, catalog: DataFrame, changed: DataFrame, gone: DataFrame | None = None) -> None:
         """Store a catalog of which the rows ``changed`` are new or other than before, and the keys ``gone`` are no longer there."""

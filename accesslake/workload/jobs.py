@@ -12,6 +12,7 @@ from accesslake.functions import digests
 from accesslake.operators import classify as K
 from accesslake.operators import hashing as H
 from accesslake.operators import rollup as A
+from accesslake.operators.parse import register_log_format
 from accesslake.plans.consume import consume_logs
 from accesslake.plans.corpus import collect_garbage, copy_downloads, hash_listing, hash_results
 from accesslake.plans.ingest import ingest_files
@@ -251,6 +252,68 @@ def job_ingest(spark, sf_dir):
     return _named_facts(spark, store)
 
 
+@job(O.SQL["ingest_counters"])
+def job_ingest_counters(spark, sf_dir):
+    """What an ingest reports, which it counts in its one pass over the lines."""
+    path = scratch_path(spark, "counted")
+    rows = _daily_lines(spark, sf_dir).select("day", "line")
+    rows.repartition("day").write.partitionBy("day").text(path)
+    found = ingest_files(spark, scan_logs(spark, path), "bucket", Store(scratch_path(spark, "store")))
+    times = [None if t is None else t.replace(tzinfo=None) for t in (found.earliest, found.latest)]
+    row = (found.n_objects, found.n_records, found.n_downloads, *times)
+    return spark.createDataFrame([row], "n_objects long, n_records long, n_downloads long, earliest timestamp_ntz, latest timestamp_ntz")
+
+
+@job(f"""with {O.EV} select distinct replace(k, ' ', '_') as s3key from ev where {O.WEBSTATUS} in (200, 206)
+    union all select distinct k from ev where op in ('REST.GET.OBJECT', 'WEBSITE.GET.OBJECT') and st in ('200', '206', '-')""")
+def job_ingest_normalized(spark, sf_dir):
+    """Web logs, then bucket logs, whose keys have no slash in front in the one catalog."""
+    store, ev = Store(scratch_path(spark, "store")), I.spread_events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    for lines, name in ((I.with_web_line(ev), "web"), (I.with_bucket_line(ev), "bucket")):
+        ingest_files(spark, scan_logs(spark, I.stage_text(lines, "job-in")), name, store, normalize=True)
+    return store.catalog(spark).select("s3key")
+
+
+@job(f"with {O.DL} select upper(k) as s3key, count(*) as n, cast(1 as bigint) as n_ids from dl group by 1")
+def job_ingest_collated(spark, sf_dir):
+    """Clicks ask for keys in upper case; they are the same files."""
+    store, rows = Store(scratch_path(spark, "store")), I.spread_events(spark, sf_dir)
+    spelled = rows.withColumn("k", F.when(F.expr(CLICKED), F.upper("k")).otherwise(F.col("k"))).withColumn("day", F.to_date("ts"))
+    for part in (f"not {CLICKED}", CLICKED):
+        lines = scan_logs(spark, I.stage_text(I.with_bucket_line(spelled).filter(part), "job-in"))
+        ingest_files(spark, lines, "bucket", store, collation="UNICODE_CI_AI")
+    facts = _named_facts(spark, store).withColumn("s3key", F.upper("s3key"))
+    ids = store.facts(spark).join(store.catalog(spark).select(F.col("id").alias("did"), F.upper("s3key").alias("s3key")), "did")
+    counted = ids.groupBy("s3key").agg(F.count_distinct("did").alias("n_ids"))
+    return facts.groupBy("s3key").agg(F.count(F.lit(1)).alias("n")).join(counted, "s3key")
+
+
+def parse_tab_log(lines: DataFrame) -> DataFrame:
+    """A format of one's own: UTC time, address, key and bytes between tabs; every record is a read."""
+    part = F.split("line", "\t")
+    time = F.try_to_timestamp(F.concat(part[0], F.lit("Z")), F.lit("yyyy-MM-dd HH:mm:ssX"))
+    error = F.when(F.size(part) != 4, "fields").when(time.isNull(), "time")
+    size = F.get(part, F.lit(3)).try_cast("bigint")
+    return lines.select(
+        "*", time.alias("dtime"), I.utc(time).alias("dtime_local"), F.get(part, F.lit(1)).alias("remote_ip"), F.lit("REST.GET.OBJECT").alias("operation"),
+        F.get(part, F.lit(2)).alias("key"), F.lit(200).alias("http_status"), size.alias("bytes_sent"), size.alias("object_size"),
+        F.lit(None).cast("string").alias("user_agent"), error.alias("parse_error"),
+    )
+
+
+@job(f"""with {O.OW} select path as s3key, cast(null as varchar) as user_agent, ip as remote_ip, wall as dtime, bytes as bytes_sent,
+    false as summary from ow where o_orderpriority <> '1-URGENT'""")
+def job_ingest_own_format(spark, sf_dir):
+    """Logs in a registered third format; some lines lack a field."""
+    register_log_format("tab", parse_tab_log)
+    lost = F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(F.concat(F.lit("\t"), F.col("bytes").cast("string")))
+    line = F.concat(F.date_format("wall", "yyyy-MM-dd HH:mm:ss"), F.lit("\t"), "ip", F.lit("\t"), "path", lost)
+    rows = I.orders(spark, sf_dir).select(F.date_format("wall", "yyyy-MM").alias("day"), line.alias("line"))
+    store = Store(scratch_path(spark, "store"))
+    ingest_files(spark, scan_logs(spark, I.stage_text(rows, "job-in")), "tab", store)
+    return _named_facts(spark, store)
+
+
 @job(f"""with {O.DL}, first as (select k, object_size, row_number() over (partition by k
       order by case when {CLICKED} then 0 else 1 end, dtime, object_size nulls first) as rn from dl)
     select k as s3key, object_size as bytes from first where rn = 1""")

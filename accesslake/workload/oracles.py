@@ -69,6 +69,13 @@ SQL: dict[str, str] = {
           else concat(strftime(wall, '%d/%b/%Y %H:%M:%S'), ' -0400') end as cleaned,
         case when o_orderpriority <> '5-LOW' then wall + interval 4 hour end as dtime,
         case when o_orderpriority <> '5-LOW' then wall end as dtime_local from ow""",
+    "parse_lenient_times": f"""with {OW}, t as (select o_orderkey % 7 as n, cast(o_orderkey as varchar) as number, wall,
+          date_trunc('minute', wall) as minute, cast(cast(wall as date) as timestamp) as day from ow)
+        select number, case n when 6 then 'time' end as parse_error,
+          case n when 0 then wall + interval 7 hour when 1 then wall + interval 250 millisecond when 4 then minute - interval 2 hour
+            when 5 then day when 6 then null else wall end as dtime,
+          case n when 1 then wall + interval 250 millisecond when 4 then minute when 5 then day when 6 then null else wall end as dtime_local
+        from t""",
     "safe_int": f"""with {EV} select event_id, {BYTES} as bytes_sent, {STATUS} as http_status,
         case when event_type <> 'view' then {SIZE} end as object_size from ev""",
     "quarantine_bad_lines": f"""with {EV}, l as (select *, {BUCKET_LINE} as line from ev)

@@ -137,6 +137,23 @@ def parse_log_time(spark, sf_dir):
     )
 
 
+@query
+def parse_lenient_times(spark, sf_dir):
+    """Dates in the shape of the logs and in five others; one in seven is none."""
+    w, n = F.col("wall"), F.pmod("o_orderkey", F.lit(7))
+    shapes = (
+        I.log_time("wall", "-0700"), F.concat(F.date_format(w, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".250Z")), F.date_format(w, "EEE MMM dd HH:mm:ss yyyy"),
+        F.date_format(w, "MMMM d, yyyy h:mm:ss a"), F.concat(F.date_format(w, "M/d/yyyy HH:mm"), F.lit(" +02:00")), F.date_format(w, "yyyyMMdd"),
+    )
+    date = F.lit("31/Feb/2024 01:02:03")
+    for i, shape in enumerate(shapes):
+        date = F.when(n == i, shape).otherwise(date)
+    number = F.col("o_orderkey").cast("string")
+    line = F.concat(F.lit("1.2.3.4 - - ["), date, F.lit('] "GET /'), number, F.lit(' HTTP/1.1" 200 5'))
+    parsed = P.parse_logs(I.orders(spark, sf_dir).select(line.alias("line")), "web_lenient")
+    return parsed.select(F.ltrim("key", F.lit("/")).alias("number"), I.utc("dtime").alias("dtime"), "dtime_local", "parse_error")
+
+
 @query
 def safe_int(spark, sf_dir):
     return I.events(spark, sf_dir).select(
