@@ -8,11 +8,12 @@ node's sketch bits, so that thousands of near copies are one component with a li
 
 Then large nodes are compared exhaustively too, between components: blocks of BLOCK vertices against each
 other, in numpy on sizes and sketches. A first round confirms the NEAREST partners of each vertex, which joins most of
-what is to be joined; a second one confirms every candidate whose ends are still apart. No pair of a node is left out,
-so recall does not depend on a group's size; comparing a node takes time with the square of its size, memory with BLOCK.
+what is to be joined; a second one takes every candidate whose ends are still apart, compares the full sets in the task
+and hands out a forest of the links that join components. No pair of a node is left out, so recall does not depend on a
+group's size; comparing a node takes time with the square of its size, memory with BLOCK, and rows with its size.
 
-Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, 4.5 deviations wide, and are
-confirmed on the full sets: 100 * |both| >= PERCENT * |either|. Components come from the confirmed links by
+Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, 4.5 deviations wide, those of large nodes also one on the
+last bytes of the 128 minwise tokens, 4.7 deviations wide, and are confirmed on the full sets: 100 * |both| >= PERCENT * |either|. Components come from the confirmed links by
 hooking and pointer jumping.
 
 A text without words has an empty set and is linked with nothing; fewer words than SHINGLE are one shingle.
@@ -36,8 +37,10 @@ SHINGLE, PERCENT = 5, 85
 COORDINATES, TREES, SMALL = 128, 8, 8
 #: Vertices of a block of a large node, and partners of each vertex in a block that the first round confirms.
 BLOCK, NEAREST = 1024, 8
-#: Equal sketch bits, of 128, that a candidate has at least.
-CANDIDATE_BITS = 105
+#: Members of a block that have their full sets beside them.
+SET_BLOCK = 256
+#: Equal sketch bits, and equal last bytes of minwise tokens, of 128, that a candidate has at least.
+CANDIDATE_BITS, CANDIDATE_TOKENS = 105, 90
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
 HASH_BLOCK = 1 << 18
 BYTE_SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -130,7 +133,7 @@ def minwise(hashes: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def signatures(text: Column) -> Column:
-    """Struct of n_shingles, the set's digest, minwise tokens and two words of one-bit sketch; nothing for empty sets."""
+    """Struct of n_shingles, the set's digest, minwise tokens, their last bytes and two words of one-bit sketch; nothing for empty sets."""
 
     def make():
         shingles, factors = shingler(), coordinates()
@@ -138,15 +141,16 @@ def signatures(text: Column) -> Column:
         def work(t: str) -> tuple:
             found = shingles(t)
             if not len(found):
-                return 0, None, None, None, None
+                return 0, None, None, None, None, None
             tokens = minwise(found, factors)
             bits = np.packbits((mix(tokens) & np.uint64(1)).astype(np.uint8)).view(np.int64)
             digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-            return len(found), digest, (mix(tokens) >> np.uint64(33)).astype(np.int32), int(bits[0]), int(bits[1])
+            mixed = (mix(tokens) >> np.uint64(33)).astype(np.int32)
+            return len(found), digest, mixed, mixed.astype(np.uint8).tobytes(), int(bits[0]), int(bits[1])
 
         return work
 
-    return per_text("n_shingles long, digest binary, tokens array<int>, s1 long, s2 long", make)(text)
+    return per_text("n_shingles long, digest binary, tokens array<int>, ends binary, s1 long, s2 long", make)(text)
 
 
 def row_hash(doc_id: str, text: str, seed: int) -> Column:
@@ -167,22 +171,27 @@ def vertices(signed: DataFrame) -> DataFrame:
     rows = signed.filter("digest is not null").withColumnRenamed("digest", "v").groupBy("v")
     return rows.agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.min(F.struct("r1", "r2")).alias("row"),
-        F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("tokens").alias("tokens"),
+        F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("tokens").alias("tokens"), F.first("ends").alias("ends"),
     )
 
 
 OWN = ["v", "n", "s1", "s2"]
 
 
-def first_nodes(points: DataFrame) -> DataFrame:
-    """Members of the trees' nodes: a tree chooses a coordinate, whose token names the node."""
+def tree_nodes() -> list[Column]:
+    """A vertex's node in each tree: a tree chooses a coordinate, whose token names the node."""
 
     def child(tree: int) -> Column:
         root = F.lit(tree).cast("long")
         picked = F.pmod(F.xxhash64(root, F.lit(0), F.lit(0)), F.lit(COORDINATES)).cast("int")
         return F.xxhash64(root, F.lit(0), F.col("tokens")[picked])
 
-    return points.select(*OWN, "mark", F.explode(F.array(*[child(t) for t in range(TREES)])).alias("node"))
+    return [child(t) for t in range(TREES)]
+
+
+def first_nodes(points: DataFrame) -> DataFrame:
+    """Members of the trees' nodes."""
+    return points.select(*OWN, "mark", F.explode(F.array(*tree_nodes())).alias("node"))
 
 
 def equal_bits(a: str, b: str) -> Column:
@@ -233,42 +242,131 @@ def central_pairs(large: DataFrame) -> DataFrame:
     return pairs_of(own.join(ranked.select("node", F.col("best.y").alias("y")), "node")).distinct()
 
 
-def compare_blocks(rows: pd.DataFrame, nearest: int | None) -> pd.DataFrame:
-    """Candidate pairs (a, b) between components, of two blocks or within one; with ``nearest`` the best of each vertex."""
-    first, second = rows["i"].iloc[0], rows["j"].iloc[0]
-    left, right = rows[rows["block"] == first], rows[rows["block"] == second]
-    sketch = lambda x: x[["s1", "s2"]].to_numpy(np.int64).view(np.uint64)
-    (sx, nx, mx), (sy, ny, my) = [(sketch(x), x["n"].to_numpy(), x["mark"].to_numpy()) for x in (left, right)]
-    vx, vy, found = left["v"].to_numpy(object), right["v"].to_numpy(object), []
-    for at in range(0, len(sx), 256):
-        rest = slice(at, at + 256)
-        apart = sum(np.bitwise_count(sx[rest, k, None] ^ sy[None, :, k]).astype(np.int16) for k in (0, 1))
-        sizes = 100 * np.minimum(nx[rest, None], ny) >= PERCENT * np.maximum(nx[rest, None], ny)
-        fits = sizes & (apart <= COORDINATES - CANDIDATE_BITS) & (mx[rest, None] != my)
-        if nearest is not None and fits.any():
-            order, best = np.where(fits, apart, COORDINATES + 1), np.zeros_like(fits)
-            for axis in (0, 1):
-                if order.shape[axis] <= nearest:
-                    best[:] = True
-                else:
-                    np.put_along_axis(best, np.argpartition(order, nearest, axis).take(range(nearest), axis), True, axis)
-            fits &= best
-        found += [(min(x, y), max(x, y)) for x, y in ((bytes(vx[at + p]), bytes(vy[q])) for p, q in np.argwhere(fits))]
-    return pd.DataFrame(sorted(set(found)), columns=["a", "b"])
-
-
-def block_pairs(large: DataFrame, labels: DataFrame, nearest: int | None) -> DataFrame:
-    """Candidate pairs of large nodes whose components differ by now, every one unless ``nearest`` is given."""
+class Block:
+    """Members of a node's block as arrays."""
+
+    def __init__(self, rows: pd.DataFrame, number: int):
+        own = rows[rows["block"] == number]
+        self.v, self.n, self.mark = own["v"].to_numpy(object), own["n"].to_numpy(), own["mark"].to_numpy()
+        self.sketch = own[["s1", "s2"]].to_numpy(np.int64).view(np.uint64)
+        self.ends = np.frombuffer(b"".join(own["ends"]), np.uint8).reshape(len(own), COORDINATES)
+        self.nodes = np.array(own["nodes"].tolist(), np.int64).reshape(len(own), TREES)
+        if "shingles" in own:
+            self.sets = [np.asarray(x, np.int64) for x in own["shingles"]]
+
+
+def candidates(x: Block, y: Block, node: int, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places p in x from ``at`` on, and q in y, of candidates between components, with their equal tokens.
+
+    A pair that shares the node of an earlier tree is a candidate there, and not here.
+    """
+    rest = slice(at, at + 256)
+    apart = sum(np.bitwise_count(x.sketch[rest, k, None] ^ y.sketch[None, :, k]).astype(np.int16) for k in (0, 1))
+    sizes = 100 * np.minimum(x.n[rest, None], y.n) >= PERCENT * np.maximum(x.n[rest, None], y.n)
+    found = np.argwhere(sizes & (apart <= COORDINATES - CANDIDATE_BITS) & (x.mark[rest, None] != y.mark))
+    kept = []
+    for some in np.array_split(found, 1 + len(found) // 65_536):
+        p, q = some[:, 0] + at, some[:, 1]
+        equal = (x.ends[p] == y.ends[q]).sum(axis=1)
+        shared = (x.nodes[p] == y.nodes[q]).argmax(axis=1)
+        good = (equal >= CANDIDATE_TOKENS) & (x.nodes[p, shared] == node)
+        kept.append(np.stack([p[good], q[good], equal[good]]))
+    return tuple(np.concatenate(kept, axis=1))
+
+
+def each_candidates(rows: pd.DataFrame):
+    """The two blocks of a group of rows and the candidates of some of the first one's members at a time."""
+    node = rows["node"].iloc[0]
+    x = Block(rows, rows["i"].iloc[0])
+    y = x if rows["i"].iloc[0] == rows["j"].iloc[0] else Block(rows, rows["j"].iloc[0])
+    for at in range(0, len(x.v), 256):
+        yield x, y, *candidates(x, y, node, at)
+
+
+def nearest_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """Candidate pairs (a, b): of each member those with the NEAREST partners in the other block."""
+    found = set()
+    for x, y, p, q, equal in each_candidates(rows):
+        for side in (p, q):
+            order = np.lexsort((-equal, side))
+            first = np.searchsorted(side[order], side[order])
+            best = order[np.arange(len(order)) - first < NEAREST]
+            found.update((min(a, b), max(a, b)) for a, b in ((bytes(x.v[i]), bytes(y.v[k])) for i, k in zip(p[best], q[best])))
+    return pd.DataFrame(sorted(found), columns=["a", "b"])
+
+
+def members_with_candidates(rows: pd.DataFrame) -> pd.DataFrame:
+    """(node, v) of members that have a candidate."""
+    found = set()
+    for x, y, p, q, _ in each_candidates(rows):
+        found.update(map(bytes, x.v[np.unique(p)]))
+        found.update(map(bytes, y.v[np.unique(q)]))
+    return pd.DataFrame({"node": rows["node"].iloc[0], "v": sorted(found)})
+
+
+def joining_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) between two blocks, on full sets, that join components: with these, all linked ones are joined."""
+    above: dict[int, int] = {}
+
+    def top(mark: int) -> int:
+        while above.get(mark, mark) != mark:
+            mark = above[mark]
+        return mark
+
+    found = []
+    for x, y, p, q, _ in each_candidates(rows):
+        for i in np.unique(p):
+            open_ = [k for k in q[p == i] if top(x.mark[i]) != top(y.mark[k])]
+            if not open_:
+                continue
+            sets = [y.sets[k] for k in open_]
+            starts = np.concatenate(([0], np.cumsum([len(z) for z in sets])[:-1]))
+            both = np.add.reduceat(np.isin(np.concatenate(sets), x.sets[i], assume_unique=False).astype(np.int64), starts)
+            for k, z, n in zip(open_, sets, both):
+                if 100 * n >= PERCENT * (len(x.sets[i]) + len(z) - n) and top(x.mark[i]) != top(y.mark[k]):
+                    above[top(x.mark[i])] = top(y.mark[k])
+                    found.append((bytes(x.v[i]), bytes(y.v[k])))
+    return pd.DataFrame([(min(e), max(e)) for e in found], columns=["a", "b"])
+
+
+def block_groups(members: DataFrame, block: int) -> DataFrame:
+    """Members of nodes dealt into blocks, once for every block theirs is compared with; grouped by node and pair of blocks."""
+    columns = members.columns
+    sizes = members.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    dealt = members.join(sizes, "node").withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")))
+    other = dealt.select(*columns, "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    return other.select(*columns, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).groupBy("node", "i", "j")
+
+
+def open_members(points: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of large nodes of two or more components by now, with tokens and the nodes of all trees."""
     known = labels.select("v", F.xxhash64("label").alias("_mark"))
     marked = large.drop("mark", "size").join(known, "v", "left").withColumn("mark", F.coalesce("_mark", F.xxhash64("v"))).drop("_mark")
-    members = node_members(marked).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")))
-    other = dealt.select("node", *OWN, "mark", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    keyed = other.select("node", *OWN, "mark", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    pairs = keyed.groupBy("node", "i", "j").applyInPandas(lambda rows: compare_blocks(rows, nearest), "a binary, b binary")
+    more = points.select("v", "ends", F.array(*tree_nodes()).alias("nodes"))
+    return node_members(marked).drop("size").join(more, "v").select("node", *OWN, "mark", "ends", "nodes")
+
+
+def block_pairs(points: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Candidate pairs of large nodes, the nearest ones of each member in each block."""
+    pairs = block_groups(open_members(points, large, labels), BLOCK).applyInPandas(nearest_pairs, "a binary, b binary")
     return stage(pairs.distinct(), "near-candidates")
 
 
+def remaining_links(docs: DataFrame, points: DataFrame, large: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Links that join components, from all candidates of large nodes whose ends are apart.
+
+    First only the members that have any are found. These are compared again with their full sets beside them, and
+    of each pair of blocks a forest comes out: no candidate leaves its task.
+    """
+    members = stage(open_members(points, large, labels), "near-open")
+    touched = block_groups(members, BLOCK).applyInPandas(members_with_candidates, "node long, v binary").distinct()
+    touched = stage(touched, "near-touched")
+    sets = full_sets(docs, points, touched.select("v").distinct(), doc_id, text)
+    own = members.join(touched, ["node", "v"]).join(sets, "v")
+    links = block_groups(own.select(*members.columns, "shingles"), SET_BLOCK).applyInPandas(joining_links, "a binary, b binary")
+    return stage(links.distinct(), "near-links")
+
+
 def first_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b) of the first level, and the members of its large nodes."""
     marked = points.withColumn("mark", F.xxhash64("v"))
@@ -278,12 +376,11 @@ def first_pairs(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(found, "near-candidates"), large
 
 
-def full_sets(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(v, shingles) of the sets in some pairs, each from one of its texts.
+def full_sets(docs: DataFrame, points: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(v, shingles) of the sets of some vertices, each from one of its texts.
 
     The wanted rows go to every task while there are at most MAX_ROWS; beyond, the texts are shuffled.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     rows = stage(points.join(wanted, "v").select("v", "row.r1", "row.r2"), "near-wanted")
     texts = docs.select(row_hash(doc_id, text, 1).alias("r1"), row_hash(doc_id, text, 2).alias("r2"), F.col(text).alias("text"))
     own = texts.join(broadcast_if_small(rows, MAX_ROWS, MAX_BYTES), ["r1", "r2"]).select("v", "text").dropDuplicates(["v"])
@@ -297,7 +394,7 @@ def full_sets(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str,
 
 def confirmed(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The pairs that are links, on their full sets."""
-    sets = full_sets(docs, points, pairs, doc_id, text)
+    sets = full_sets(docs, points, pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), doc_id, text)
     left = sets.select(F.col("v").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("v").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
@@ -334,9 +431,11 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     early, large = first_pairs(points)
     links = confirmed(docs, points, early, doc_id, text)
     labels = components(links)
-    for nearest in (NEAREST, None) if not large.isEmpty() else ():
-        more = confirmed(docs, points, block_pairs(large, labels, nearest), doc_id, text)
-        links = links.unionByName(more).distinct()
+    if not large.isEmpty():
+        near = confirmed(docs, points, block_pairs(points, large, labels), doc_id, text)
+        links = links.unionByName(near).distinct()
+        labels = components(links)
+        links = links.unionByName(remaining_links(docs, points, large, labels, doc_id, text)).distinct()
         labels = components(links)
     named = points.select("v", "doc_id").join(labels, "v", "left").select("v", "doc_id", F.coalesce("label", "v").alias("class"))
     named = stage(named, "near-named")
