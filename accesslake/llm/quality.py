@@ -1,7 +1,7 @@
 """Quality rules whose cutoffs are chosen with a guarantee.
 
-Each rule rejects a document whose metric exceeds a cutoff. Labelled documents are split in two by a hash
-of their id. One half orders, per stratum, the lowerings of cutoffs worth having, the most bad documents for
+Each rule rejects a document whose metric exceeds a cutoff. Labelled documents, copies of a text counted once, are split in two by a hash
+of their text. One half orders, per stratum, the lowerings of cutoffs worth having, the most bad documents for
 each good one first: a nested sequence of rule sets. The other half tests the sequence from its mildest set on with the
 exact binomial tail, counting good documents that any rule of the set rejects: a set is accepted if so few would
 be seen with probability ``delta / strata`` were the true share ``alpha``. So all accepted sets hold together with probability
@@ -12,7 +12,7 @@ in all, before a set that rejects none of them can be accepted.
 Documents with fewer than MIN_WORDS words or too many words in repeated windows fail outright. A stratum with
 too few labels, or none, gets no cutoff, and its documents are kept. A null stratum is one of its own. Null
 and empty texts have no words and fail. Labels that are null, and labels of unknown documents, are left
-out; a document labelled more than once counts once, as good only if all its labels say so. Every row gets its own
+out; a text labelled more than once counts once in a stratum, as good only if all its labels say so. Every row gets its own
 verdict, whatever its id.
 """
 
@@ -190,11 +190,16 @@ def fit_cutoffs(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA)
 
 
 def label_metrics(metrics: DataFrame, labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """Metrics of labelled documents with their label and half."""
+    """Metrics of labelled texts with their label and half; k1 and k2 tell texts apart.
+
+    Copies of a text in a stratum count once, as good only if all are labelled so: the bound is one of independent
+    documents, and a text must not be on both sides.
+    """
     own = labels.filter(F.col(doc_id).isNotNull() & F.col(quality).isNotNull())
     own = own.groupBy(F.col(doc_id).alias("doc_id")).agg((F.min(quality) > 0).alias("good"))
-    half = (F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1).alias("half")
-    return metrics.join(own, "doc_id").select("stratum", "good", half, *RULES)
+    half = (F.pmod(F.col("k1"), F.lit(2)) == 1).alias("half")
+    texts = metrics.join(own, "doc_id").groupBy("stratum", "k1", "k2").agg(F.min("good").alias("good"), *[F.first(r).alias(r) for r in RULES])
+    return texts.select("stratum", "good", half, *RULES)
 
 
 def base_failed(m: str = "metrics") -> Column:
@@ -218,10 +223,11 @@ def fitted_metrics(
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics of all documents as a stored table, and the cutoffs its labelled rows give."""
     measured = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), quality_metrics(F.col(text)).alias("metrics")
+        F.col(doc_id).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), quality_metrics(F.col(text)).alias("metrics"),
+        F.xxhash64(F.lit(1), F.col(text)).alias("k1"), F.xxhash64(F.lit(2), F.col(text)).alias("k2"),
     )
     measured = stage(measured, "quality-metrics")
-    flat = measured.filter(~base_failed()).select("doc_id", "stratum", "metrics.*")
+    flat = measured.filter(~base_failed()).select("doc_id", "stratum", "k1", "k2", "metrics.*")
     return measured, stage(fit_cutoffs(label_metrics(flat, labels, doc_id)), "quality-cutoffs")
 
 
