@@ -8,7 +8,7 @@ stays. An anti-join keeps the maximal ones, which are rendered.
 Turns are taken in the order of their number, role and text; a turn logged twice in one conversation counts
 once, null values are values of their own, and turns without a conversation id form one conversation.
 Turns are compared by the numbers they are logged with. Long conversations are worked on in blocks of BLOCK
-turn numbers and rendered in as many parts, so that no task holds a whole one. A null or empty text is
+turn numbers and rendered in parts of BLOCK turns, so that no task holds a whole one. A null or empty text is
 rendered as an empty turn, and a null role as "".
 """
 
@@ -75,13 +75,17 @@ def render_turn(role: Column, text: Column) -> Column:
 def format_conversations(
     conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
-    """(conv_id, part, n_turns, rendered): maximal conversations as chat text; n_turns is the part's."""
+    """(conv_id, part, n_parts, n_turns, rendered): maximal conversations as chat text; n_turns is the part's.
+
+    A conversation of more than BLOCK distinct turns comes in n_parts rows of BLOCK turns each, whatever their numbers.
+    """
     marked = stage(prefixes(distinct_turns(conversations, conv_id, turn, role, text)), "chat-prefixes")
     kept = maximal_conversations(marked)
-    turns = marked.alias("t").join(kept.alias("k"), F.col("t.conv").eqNullSafe(F.col("k.conv")), "left_semi")
+    ends = kept.select(F.col("conv").alias("_conv"), F.ceil(F.col("n") / BLOCK).alias("n_parts"))
+    turns = marked.join(ends, F.col("conv").eqNullSafe(F.col("_conv"))).withColumn("part", F.floor((F.col("n") - 1) / BLOCK))
     ordered = F.array_sort(F.collect_list(F.struct("n", render_turn(F.col("role"), F.col("text")).alias("x"))))
-    parts = turns.groupBy("conv", "block").agg(ordered.alias("turns"))
+    parts = turns.groupBy("conv", "part", "n_parts").agg(ordered.alias("turns"))
     return parts.select(
-        F.col("conv").alias("conv_id"), F.col("block").alias("part"), F.size("turns").cast("long").alias("n_turns"),
+        F.col("conv").alias("conv_id"), "part", "n_parts", F.size("turns").cast("long").alias("n_turns"),
         F.array_join(F.col("turns.x"), "").alias("rendered"),
     )

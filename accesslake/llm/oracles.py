@@ -68,11 +68,11 @@ kept as (
       and (len(b.turns) > len(a.turns) or b.conv_id < a.conv_id)
   )
 ),
-each as (select conv_id, turns, unnest(turns) as t from kept)
-select conv_id, t.turn // 1000 as part, count(*) as n_turns,
+each as (select conv_id, len(turns) as n, unnest(turns) as t, generate_subscripts(turns, 1) as place from kept)
+select conv_id, (place - 1) // 1000 as part, (n + 999) // 1000 as n_parts, count(*) as n_turns,
   string_agg('<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10), ''
     order by t.turn, t.role, t.text) as rendered
-from each group by 1, 2
+from each group by 1, 2, 3
 """
 
 SQL = {"op4_near_duplicates": OP4, "op9_decontamination": OP9, "op10_chat_format": OP10}

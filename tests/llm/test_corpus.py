@@ -203,7 +203,9 @@ def test_odd_conversations(spark, monkeypatch):
     for r in sorted(found, key=lambda r: r.part):
         joined[r.conv_id] = joined.get(r.conv_id, "") + r.rendered
     assert joined == brute_chat(turns)
-    assert {r.part for r in found if r.conv_id == 8} == {0, 1, 2}
+    assert [(r.part, r.n_parts, r.n_turns) for r in sorted(found, key=lambda r: r.part) if r.conv_id == 8] == [(0, 3, 10), (1, 3, 10), (2, 3, 5)]
+    far = spark.createDataFrame([(1, t, "user", "x") for t in (999, 1000, 2000)], schema)
+    assert [(r.part, r.n_parts, r.n_turns) for r in chat.format_conversations(far).collect()] == [(0, 1, 3)]
     assert chat.format_conversations(spark.createDataFrame([], schema)).count() == 0
 
 
