@@ -19,11 +19,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.texts import per_text
+from accesslake.llm.texts import per_text, with_result
 
 SPACE = "▁"
-CACHED_SEGMENTS = 300_000
-CACHED_PAIRS = 2_000_000
+#: Bounds of what a worker remembers: segments of up to so many characters, some 20 MB, and pairs of pieces, some 30 MB.
+CACHED_SEGMENTS = 100_000
+CACHED_PAIRS = 500_000
 LONGEST_CACHED = 64
 
 
@@ -219,12 +220,12 @@ def encoding(text: Column, model_path: str | None = None, with_ids: bool = False
 
 
 def encode_documents(docs: DataFrame, text: str = "text", model_path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """Documents with a struct column ``encoded``; every row stays and is encoded whole."""
-    return docs.withColumn("encoded", encoding(F.col(text), model_path, with_ids))
+    """Documents with a struct column ``encoded``, or ``encoded_`` beside one of that name; every row stays and is encoded whole."""
+    return with_result(docs, "encoded", encoding(F.col(text), model_path, with_ids))
 
 
 def decode_documents(encoded: DataFrame, ids: str = "ids", model_path: str | None = None) -> DataFrame:
-    """Adds ``decoded``, the text of an array of ids; null ids decode to null."""
+    """Adds ``decoded``, or ``decoded_`` beside one of that name: the text of an array of ids; null ids decode to null."""
     path = model_path or default_model()
 
     @F.pandas_udf("string")
@@ -232,4 +233,4 @@ def decode_documents(encoded: DataFrame, ids: str = "ids", model_path: str | Non
         model, _ = byte_pairs(path)
         return column.map(lambda x: None if x is None else model.decode(x).decode("utf-8", "replace"))
 
-    return encoded.withColumn("decoded", texts(F.col(ids)))
+    return with_result(encoded, "decoded", texts(F.col(ids)))

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslake.llm.texts import per_text
+from accesslake.llm.texts import per_text, with_result
 
 # Patterns of the contract, with possessive forms where the text cannot match otherwise.
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -252,5 +252,5 @@ def personal_data(text: Column, sure: dict[str, float], threshold: float = THRES
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Documents with a struct column ``found``; labelers are weighed on these same documents."""
-    return docs.withColumn("found", personal_data(F.col(text), train(vote_patterns(docs, text)), threshold))
+    """Documents with a struct column ``found``, or ``found_`` beside one of that name; labelers are weighed on these same documents."""
+    return with_result(docs, "found", personal_data(F.col(text), train(vote_patterns(docs, text)), threshold))

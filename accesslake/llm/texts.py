@@ -71,6 +71,13 @@ def per_text(schema: str, make: Callable[[], Callable[[str], tuple]]) -> Callabl
     return run
 
 
+def with_result(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Rows with a column added under a name, to which underscores are appended while the rows have such a column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return df.withColumn(name, value)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table below the shared folder and read it again: executors may be lost from here on."""
     path = scratch_path(df.sparkSession, label)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accesslake.llm.pieces import Memo, Vocabulary, default_model, segments
-from accesslake.llm.texts import per_text
+from accesslake.llm.texts import per_text, with_result
 
 UNKNOWN_PENALTY = 10.0
 NEVER = float("-inf")
@@ -82,5 +82,5 @@ def token_count(text: Column, model_path: str | None = None) -> Column:
 
 
 def count_tokens(docs: DataFrame, text: str = "text", model_path: str | None = None) -> DataFrame:
-    """Documents with a struct column ``counted``."""
-    return docs.withColumn("counted", token_count(F.col(text), model_path))
+    """Documents with a struct column ``counted``, or ``counted_`` beside one of that name."""
+    return with_result(docs, "counted", token_count(F.col(text), model_path))
