@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -15,6 +17,8 @@ ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStor
 SHUFFLE_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
+_shipped: dict[str, str] = {}
+
 
 def get_session(app_name: str = "accesslake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect; ``conf`` keys use ``__`` for dots.
@@ -38,6 +42,22 @@ def get_session(app_name: str = "accesslake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once a context, so that they find it wherever they are started."""
+    context = spark.sparkContext
+    if _shipped.get("context") == context.applicationId:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="accesslake-"), "accesslake.zip")  # the driver's; Spark sends it on
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.join("accesslake", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    _shipped["context"] = context.applicationId
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
