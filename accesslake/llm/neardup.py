@@ -36,9 +36,9 @@ from accesslake.operators.joins import broadcast_if_small
 SHINGLE, PERCENT = 5, 85
 COORDINATES, TREES, SMALL = 128, 8, 8
 #: Vertices of a block of a large node, and partners of each vertex in a block that the first round confirms.
-BLOCK, NEAREST = 1024, 8
-#: Members of a block that have their full sets beside them.
-SET_BLOCK = 256
+BLOCK, NEAREST = 4096, 8
+#: Shingles of a block whose members have their full sets beside them.
+BLOCK_SHINGLES = 1 << 20
 #: Equal sketch bits, and equal last bytes of minwise tokens, of 128, that a candidate has at least.
 CANDIDATE_BITS, CANDIDATE_TOKENS = 105, 90
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
@@ -329,10 +329,13 @@ def joining_links(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(min(e), max(e)) for e in found], columns=["a", "b"])
 
 
-def block_groups(members: DataFrame, block: int) -> DataFrame:
+def block_groups(members: DataFrame) -> DataFrame:
     """Members of nodes dealt into blocks, once for every block theirs is compared with; grouped by node and pair of blocks."""
     columns = members.columns
-    sizes = members.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK)
+    if "shingles" in columns:
+        blocks = F.greatest(blocks, F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    sizes = members.groupBy("node").agg(blocks.alias("blocks"))
     dealt = members.join(sizes, "node").withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")))
     other = dealt.select(*columns, "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     return other.select(*columns, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).groupBy("node", "i", "j")
@@ -348,7 +351,7 @@ def open_members(points: DataFrame, large: DataFrame, labels: DataFrame) -> Data
 
 def block_pairs(points: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
     """Candidate pairs of large nodes, the nearest ones of each member in each block."""
-    pairs = block_groups(open_members(points, large, labels), BLOCK).applyInPandas(nearest_pairs, "a binary, b binary")
+    pairs = block_groups(open_members(points, large, labels)).applyInPandas(nearest_pairs, "a binary, b binary")
     return stage(pairs.distinct(), "near-candidates")
 
 
@@ -359,11 +362,11 @@ def remaining_links(docs: DataFrame, points: DataFrame, large: DataFrame, labels
     of each pair of blocks a forest comes out: no candidate leaves its task.
     """
     members = stage(open_members(points, large, labels), "near-open")
-    touched = block_groups(members, BLOCK).applyInPandas(members_with_candidates, "node long, v binary").distinct()
+    touched = block_groups(members).applyInPandas(members_with_candidates, "node long, v binary").distinct()
     touched = stage(touched, "near-touched")
     sets = full_sets(docs, points, touched.select("v").distinct(), doc_id, text)
     own = members.join(touched, ["node", "v"]).join(sets, "v")
-    links = block_groups(own.select(*members.columns, "shingles"), SET_BLOCK).applyInPandas(joining_links, "a binary, b binary")
+    links = block_groups(own.select(*members.columns, "shingles")).applyInPandas(joining_links, "a binary, b binary")
     return stage(links.distinct(), "near-links")
 
 
