@@ -78,7 +78,8 @@ def test_near_duplicates_of_large_groups(spark, edits):
 @pytest.mark.parametrize("count, words, edits", [(1000, 230, (2, 4)), (600, 200, (2, 3))])
 def test_no_link_of_a_large_group_is_lost(spark, monkeypatch, count, words, edits):
     """Distinct near copies with a mean similarity below the threshold: classes equal those of all pairs, across blocks."""
-    monkeypatch.setattr(neardup, "BLOCK", 256, raising=False)
+    monkeypatch.setattr(neardup, "BLOCK", 256)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 30_000)
     rnd = random.Random(count)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
     base, rows = [word() for _ in range(words)], []
