@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accesslake.functions import text
-from accesslake.sources.tables import existing_paths, hidden_files
+from accesslake.sources.listing import hidden_files
+from accesslake.sources.tables import existing_paths
 
 
 def _line_columns() -> list:

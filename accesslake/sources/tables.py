@@ -17,15 +17,16 @@ SUCCESS, COMPLETE = "_SUCCESS", "_COMPLETE"
 OLD_VERSIONS = 5
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem_of(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it takes it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, which is there whole or not at all."""
-    filesystem, target = _filesystem(spark, path)
-    _, unfinished = _filesystem(spark, f"{path}.unfinished")
+    filesystem, target = filesystem_of(spark, path)
+    _, unfinished = filesystem_of(spark, f"{path}.unfinished")
     out = filesystem.create(unfinished, True)
     out.write(bytearray(text.encode()))
     out.close()
@@ -34,7 +35,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file's content."""
-    filesystem, source = _filesystem(spark, path)
+    filesystem, source = filesystem_of(spark, path)
     stream = filesystem.open(source)
     try:
         return bytes(stream.readAllBytes()).decode()
@@ -43,13 +44,13 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem, hadoop_path = filesystem_of(spark, path)
     return filesystem.exists(hadoop_path)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none where it does not exist."""
-    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem, hadoop_path = filesystem_of(spark, path)
     if not filesystem.exists(hadoop_path):
         return []
     return [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
@@ -59,7 +60,7 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     """Those of some paths or patterns that name a file or folder; names that look like patterns are escaped."""
     found = []
     for path in paths:
-        filesystem, hadoop_path = _filesystem(spark, path)
+        filesystem, hadoop_path = filesystem_of(spark, path)
         if filesystem.exists(hadoop_path):
             found.append(re.sub(r"([\[\]{}*?])", r"\\\1", path))
         elif filesystem.globStatus(hadoop_path):
@@ -67,22 +68,6 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     return found
 
 
-def hidden_files(spark: SparkSession, paths: list[str], most: int = 20) -> list[str]:
-    """Files with content that Spark's file sources pass over for a name that starts with a dot or an underscore."""
-    found = []
-    for path in paths:
-        filesystem, hadoop_path = _filesystem(spark, path)
-        for status in filesystem.globStatus(hadoop_path) or []:
-            below = len(status.getPath().getParent().toString())
-            files = filesystem.listFiles(status.getPath(), True)
-            while files.hasNext() and len(found) < most:
-                entry = files.next()
-                names = entry.getPath().toString()[below:].split("/")
-                if entry.getLen() and any(n[:1] in (".", "_") and "=" not in n for n in names):
-                    found.append(entry.getPath().toString())
-    return found
-
-
 def _versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[1:]) for n in child_names(spark, root) if n.startswith("v") and n[1:].isdigit())
 
@@ -115,7 +100,7 @@ def write_snapshot(df: DataFrame, root: str) -> int:
     spark = df.sparkSession
     version = max(_versions(spark, root), default=0) + 1
     df.write.mode("errorifexists").parquet(f"{root}/v{version}")
-    filesystem, marker = _filesystem(spark, f"{root}/v{version}/{COMPLETE}")
+    filesystem, marker = filesystem_of(spark, f"{root}/v{version}/{COMPLETE}")
     filesystem.create(marker, True).close()
     for old in _versions(spark, root):
         if old < version - OLD_VERSIONS:
@@ -161,14 +146,14 @@ def overwrite_partitions(rows: DataFrame, path: str, by: str) -> None:
 
 def replace_folder(spark: SparkSession, source: str, target: str) -> None:
     """Put a folder in another's place."""
-    filesystem, to = _filesystem(spark, target)
+    filesystem, to = filesystem_of(spark, target)
     filesystem.delete(to, True)
     filesystem.mkdirs(to.getParent())
-    if not filesystem.rename(_filesystem(spark, source)[1], to):
+    if not filesystem.rename(filesystem_of(spark, source)[1], to):
         raise OSError(f"{source} could not be moved to {target}")
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that is not needed any more."""
-    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem, hadoop_path = filesystem_of(spark, path)
     filesystem.delete(hadoop_path, True)

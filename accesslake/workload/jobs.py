@@ -9,6 +9,7 @@ from pyspark.sql.window import Window as W
 
 from accesslake import schemas
 from accesslake.functions import digests
+from accesslake.operators import catalog as C
 from accesslake.operators import classify as K
 from accesslake.operators import hashing as H
 from accesslake.operators import rollup as A
@@ -20,11 +21,13 @@ from accesslake.plans.merge import MergedLog, merge_logs
 from accesslake.plans.publish import publish_landing, stage_publication
 from accesslake.plans.store import Store
 from accesslake.plans.summarize import roll_over, stage_summary, summarize_store
+from accesslake.plans.sync import CatalogSync
 from accesslake.session import scratch_path
 from accesslake.sources import tables
 from accesslake.sources.ledger import delete_files
 from accesslake.sources.listing import list_objects as list_files
 from accesslake.sources.logs import read_ignored_keys, scan_logs
+from accesslake.sources.objects import open_filesystem
 from accesslake.sources.seen import SeenLines
 from accesslake.streaming.ingest import Landing
 from accesslake.workload import inputs as I
@@ -98,6 +101,28 @@ def listing_stats(spark, sf_dir):
     return stats.select("n_objects", (F.col("earliest") <= F.col("latest")).alias("timed"))
 
 
+def _write_objects(batches):
+    """Write an object for each (uri, content); the same however often a task is run."""
+    for batch in batches:
+        for uri, content in zip(batch.column("uri").to_pylist(), batch.column("content").to_pylist()):
+            system, path, _ = open_filesystem(uri)
+            system.create_dir(path.rpartition("/")[0])
+            with system.open_output_stream(path) as out:
+                out.write(content)
+        yield batch.select(["uri"])
+
+
+@job("select doc_id, cast(strlen(coalesce(text, '')) as bigint) as bytes from documents")
+def list_flat_folder(spark, sf_dir):
+    """One folder with an object for each document: all tasks share its names."""
+    root = scratch_path(spark, "flat")
+    docs = I.table(spark, sf_dir, "documents")
+    uri = F.concat(F.lit(f"{root}/"), F.col("doc_id").cast("string")).alias("uri")
+    rows = docs.select(uri, F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+    rows.mapInArrow(_write_objects, "uri string").write.format("noop").mode("overwrite").save()
+    return list_files(spark, root).select(F.col("s3key").cast("bigint").alias("doc_id"), "bytes")
+
+
 @job(f"select {OBJECT}, {OBJECT_BYTES}, {OBJECT_SHA2}, true as same_sha3, cast(null as varchar) as error from documents group by 1")
 def hash_objects(spark, sf_dir):
     """SHA3 is held against the digest of the same content as a column."""
@@ -444,6 +469,36 @@ def job_collect_garbage_bucketed(spark, sf_dir):
     return store.catalog(spark).select("s3key", "present")
 
 
+def _synced(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Listing and catalog in buckets, read as a later job reads them."""
+    sync, listing, catalog = CatalogSync(scratch_path(spark, "sync"), 16), I.listing(spark, sf_dir), I.catalog(spark, sf_dir)
+    sync.put_catalog(catalog)
+    sync.put_listing(listing)
+    known, listed = sync.both(spark, catalog.schema, listing.schema)
+    return listed, known
+
+
+@job(O.SQL["plan_hashing"])
+def plan_hashing_bucketed(spark, sf_dir):
+    """Plan, registration and differences of bucketed tables: merge joins without a shuffle."""
+    return C.plan_hashing(*_synced(spark, sf_dir)).select("s3key", "action")
+
+
+@job(O.SQL["register_objects"])
+def register_objects_bucketed(spark, sf_dir):
+    return C.register_objects(*_synced(spark, sf_dir)).select("s3key", "outcome")
+
+
+@job(O.SQL["gc_missing"])
+def gc_missing_bucketed(spark, sf_dir):
+    return C.gc_missing(*_synced(spark, sf_dir))
+
+
+@job(O.SQL["gc_vanished"])
+def gc_vanished_bucketed(spark, sf_dir):
+    return C.gc_vanished(*_synced(spark, sf_dir)).select("s3key")
+
+
 def _shaped(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows with a table's columns; those they lack are null."""
     return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
