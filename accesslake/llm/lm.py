@@ -16,15 +16,14 @@ mean. Rows keep their ids whatever they are: null, repeated or of another type t
 import math
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accesslake.llm.pieces import byte_pairs, default_model, encode_text
-from accesslake.llm.texts import stage
+from accesslake.llm.texts import stage, wide_rows
 from accesslake.operators.joins import broadcast_if_small
 
 BEGIN = 1
@@ -32,8 +31,6 @@ BACKOFF = 0.4
 PACK_TOKENS, PACK_DOCS = 1_500_000, 60_000
 MIN_BUCKETS, MAX_BUCKETS, BUCKET_BYTES = 64, 1024, 16 * 1024 * 1024
 FAN_IN, JOIN_PACKS = 64, 16_384
-#: Rows of a bucket's pairs and its part of the count table, about a megabyte each, that go to Python at a time.
-BATCH_ROWS, BATCH_CONF = 16, "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_BYTES = 24 * 1024 * 1024
 
 PACK = (
@@ -143,17 +140,6 @@ def pair_counts(packed: DataFrame, n_packs: int) -> DataFrame:
         rows = stage(rows, "lm-partial").withColumn("part", F.pmod("part", F.lit(parts)))
 
 
-@contextmanager
-def wide_rows(spark: SparkSession) -> Iterator[None]:
-    """What runs inside the block sends BATCH_ROWS rows to Python at a time."""
-    before = spark.conf.get(BATCH_CONF)
-    spark.conf.set(BATCH_CONF, BATCH_ROWS)
-    try:
-        yield
-    finally:
-        spark.conf.set(BATCH_CONF, before)
-
-
 def piece_counts(packed: DataFrame) -> dict[int, tuple[int, int]]:
     """How often each piece stands before another, and how often it occurs; no more rows than the vocabulary."""
     each = packed.filter("bucket = -1").select(F.explode(F.arrays_zip("pieces", "firsts", "counts")).alias("x")).select("x.*")

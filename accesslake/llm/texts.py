@@ -1,9 +1,10 @@
 """What the text operators share: words, row keys, per-text Python and tables in the shared folder."""
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -13,6 +14,8 @@ SPACED_WORD = r"[^\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Characters of text whose results are held at a time before they leave for the JVM.
 SLICE_CHARS = 2_000_000
+#: Rows of a table with about a megabyte each that go to Python at a time.
+BATCH_ROWS, BATCH_CONF = 16, "spark.sql.execution.arrow.maxRecordsPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -71,6 +74,17 @@ def per_text(schema: str, make: Callable[[], Callable[[str], tuple]]) -> Callabl
     return run
 
 
+@contextmanager
+def wide_rows(spark: SparkSession) -> Iterator[None]:
+    """What runs inside the block sends BATCH_ROWS rows to Python at a time."""
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+
+
 def with_result(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Rows with a column added under a name, to which underscores are appended while the rows have such a column."""
     while name.lower() in {c.lower() for c in df.columns}:
