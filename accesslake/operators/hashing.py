@@ -101,11 +101,12 @@ def deal_by_size(objects: DataFrame, task_bytes: int = TASK_BYTES) -> tuple[Data
     return dealt.select(*objects.columns, "slot"), total // step + 1
 
 
-def hash_dealt(dealt: DataFrame, first: int, slots: int) -> DataFrame:
-    """Digest the objects of ``slots`` slots from ``first`` on, a task for each."""
+def hash_dealt(dealt: DataFrame, first: int, slots: int, tasks: int | None = None) -> DataFrame:
+    """Digest the objects of ``slots`` slots from ``first`` on, a task for each, or evenly in so many ``tasks`` if there are more slots."""
+    tasks = min(slots, tasks or slots)
     own = dealt.filter(F.col("slot").between(first, first + slots - 1))
-    wanted = own.select("s3key", "uri", "etag", F.col("mtime").cast("timestamp").alias("mtime"), "bytes", (F.col("slot") - first).alias("slot"))
-    return wanted.repartitionById(slots, "slot").drop("slot").mapInArrow(_hash_rows, RESULT_DDL)
+    wanted = own.select("s3key", "uri", "etag", F.col("mtime").cast("timestamp").alias("mtime"), "bytes", F.pmod(F.col("slot") - first, F.lit(tasks)).alias("slot"))
+    return wanted.repartitionById(tasks, "slot").drop("slot").mapInArrow(_hash_rows, RESULT_DDL)
 
 
 def hash_objects(objects: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:

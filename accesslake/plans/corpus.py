@@ -16,8 +16,10 @@ from accesslake.session import scratch_path, sized_shuffles
 from accesslake.sources import tables
 
 
-#: Tasks of a slice for each core: what a killed hash job loses at most, and how often its cores wait for the last task.
+#: Tasks of a slice for each core: how often its cores wait for the last task.
 SLICE_WAVES = 8
+#: Slices of a hash job, as far as none gets more than SLICE_BYTES by that: a slice costs its own job however little it hashes.
+MOST_SLICES, SLICE_BYTES = 32, 64 << 30
 
 
 def hash_results(spark: SparkSession, store: Store) -> DataFrame:
@@ -33,18 +35,21 @@ def hash_pending(
     """Hash objects slice by slice; what an earlier run has hashed under the same ETag is left out.
 
     A slice counts when it is written whole. The rest of a job that is killed is hashed by the next one; ``slices`` stops after so many.
+    A slice has SLICE_WAVES tasks a core. They take a slot each, or more where slots are so small that there would be more than
+    MOST_SLICES slices; a killed job then loses one in MOST_SLICES, or SLICE_BYTES, at most.
     """
     root, done = f"{store.root}/hashed", hash_results(spark, store).select("s3key", "etag")
     staging = scratch_path(spark, "hash-dealt")
     dealt, slots = deal_by_size(wanted.join(done, ["s3key", "etag"], "left_anti"), task_bytes)
-    dealt.write.parquet(staging)
+    dealt.orderBy("slot").write.parquet(staging)  # so that a slice reads its own part
     dealt = spark.read.parquet(staging)
     number = max([int(n.removeprefix("slice=")) for n in tables.child_names(spark, root) if n.startswith("slice=")], default=-1) + 1
-    step = SLICE_WAVES * spark.sparkContext.defaultParallelism
+    tasks = SLICE_WAVES * spark.sparkContext.defaultParallelism
+    step = max(tasks, min(-(-slots // MOST_SLICES), SLICE_BYTES // task_bytes))
     for i, first in enumerate(range(0, 0 if dealt.isEmpty() else slots, step)):
         if i == slices:
             break
-        hash_dealt(dealt, first, min(step, slots - first)).write.mode("overwrite").parquet(f"{root}/slice={number + i}")
+        hash_dealt(dealt, first, min(step, slots - first), tasks).write.mode("overwrite").parquet(f"{root}/slice={number + i}")
     tables.drop_path(spark, staging)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from accesslake.operators import hashing as H
-from accesslake.plans.corpus import hash_listing, hash_results
+from accesslake.plans.corpus import hash_listing, hash_pending, hash_results
 from accesslake.plans.merge import MergedLog
 from accesslake.plans.store import Store
 from accesslake.sources.listing import list_objects
@@ -146,6 +146,31 @@ def test_a_hash_job_that_was_killed_goes_on(spark, tmp_path, monkeypatch):
     assert hash_results(spark, store).count() == 0
 
 
+def test_small_objects_take_a_bounded_number_of_slices(spark, tmp_path, monkeypatch):
+    """Slices grow with the job, each in a fixed number of tasks, up to their bytes; a killed job still goes on."""
+    monkeypatch.setattr("accesslake.plans.corpus.SLICE_WAVES", 1)
+    monkeypatch.setattr("accesslake.plans.corpus.MOST_SLICES", 3)
+    (tmp_path / "in").mkdir()
+    for i in range(40):
+        (tmp_path / "in" / f"f{i}").write_bytes(bytes([i]) * 70_000)
+    store, listing = Store(f"{tmp_path}/store"), list_objects(spark, str(tmp_path / "in"))
+    tasks = []
+    monkeypatch.setattr("accesslake.plans.corpus.hash_dealt", lambda *x: (found := H.hash_dealt(*x), tasks.append(found.rdd.getNumPartitions()))[0])
+    hash_pending(spark, store, listing, task_bytes=1 << 17, slices=1)
+    first = {r.s3key for r in hash_results(spark, store).collect()}
+    assert 10 <= len(first) <= 16
+    for key in first:
+        os.remove(tmp_path / "in" / key)
+    hash_pending(spark, store, listing, task_bytes=1 << 17)
+    whole = hash_results(spark, store)
+    assert sorted(r.s3key for r in whole.collect()) == sorted(f"f{i}" for i in range(40)) and whole.filter("error is not null").count() == 0
+    assert 3 <= len(os.listdir(f"{store.root}/hashed")) <= 4 + 1 and max(tasks) <= 4
+    other = Store(f"{tmp_path}/other")
+    monkeypatch.setattr("accesslake.plans.corpus.SLICE_BYTES", 6 << 17)
+    hash_pending(spark, other, listing, task_bytes=1 << 17)
+    assert 7 <= len(os.listdir(f"{other.root}/hashed")) <= 8 and hash_results(spark, other).count() == 40
+
+
 def test_folded_changes(spark, tmp_path):
     path = f"{tmp_path}/changes"
 
