@@ -12,6 +12,7 @@ ids, repeated ones and those with other columns keep their place: each row is en
 """
 
 import hashlib
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -22,8 +23,8 @@ from pyspark.sql import functions as F
 from accesslake.llm.texts import per_text, with_result
 
 SPACE = "▁"
-#: Bounds of what a worker remembers: segments of up to so many characters, some 20 MB, and pairs of pieces, some 30 MB.
-CACHED_SEGMENTS = 100_000
+#: Bounds of what a worker remembers: segments of up to so many characters, twice some 15 MB, and pairs of pieces, some 30 MB.
+CACHED_SEGMENTS = 80_000
 CACHED_PAIRS = 500_000
 LONGEST_CACHED = 64
 
@@ -57,16 +58,20 @@ def segments(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """Results by segment, forgotten when there are too many; long segments are not kept."""
+    """Results by segment; when there are too many, those that were not used since the last time are forgotten. Long segments are not kept."""
 
     def __init__(self, work):
         super().__init__()
         self.work = work
+        self.before = {}
 
     def __missing__(self, key):
-        value = self.work(SPACE + key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.work(SPACE + key)
         if len(key) <= LONGEST_CACHED:
             if len(self) >= CACHED_SEGMENTS:
+                self.before = self.copy()
                 self.clear()
             self[key] = value
         return value
@@ -143,7 +148,7 @@ class BytePairs:
         """Ids, two bytes each, of a segment with its spaces."""
         size = len(part)
         last: list[tuple[int, int] | None] = [None] * (size + 1)
-        pairs, reached = self.pairs, 0
+        pairs = self.pairs
         for end, match in self.automaton.iter(part):
             end += 1
             if last[end] is not None:
@@ -165,18 +170,17 @@ class BytePairs:
                     if not fits:
                         continue
             last[end] = match
-            reached = end
-        ids, at, id_of, of_byte = [], size, self.id_of, self.vocabulary.bytes
+        ids, at, id_of, of_byte = array("H"), size, self.id_of, self.vocabulary.bytes
         while at:
             match = last[at]
             if match is None:
-                ids.extend(of_byte[b] for b in reversed(part[at - 1].encode()))
+                ids.extend([of_byte[b] for b in reversed(part[at - 1].encode())])
                 at -= 1
             else:
                 ids.append(id_of[match[1]])
                 at -= match[0]
         ids.reverse()
-        return np.array(ids, np.uint16).tobytes()
+        return ids.tobytes()
 
     def decode(self, ids) -> bytes:
         """UTF-8 text of ids; the space before the text is taken off again."""

@@ -17,6 +17,12 @@ ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStor
 SHUFFLE_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
+#: Allocators of Python workers: what one stage has freed goes back to the machine, as workers wait beside their executor for the next.
+WORKER_ENV = {
+    "MALLOC_ARENA_MAX": "1", "MALLOC_MMAP_THRESHOLD_": "131072", "MALLOC_TRIM_THRESHOLD_": "131072",
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "OPENBLAS_NUM_THREADS": "1",
+}
+
 _shipped: dict[str, str] = {}
 
 
@@ -42,9 +48,16 @@ def get_session(app_name: str = "accesslake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def lean_workers(spark: SparkSession) -> None:
+    """Give Python workers of functions made from now on WORKER_ENV, except for what the session has set itself."""
+    environment = spark.sparkContext.environment
+    environment.update({k: v for k, v in WORKER_ENV.items() if k not in environment})
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the session's Python workers, once a context, so that they find it wherever they are started."""
     context = spark.sparkContext
+    lean_workers(spark)
     if _shipped.get("context") == context.applicationId:
         return
     root = os.path.dirname(os.path.abspath(__file__))

@@ -101,3 +101,14 @@ def test_scores_equal_brute_force(spark, odd, library, monkeypatch):
         got = sorted(got, key=str)
         assert [x[:3] for x in got] == [x[:3] for x in want]
         assert all(abs(a[3] - b[3]) < 0.01 + 1e-7 * abs(b[3]) for a, b in zip(got, want))
+
+
+def test_frequent_segments_are_remembered(monkeypatch):
+    """A segment that is used again and again is worked out once, however many others pass by, and memory stays bounded."""
+    monkeypatch.setattr(pieces, "CACHED_SEGMENTS", 100)
+    calls = Counter()
+    memo = pieces.Memo(lambda part: calls.update([part]) or part.encode())
+    for i in range(1000):
+        assert memo["often"] == "▁often".encode() and memo[f"once{i}"] == f"▁once{i}".encode()
+        assert len(memo) + len(memo.before) <= 200
+    assert calls["▁often"] == 1 and memo["x" * 100] and "x" * 100 not in memo
