@@ -51,8 +51,8 @@ BEFORE, WINDOW = 24, 64
 STRIDE, AFTER = 20, 4
 PIECE = re.compile("[A-Za-z0-9_-]")
 MIN_LABELLED = 30
-#: Findings of a block; of the rarer kind each block has about FEWEST, copies included. Blocks whose weights a task adds up.
-BLOCK, FEWEST, FAN_IN = 8192, 512, 64
+#: Findings of a block; of the rarer kind each block has about FEWEST, copies included.
+BLOCK, FEWEST = 8192, 512
 #: Views that go through the network at once.
 JUDGED = 256
 RECALL = 0.98
@@ -302,30 +302,37 @@ def fit(network: Network, findings: DataFrame, secret: int, other: int) -> None:
 
     def epoch(state: np.ndarray, number: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total, n, first = np.zeros_like(state), 0, 0
             for batch in batches:
                 for block, others, views in zip(batch["block"], batch["other"], batch["view"]):
                     y = 1.0 - np.asarray(others, float)
                     weight = np.where(y == 1, weight_secret, weight_other)
-                    after = Network().epoch(state, number, stacked(views), y, weight)
-                    yield pd.DataFrame({"block": [block], "part": [block // FAN_IN], "n": [1], "state": [after.tobytes()]})
+                    total, n, first = total + Network().epoch(state, number, stacked(views), y, weight), n + 1, first if n else block
+            if n:
+                yield pd.DataFrame({"first": [first], "n": [n], "total": [total.tobytes()]})
 
         return run
 
-    def added(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        total = sum(np.frombuffer(s) for s in rows["state"])
-        return pd.DataFrame({"part": [rows["part"].iloc[0]], "n": [len(rows)], "state": [total.tobytes()]})
-
     state = network.start()
     for number in range(EPOCHS):
         with wide_rows(findings.sparkSession):
-            after = packed.mapInPandas(epoch(state, number), "block int, part int, n int, state binary")
-            sums = after.groupBy("part").applyInPandas(added, "part int, n int, state binary").collect()
-        sums.sort(key=lambda r: r["part"])
-        state = sum(np.frombuffer(r["state"]) for r in sums) / sum(r["n"] for r in sums)
+            sums = packed.mapInPandas(epoch(state, number), "first int, n int, total binary").collect()  # a row for each task
+        sums.sort(key=lambda r: r["first"])
+        state = sum(np.frombuffer(r["total"]) for r in sums) / sum(r["n"] for r in sums)
     network.put(state)
 
 
+def value_at(values: DataFrame, place: int) -> float:
+    """The value of a column ``z`` that has so many others before it in order: sorted by Spark, found by the sizes of the sorted partitions."""
+    ordered = stage(values.orderBy("z").withColumn("at", F.monotonically_increasing_id()), "secret-order")
+    sizes = ordered.groupBy(F.shiftright("at", 33).alias("part")).count().collect()
+    for part, size in sorted((r.part, r["count"]) for r in sizes):
+        if place < size:
+            return ordered.filter(F.col("at") == (part << 33) + place).first().z
+        place -= size
+    raise ValueError("there are fewer values")
+
+
 def calibrate(network: Network, findings: DataFrame, secret: int, other: int, recall: float) -> None:
     """Platt scaling and threshold over all of some findings, whose sums and order are Spark's."""
 
@@ -344,8 +351,7 @@ def calibrate(network: Network, findings: DataFrame, secret: int, other: int, re
 
     network.scale(sums, secret, other)
     place = int((1 - recall) * secret)
-    ordered = scores.filter("secret").select("z").orderBy(F.col("z") * float(np.sign(network.slope)))
-    (z,) = ordered.rdd.zipWithIndex().filter(lambda x: x[1] == place).map(lambda x: x[0].z).collect()
+    z = value_at(scores.filter("secret").select((F.col("z") * float(np.sign(network.slope))).alias("z")), place) * np.sign(network.slope)
     network.threshold = float(network.calibrated(np.array([z]))[0])
 
 

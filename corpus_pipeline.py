@@ -1,5 +1,6 @@
 """A corpus from raw documents to token ids, in five stages; each reads what the one before it has written."""
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from accesslake.llm import decontam, neardup, pieces, quality, secrets
 from accesslake.llm.texts import stage
+from accesslake.session import lean_workers
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +39,23 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "lang", "source", "encoded.*")
 
 
+def lean(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, whose Python workers are shared by all stages and keep little between them."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        lean_workers(spark)
+        return function(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", keep_good),
-    ("near_duplicates", drop_near_duplicates),
-    ("decontamination", decontaminate),
-    ("secret_scans", redact_secrets),
-    ("sentencepiece", encode),
+    ("quality_rules", lean(keep_good)),
+    ("near_duplicates", lean(drop_near_duplicates)),
+    ("decontamination", lean(decontaminate)),
+    ("secret_scans", lean(redact_secrets)),
+    ("sentencepiece", lean(encode)),
 ]
 
 #: Fitted cutoffs, a trained network and a piece encoder: not SQL; tests hold the stages against brute force.

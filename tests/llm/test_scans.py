@@ -374,7 +374,6 @@ def test_the_network_learns_from_all_findings(texts, monkeypatch):
     """More findings than a block has: each is in a block or in the calibration, and a rare kind is in every block."""
     monkeypatch.setattr(secrets, "BLOCK", 300)
     monkeypatch.setattr(secrets, "FEWEST", 60)
-    monkeypatch.setattr(secrets, "FAN_IN", 2)
     learnt, scored = [], []
     fit, calibrate = secrets.fit, secrets.calibrate
     monkeypatch.setattr(secrets, "fit", lambda n, found, *x: (learnt.extend(found.collect()), fit(n, found, *x)))
@@ -422,3 +421,9 @@ def test_calibration_in_spark_is_that_of_the_rows(spark):
         for name in ("slope", "offset", "threshold"):
             assert abs(getattr(both[0], name) - getattr(both[1], name)) < 1e-6 * max(1, abs(getattr(both[0], name)))
         assert 0 < both[0].slope < 20 and (both[0].probability(x[:200]) >= both[0].threshold).mean() >= 0.98
+
+
+def test_values_by_their_place(spark):
+    values = [float(i * 7 % 500) for i in range(500)] + [3.0] * 20
+    frame = spark.createDataFrame([(v,) for v in values], "z double").repartition(7)
+    assert [secrets.value_at(frame, i) for i in (0, 3, 22, 23, 519)] == [sorted(values)[i] for i in (0, 3, 22, 23, 519)]
