@@ -14,7 +14,7 @@ group's size; comparing a node takes time with the square of its size, memory wi
 
 Candidates pass a size filter, which is exact, and a filter on 128 one-bit sketches, 4.5 deviations wide, those of large nodes also one on the
 last bytes of the 128 minwise tokens, 4.7 deviations wide, and are confirmed on the full sets: 100 * |both| >= PERCENT * |either|. Components come from the confirmed links by
-hooking and pointer jumping.
+hooking and pointer jumping; links found later join the components of earlier ones.
 
 A text without words has an empty set and is linked with nothing; fewer words than SHINGLE are one shingle.
 Null texts are empty. Equal rows are copies of each other. Rows with a null id take part like others: a
@@ -42,6 +42,8 @@ BLOCK_SHINGLES = 1 << 20
 #: Equal sketch bits, and equal last bytes of minwise tokens, of 128, that a candidate has at least.
 CANDIDATE_BITS, CANDIDATE_TOKENS = 105, 90
 MAX_ROWS, MAX_BYTES = 1_000_000, 96 * 1024 * 1024
+#: Links of a graph whose labels go to every task, and labels that one task then writes.
+GRAPH_LINKS, GRAPH_ROWS = 100_000, 25_000
 HASH_BLOCK = 1 << 18
 BYTE_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -226,15 +228,11 @@ def node_members(here: DataFrame) -> DataFrame:
 
 def central_pairs(large: DataFrame) -> DataFrame:
     """Pairs of each member of a large node with the member nearest to the majority of its sketch bits."""
-    ones = [F.sum(F.shiftright(word, i).bitwiseAND(F.lit(1))).alias(f"{word}_{i}") for word in ("s1", "s2") for i in range(64)]
-    votes = large.groupBy("node").agg(F.count(F.lit(1)).alias("all"), *ones)
+    ones = [F.expr(f"sum(shiftright({word}, {i}) & 1) AS {word}_{i}") for word in ("s1", "s2") for i in range(64)]
+    votes = large.groupBy("node").agg(F.count(F.lit(1)).alias("members"), *ones)
 
     def majority(word: str) -> Column:
-        out = F.lit(0).cast("long")
-        for i in range(64):
-            bit = F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")
-            out = out.bitwiseOR(F.when(2 * F.col(f"{word}_{i}") > F.col("all"), bit).otherwise(F.lit(0).cast("long")))
-        return out
+        return F.expr(" | ".join(f"shiftleft(bigint(2 * {word}_{i} > members), {i})" for i in range(64)))
 
     middle = stage(votes.select("node", F.struct(majority("s1").alias("s1"), majority("s2").alias("s2")).alias("m")), "near-middle")
     own = large.select("node", F.struct(*OWN).alias("x"))
@@ -304,9 +302,21 @@ def members_with_candidates(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": rows["node"].iloc[0], "v": sorted(found)})
 
 
+def number_shingles(x: Block, y: Block) -> int:
+    """Small numbers, the same in both blocks, take the place of their shingles; returns how many there are."""
+    blocks = [x] if x is y else [x, y]
+    sets = [s for block in blocks for s in block.sets]
+    found, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    numbered = np.split(numbers, np.cumsum([len(s) for s in sets])[:-1])
+    for block in blocks:
+        block.sets, numbered = numbered[: len(block.sets)], numbered[len(block.sets) :]
+    return len(found)
+
+
 def joining_links(rows: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) between two blocks, on full sets, that join components: with these, all linked ones are joined."""
     above: dict[int, int] = {}
+    own = None
 
     def top(mark: int) -> int:
         while above.get(mark, mark) != mark:
@@ -315,13 +325,17 @@ def joining_links(rows: pd.DataFrame) -> pd.DataFrame:
 
     found = []
     for x, y, p, q, _ in each_candidates(rows):
+        if own is None:
+            own = np.zeros(number_shingles(x, y), bool)
         for i in np.unique(p):
-            open_ = [k for k in q[p == i] if top(x.mark[i]) != top(y.mark[k])]
+            open_ = [k for k in q[p == i] if not above or top(x.mark[i]) != top(y.mark[k])]
             if not open_:
                 continue
             sets = [y.sets[k] for k in open_]
             starts = np.concatenate(([0], np.cumsum([len(z) for z in sets])[:-1]))
-            both = np.add.reduceat(np.isin(np.concatenate(sets), x.sets[i], assume_unique=False).astype(np.int64), starts)
+            own[x.sets[i]] = True
+            both = np.add.reduceat(own[np.concatenate(sets)], starts, dtype=np.int64)
+            own[x.sets[i]] = False
             for k, z, n in zip(open_, sets, both):
                 if 100 * n >= PERCENT * (len(x.sets[i]) + len(z) - n) and top(x.mark[i]) != top(y.mark[k]):
                     above[top(x.mark[i])] = top(y.mark[k])
@@ -330,23 +344,27 @@ def joining_links(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def block_groups(members: DataFrame) -> DataFrame:
-    """Members of nodes dealt into blocks, once for every block theirs is compared with; grouped by node and pair of blocks."""
-    columns = members.columns
-    blocks = F.ceil(F.count(F.lit(1)) / BLOCK)
-    if "shingles" in columns:
-        blocks = F.greatest(blocks, F.ceil(F.sum("n") / BLOCK_SHINGLES))
-    sizes = members.groupBy("node").agg(blocks.alias("blocks"))
-    dealt = members.join(sizes, "node").withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")))
+    """Members of nodes dealt into blocks, once for every block theirs is compared with; grouped by node and pair of blocks.
+
+    Members without their node's size are counted, and their shingles too.
+    """
+    columns = [c for c in members.columns if c != "size"]
+    if "size" in members.columns:
+        sized = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK))
+    else:
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        sized = members.join(members.groupBy("node").agg(blocks.alias("blocks")), "node")
+    dealt = sized.withColumn("block", F.pmod(F.xxhash64("node", "v"), F.col("blocks")))
     other = dealt.select(*columns, "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     return other.select(*columns, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).groupBy("node", "i", "j")
 
 
 def open_members(points: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of large nodes of two or more components by now, with tokens and the nodes of all trees."""
+    """Members of large nodes of two or more components by now, with the node's size, tokens and the nodes of all trees."""
     known = labels.select("v", F.xxhash64("label").alias("_mark"))
     marked = large.drop("mark", "size").join(known, "v", "left").withColumn("mark", F.coalesce("_mark", F.xxhash64("v"))).drop("_mark")
     more = points.select("v", "ends", F.array(*tree_nodes()).alias("nodes"))
-    return node_members(marked).drop("size").join(more, "v").select("node", *OWN, "mark", "ends", "nodes")
+    return node_members(marked).join(more, "v").select("node", "size", *OWN, "mark", "ends", "nodes")
 
 
 def block_pairs(points: DataFrame, large: DataFrame, labels: DataFrame) -> DataFrame:
@@ -366,7 +384,7 @@ def remaining_links(docs: DataFrame, points: DataFrame, large: DataFrame, labels
     touched = stage(touched, "near-touched")
     sets = full_sets(docs, points, touched.select("v").distinct(), doc_id, text)
     own = members.join(touched, ["node", "v"]).join(sets, "v")
-    links = block_groups(own.select(*members.columns, "shingles")).applyInPandas(joining_links, "a binary, b binary")
+    links = block_groups(own.select(*members.columns, "shingles").drop("size")).applyInPandas(joining_links, "a binary, b binary")
     return stage(links.distinct(), "near-links")
 
 
@@ -407,24 +425,48 @@ def confirmed(docs: DataFrame, points: DataFrame, pairs: DataFrame, doc_id: str,
 def components(links: DataFrame) -> DataFrame:
     """(v, label) of all linked vertices; the label is the component's smallest vertex.
 
-    Each round offers every vertex, and the vertex it points to, the grandparent of its neighbours, and
-    shortens paths; the number of rounds grows with the logarithm of the longest path.
+    Each round tells every vertex, and the vertex it points to, its grandparent and those of its neighbours, and so
+    shortens paths; the number of rounds grows with the logarithm of the longest path. The smallest vertex keeps its
+    own label, so all is done when no link has two labels. The labels of up to GRAPH_LINKS links go to every task, so
+    that a round is one shuffle and one table.
     """
-    edges = stage(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-edges")
-    parents = stage(edges.select(F.col("a").alias("v"), F.col("a").alias("label")).distinct(), "near-labels")
+    count = links.count()
+    small = count <= GRAPH_LINKS
+
+    def sent(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if small else rows
+
+    def least(told: DataFrame) -> DataFrame:
+        found = told.select("x.*").groupBy("v").agg(F.min("label").alias("label"))
+        return stage(found.coalesce(1 + 2 * count // GRAPH_ROWS) if small else found, "near-labels")
+
+    def tell(*pairs: tuple) -> Column:
+        return F.explode(F.array(*[F.struct(F.col(v).alias("v"), F.col(label).alias("label")) for v, label in pairs])).alias("x")
+
+    labels = least(links.select("a", "b", F.least("a", "b").alias("low")).select(tell(("a", "low"), ("b", "low"))))
     while True:
-        up = parents.select(F.col("v").alias("label"), F.col("label").alias("grand"))
-        known = stage(parents.join(up, "label"), "near-grand")  # label, v, grand
-        far = known.select(F.col("v").alias("b"), F.col("grand").alias("offer"))
-        offers = edges.join(far, "b").groupBy(F.col("a").alias("v")).agg(F.min("offer").alias("offer"))
-        heard = known.join(offers, "v", "left").withColumn("best", F.least("grand", F.coalesce("offer", "grand")))
-        heard = stage(heard.select("v", "label", "best"), "near-heard")
-        told = heard.select("v", "best").unionByName(heard.select(F.col("label").alias("v"), "best"))
-        after = stage(told.groupBy("v").agg(F.min("best").alias("label")), "near-labels")
-        same = after.join(parents.withColumnRenamed("label", "old"), "v").filter("label != old").isEmpty()
-        parents = after
-        if same:
-            return parents
+        la, lb = (sent(labels.select(F.col("v").alias(end), F.col("label").alias(f"l{end}"))) for end in "ab")
+        if links.join(la, "a").join(lb, "b").filter("la != lb").isEmpty():
+            return labels
+        up = labels.select(F.col("v").alias("label"), F.col("label").alias("grand"))
+        known = labels.join(sent(up), "label")
+        known = known if small else stage(known, "near-grand")
+        a, b = (sent(known.select(F.col("v").alias(end), F.col("label").alias(f"l{end}"), F.col("grand").alias(f"g{end}"))) for end in "ab")
+        offers = links.join(a, "a").join(b, "b").select(tell(("a", "gb"), ("b", "ga"), ("la", "gb"), ("lb", "ga")))
+        labels = least(known.select(tell(("v", "grand"), ("label", "grand"))).unionByName(offers))
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(v, label) after more links; only components that these join are worked on, each as its smallest vertex."""
+    la, lb = (labels.select(F.col("v").alias(end), F.col("label").alias(f"l{end}")) for end in "ab")
+    x, y = F.coalesce("la", "a"), F.coalesce("lb", "b")
+    ends = links.join(la, "a", "left").join(lb, "b", "left").filter(x != y)
+    apart = stage(ends.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct(), "near-apart")
+    if apart.isEmpty():
+        return labels
+    tops = components(apart).select(F.col("v").alias("label"), F.col("label").alias("top"))
+    after = labels.join(tops, "label", "full").select(F.coalesce("v", "label").alias("v"), F.coalesce("top", "label").alias("label"))
+    return stage(after, "near-labels")
 
 
 def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -432,14 +474,11 @@ def near_duplicate_classes(docs: DataFrame, doc_id: str = "doc_id", text: str =
     signed = signed_documents(docs, doc_id, text)
     points = stage(vertices(signed), "near-points")
     early, large = first_pairs(points)
-    links = confirmed(docs, points, early, doc_id, text)
-    labels = components(links)
+    labels = components(confirmed(docs, points, early, doc_id, text))
     if not large.isEmpty():
-        near = confirmed(docs, points, block_pairs(points, large, labels), doc_id, text)
-        links = links.unionByName(near).distinct()
-        labels = components(links)
-        links = links.unionByName(remaining_links(docs, points, large, labels, doc_id, text)).distinct()
-        labels = components(links)
+        labels = joined(labels, confirmed(docs, points, block_pairs(points, large, labels), doc_id, text))
+        rest = remaining_links(docs, points, large, labels, doc_id, text)
+        labels = labels if rest.isEmpty() else joined(labels, rest)
     named = points.select("v", "doc_id").join(labels, "v", "left").select("v", "doc_id", F.coalesce("label", "v").alias("class"))
     named = stage(named, "near-named")
     ids = named.groupBy("class").agg(F.min("doc_id").alias("component_id"))

@@ -104,6 +104,66 @@ def test_components_of_long_paths(spark):
     assert {label[n] for n in names[200:]} == {min(names[200:])} and len(label) == 250
 
 
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_links_found_later_join_the_components_of_earlier_ones(spark, monkeypatch, small):
+    """Labels equal those of all links at once, whether they are sent to every task or shuffled."""
+    monkeypatch.setattr(neardup, "GRAPH_LINKS", small)
+    rnd = random.Random(2)
+    name = lambda i: bytes([i // 256, i % 256])
+    pairs = [tuple(sorted((name(rnd.randrange(400)), name(rnd.randrange(400))))) for _ in range(260)]
+    pairs = [p for p in pairs if p[0] != p[1]]
+    made = lambda links: spark.createDataFrame(links, "a binary, b binary")
+    rows = lambda labels: Counter((bytes(r.v), bytes(r.label)) for r in labels.collect())
+    first, rest = made(pairs[:120]), made(pairs[120:] + pairs[:3])
+    labels = neardup.components(first)
+    want = rows(neardup.components(made(pairs)))
+    assert rows(neardup.joined(labels, rest)) == want and len({label for _, label in want}) > 20
+    assert rows(neardup.joined(labels, made(pairs[:5]))) == rows(labels)
+    assert rows(neardup.joined(labels, made([]))) == rows(labels)
+    assert rows(neardup.components(made([]))) == Counter()
+
+
+def test_components_store_one_table_a_round(spark, monkeypatch):
+    """What is stored and shuffled over many partitions costs time by the table, however small the links."""
+    stored, stage = [], neardup.stage
+    monkeypatch.setattr(neardup, "stage", lambda df, label: stored.append(label) or stage(df, label))
+    hub = bytes([255])
+    links = spark.createDataFrame([(bytes([i]), hub) for i in range(40)], "a binary, b binary")
+    assert {(bytes(r.v), bytes(r.label)) for r in neardup.components(links).collect()} == {(v, bytes([0])) for v in [*(bytes([i]) for i in range(40)), hub]}
+    assert len(stored) <= 3
+
+
+def test_links_that_join_are_confirmed_on_full_sets(spark):
+    """Pairs of one block against all pairs: a forest of its links, whose classes are those of all links."""
+    import numpy as np
+    import pandas as pd
+
+    rng, rnd, rows = np.random.default_rng(3), random.Random(3), []
+    factors, base = neardup.coordinates(), rng.integers(0, 1 << 62, 120).astype(np.uint64)
+    for i in range(60):
+        own = base.copy()
+        own[rnd.sample(range(120), rnd.randint(3, 9))] = rng.integers(0, 1 << 62, 1).astype(np.uint64)
+        own = np.unique(own)
+        tokens = neardup.minwise(own, factors)
+        bits = np.packbits((neardup.mix(tokens) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+        ends = (neardup.mix(tokens) >> np.uint64(33)).astype(np.uint8).tobytes()
+        rows.append((9, bytes([i]), len(own), int(bits[0]), int(bits[1]), i, ends, [9] * neardup.TREES, own.view(np.int64), 0, 0, 0))
+    frame = pd.DataFrame(rows, columns=["node", "v", "n", "s1", "s2", "mark", "ends", "nodes", "shingles", "block", "i", "j"])
+    sets = [set(x.tolist()) for x in frame["shingles"]]
+    linked = {(i, k) for i in range(60) for k in range(i + 1, 60) if 100 * len(sets[i] & sets[k]) >= 85 * len(sets[i] | sets[k])}
+    got = [(a[0], b[0]) for a, b in neardup.joining_links(frame).itertuples(index=False)]
+    assert got and set(got) <= linked
+
+    def classes(pairs):
+        up = list(range(60))
+        for _ in range(60):
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        return up
+
+    assert classes(got) == classes(linked) and len(got) == 60 - len(set(classes(linked)))
+
+
 def test_dropping_near_duplicates(spark, odd, odd_rows):
     left = neardup.drop_near_duplicates(odd)
     assert left.columns == odd.columns
